@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import canonical, grouped_splits, links, overlap, representative, tiling, tokenize
+from millrace.llm import canonical, grouped_splits, links, overlap, personal, representative, tiling, tokenize
 from millrace.storage import table
 
 
@@ -72,8 +72,16 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d)
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.findings(table(spark, d, "documents"), table(spark, d, "contributors")).select("doc_id", "kind", "found").distinct()
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redact(table(spark, d, "documents"), table(spark, d, "contributors"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_splits, p3_found, p3_misses, p5_found, p5_all, p6_found, p6_survivors, p7_found, p7_report, p8_ids, p9_found, p9_coverage)
+    own = (p1_found, p1_splits, p3_found, p3_misses, p5_found, p5_all, p6_found, p6_survivors, p7_found, p7_report, p8_ids, p9_found, p9_coverage, p10_found, p10_redacted)
     return {f.__name__: f for f in own}
 
 
