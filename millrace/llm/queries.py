@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import canonical, grouped_splits, links, overlap, personal, representative, tiling, tokenize
+from millrace.llm import canonical, grouped_splits, links, neighbours, overlap, personal, representative, tiling, tokenize
 from millrace.storage import table
 
 
@@ -19,6 +19,24 @@ def p1_splits(spark: SparkSession, d: str) -> DataFrame:
     return grouped_splits.split_samples(table(spark, d, "samples")).select("sample_id", "group_id", "assigned_split").distinct()
 
 
+def _p2(spark: SparkSession, d: str) -> DataFrame:
+    vectors = neighbours.usable(table(spark, d, "descriptors"), "sample_id", "histogram", 512, "computed_at")
+    members, _, graph = neighbours.neighbour_graph(vectors)
+    return neighbours.nearest_pairs(members, graph)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p2(spark, d).select("left_id", "right_id").distinct()
+
+
+def p2_search(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest of every sample whose id is divisible by 50, by greedy search along the graph."""
+    vectors = neighbours.usable(table(spark, d, "descriptors"), "sample_id", "histogram", 512, "computed_at")
+    members, classes, graph = neighbours.neighbour_graph(vectors)
+    asked = vectors.filter(F.pmod(F.conv(F.substring("id", -8, 8), 16, 10).cast("long"), F.lit(50)) == 0)
+    return neighbours.search(asked, members, classes, graph).select("id", "neighbour", F.round("cosine", 6).alias("cosine"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     mapped = canonical.map_entries(table(spark, d, "labels"), table(spark, d, "ontology"))
     return mapped.filter("not exact").select("label_id", "field", "entry_id").distinct()
@@ -81,7 +99,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_splits, p3_found, p3_misses, p5_found, p5_all, p6_found, p6_survivors, p7_found, p7_report, p8_ids, p9_found, p9_coverage, p10_found, p10_redacted)
+    own = (p1_found, p1_splits, p2_found, p2_search, p3_found, p3_misses, p5_found, p5_all, p6_found, p6_survivors, p7_found, p7_report, p8_ids, p9_found, p9_coverage, p10_found, p10_redacted)
     return {f.__name__: f for f in own}
 
 
