@@ -1,12 +1,18 @@
-"""Registered queries of the core operators, with their SQL."""
+"""Registered queries of the core operators, with their SQL. Each runs over its whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.operators import small_files
+from millrace.functions import geometry as geo
+from millrace.functions import text as tx
+from millrace.operators import aggregates as agg
+from millrace.operators import balance, components, decisions, duplicates, labels, ranking, small_files, splits
+from millrace.operators import relational as rel
+from millrace.sinks import export
 from millrace.storage import table
 
 SQL: dict[str, str] = {}
@@ -23,11 +29,478 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+# files
+
+
 @query()
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
+def p4_found(spark, d):
     return small_files.consolidate(table(spark, d, "label_files")).select("label_id").distinct()
 
 
 @query()
-def p4_schedule(spark: SparkSession, d: str) -> DataFrame:
+def p4_schedule(spark, d):
     return small_files.schedule(table(spark, d, "label_files"), target_bytes=1 << 20)
+
+
+# scans and projections
+
+
+@query("SELECT sample_id, filepath, source_dataset FROM samples WHERE list_contains(tags, 'mislabel')")
+def tag_filter(spark, d):
+    return rel.with_tag(table(spark, d, "samples"), "mislabel").select("sample_id", "filepath", "source_dataset")
+
+
+@query("SELECT sample_id, status, confidence FROM decisions WHERE lower(status) = 'review' AND phase = 'quality'")
+def status_filter(spark, d):
+    return table(spark, d, "decisions").filter((F.lower("status") == "review") & (F.col("phase") == "quality")).select("sample_id", "status", "confidence")
+
+
+@query("SELECT sample_id, list_sort(list_distinct([t FOR t IN coalesce(tags, []) IF NOT starts_with(t, 'curation_')] || ['exported'])) AS tags FROM samples")
+def tag_rewrite(spark, d):
+    return table(spark, d, "samples").select("sample_id", rel.add_tags(rel.strip_tag_prefix(F.col("tags"), "curation_"), "exported").alias("tags"))
+
+
+@query(r"SELECT sample_id, sample_id || lower(regexp_extract(filepath, '(\.[^./]+)$', 1)) AS export_name, regexp_extract(filepath, '([^/]+?)(\.[A-Za-z0-9]+)?$', 1) AS stem FROM samples")
+def export_names(spark, d):
+    return table(spark, d, "samples").select("sample_id", tx.export_name(F.col("sample_id"), F.col("filepath")).alias("export_name"), tx.stem(F.col("filepath")).alias("stem"))
+
+
+@query("SELECT DISTINCT s.sample_id, s.source_dataset FROM samples s WHERE s.sample_id NOT IN (SELECT sample_id FROM descriptors WHERE sample_id IS NOT NULL)")
+def without_descriptor(spark, d):
+    return rel.drop_ids(table(spark, d, "samples"), table(spark, d, "descriptors")).select("sample_id", "source_dataset").distinct()
+
+
+@query("SELECT DISTINCT s.sample_id, s.source_dataset FROM samples s WHERE s.sample_id IN (SELECT sample_id FROM descriptors)")
+def with_descriptor(spark, d):
+    return rel.keep_ids(table(spark, d, "samples"), table(spark, d, "descriptors")).select("sample_id", "source_dataset").distinct()
+
+
+@query("SELECT sample_id, coalesce(CASE WHEN NOT isnan(blur_variance) THEN blur_variance END, brightness_mean, -1) AS value FROM quality_metrics")
+def first_known_value(spark, d):
+    return table(spark, d, "quality_metrics").select("sample_id", rel.first_known(F.col("blur_variance"), F.col("brightness_mean"), default=-1).alias("value"))
+
+
+@query("SELECT l_orderkey, count(*) FILTER (l_quantity >= 25) AS kept, count(*) AS had, count(*) FILTER (l_quantity >= 25) = 0 AS emptied FROM lineitem GROUP BY 1")
+def box_filter(spark, d):
+    boxes = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_quantity").alias("blur_variance"))).alias("b"))
+    return boxes.select("l_orderkey", rel.filter_boxes(F.col("b"), 25).alias("f"), "b").select("l_orderkey", F.size("f").cast("long").alias("kept"), F.size("b").cast("long").alias("had"), rel.emptied(F.col("b"), F.col("f")).alias("emptied"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_discount + l_tax <= 1 + 1e-9 AND l_tax > 0 THEN true ELSE false END AS valid FROM lineitem")
+def box_validity(spark, d):
+    box = F.array(F.col("l_discount"), F.lit(0.0), F.col("l_tax"), F.lit(0.5))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", geo.valid_box(box).alias("valid"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(l_tax, 5) AS x, round(1 - l_discount - 0.2, 5) AS y, round(0.1, 5) AS w, round(0.2, 5) AS h FROM lineitem")
+def box_turn(spark, d):
+    turned = geo.turn_box(F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.2), F.lit(0.1)), False, 1)
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", turned.alias("b")).select("l_orderkey", "l_linenumber", *(F.get("b", i).alias(c) for i, c in enumerate("xywh")))
+
+
+@query("SELECT event_id, (props::JSON->>'k')::BIGINT AS k, strftime(ts, '%Y%m%d-%H%M%S') AS run_id FROM events")
+def json_and_run_ids(spark, d):
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.date_format("ts", "yyyyMMdd-HHmmss").alias("run_id"))
+
+
+# joins
+
+_LATEST = "one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY decided_at DESC NULLS LAST, phase DESC NULLS LAST, status DESC NULLS LAST, reason DESC NULLS LAST, confidence DESC NULLS LAST) AS place FROM (SELECT DISTINCT sample_id, decided_at, phase, status, reason, confidence FROM decisions WHERE sample_id IS NOT NULL)) WHERE place = 1)"
+
+
+def _latest_decisions(spark, d):
+    return rel.latest(table(spark, d, "decisions").select("sample_id", "decided_at", "phase", "status", "reason", "confidence"), "sample_id", "decided_at", "phase", "status", "reason", "confidence")
+
+
+@query(f"WITH {_LATEST} SELECT sample_id, status, phase, reason FROM one")
+def latest_decision(spark, d):
+    return _latest_decisions(spark, d).select("sample_id", "status", "phase", "reason")
+
+
+@query("SELECT s.sample_id, s.filepath, coalesce(o.license, 'unknown') AS license, coalesce(o.version, 'unknown') AS version, coalesce(o.geography, 'unknown') AS geography FROM samples s LEFT JOIN sources o USING (source_dataset)")
+def provenance_join(spark, d):
+    return rel.provenance(table(spark, d, "samples"), table(spark, d, "sources"), ["license", "version", "geography"]).select("sample_id", "filepath", "license", "version", "geography")
+
+
+@query("SELECT left_id, right_id, level FROM duplicate_links WHERE right_id IS NULL OR right_id NOT IN (SELECT sample_id FROM samples WHERE sample_id IS NOT NULL)")
+def orphan_links(spark, d):
+    return rel.orphans(table(spark, d, "duplicate_links"), table(spark, d, "samples").filter("sample_id is not null"), "right_id", "sample_id").select("left_id", "right_id", "level")
+
+
+@query("SELECT count(*) AS rows FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def referenced_lines(spark, d):
+    urgent = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    return rel.referenced(table(spark, d, "lineitem"), urgent, "l_orderkey", "o_orderkey").agg(F.count("*").alias("rows"))
+
+
+_PAIRS = "pairs AS (SELECT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b, level, method, rejected FROM duplicate_links WHERE left_id <> right_id)"
+
+
+@query(f"WITH {_PAIRS} SELECT DISTINCT a AS left, b AS right, level FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM pairs r WHERE r.rejected AND r.a = p.a AND r.b = p.b)")
+def edges_not_rejected(spark, d):
+    links = table(spark, d, "duplicate_links").filter("left_id <> right_id").select(*(c.alias(n) for c, n in ((F.least("left_id", "right_id"), "left"), (F.greatest("left_id", "right_id"), "right"))), "level", "rejected")
+    return rel.without_rejected(links.select("left", "right", "level"), links.filter("rejected")).distinct()
+
+
+@query("SELECT sample_id FROM samples WHERE list_contains(tags, 'curation_kept') INTERSECT SELECT sample_id FROM samples WHERE list_contains(tags, 'curation_review')")
+def tag_conflicts(spark, d):
+    return rel.tag_conflicts(table(spark, d, "samples"), "curation_kept", "curation_review")
+
+
+@query("SELECT DISTINCT sample_id FROM decisions WHERE lower(status) = 'review' AND sample_id NOT IN (SELECT sample_id FROM samples WHERE list_contains(tags, 'curation_kept') AND sample_id IS NOT NULL)")
+def unresolved_reviews(spark, d):
+    return rel.drop_ids(table(spark, d, "decisions").filter(F.lower("status") == "review").select("sample_id").distinct(), rel.with_tag(table(spark, d, "samples"), "curation_kept"))
+
+
+@query("SELECT sample_id, coalesce(n.status, s.source_split) AS source_split FROM (SELECT DISTINCT sample_id, source_split FROM samples WHERE sample_id IS NOT NULL) s LEFT JOIN (SELECT sample_id, max(status) AS status FROM decisions WHERE sample_id IS NOT NULL GROUP BY 1) n USING (sample_id)")
+def keyed_update(spark, d):
+    new = table(spark, d, "decisions").filter("sample_id is not null").groupBy("sample_id").agg(F.max("status").alias("source_split"))
+    return rel.update_columns(table(spark, d, "samples").filter("sample_id is not null").select("sample_id", "source_split").distinct(), new, "sample_id")
+
+
+@query("SELECT r.source_dataset, count(*) AS rows, count(coalesce(a.geography, b.geography)) AS known FROM samples r LEFT JOIN sources a ON a.source_dataset = r.source_dataset LEFT JOIN (SELECT homepage, any_value(geography) AS geography FROM sources GROUP BY 1) b ON b.homepage = r.source_dataset GROUP BY 1")
+def registry_either_key(spark, d):
+    out = rel.either_key(table(spark, d, "samples").select("source_dataset"), table(spark, d, "sources"), "source_dataset", "source_dataset", "homepage", "geography")
+    return out.groupBy("source_dataset").agg(F.count("*").alias("rows"), F.count("geography").alias("known"))
+
+
+@query("SELECT source_dataset, capture_group FROM samples WHERE source_split = 'train' AND source_dataset IS NOT NULL AND capture_group IS NOT NULL INTERSECT SELECT source_dataset, capture_group FROM samples WHERE source_split = 'test' AND source_dataset IS NOT NULL AND capture_group IS NOT NULL")
+def capture_leaks(spark, d):
+    s = table(spark, d, "samples")
+    return rel.leaks_between(s.filter("source_split = 'train'"), s.filter("source_split = 'test'"), "source_dataset", "capture_group")
+
+
+# aggregates
+
+
+@query("SELECT lower(status) AS status, count(*) AS rows FROM decisions GROUP BY 1")
+def status_counts(spark, d):
+    return agg.counts(table(spark, d, "decisions"), F.lower("status").alias("status"))
+
+
+_WITH_SOURCE = f"{_LATEST}, src AS (SELECT sample_id, min(source_dataset) AS source_dataset, min(source_label) AS source_label FROM samples WHERE sample_id IS NOT NULL GROUP BY 1), dec AS (SELECT one.*, source_dataset, source_label FROM one JOIN src USING (sample_id))"
+
+
+def _with_source(spark, d):
+    src = table(spark, d, "samples").filter("sample_id is not null").groupBy("sample_id").agg(F.min("source_dataset").alias("source_dataset"), F.min("source_label").alias("source_label"))
+    return _latest_decisions(spark, d).join(src, "sample_id")
+
+
+@query(f"WITH {_WITH_SOURCE} SELECT source_dataset, count(*) FILTER (lower(status) = 'kept') AS kept, count(*) FILTER (lower(status) = 'review') AS review, count(*) FILTER (lower(status) = 'removed') AS removed, count(*) FILTER (lower(status) = 'removed' AND NOT coalesce(phase LIKE '%duplicates', false)) AS removed_quality, count(*) FILTER (lower(status) = 'removed' AND phase LIKE '%duplicates') AS removed_duplicates, count(*) AS total FROM dec GROUP BY 1")
+def status_by_source(spark, d):
+    return agg.status_pivot(_with_source(spark, d), "source_dataset")
+
+
+@query(f"WITH {_WITH_SOURCE} SELECT source_dataset, count(*) AS total, count(*) FILTER (lower(status) = 'removed') AS removed, round(count(*) FILTER (lower(status) = 'removed') * 100.0::DOUBLE / count(*), 4) AS drop_rate FROM dec GROUP BY 1")
+def drop_rates(spark, d):
+    return agg.drop_rates(_with_source(spark, d), "source_dataset")
+
+
+@query("SELECT source_dataset, task_type, count(*) AS rows FROM samples GROUP BY GROUPING SETS ((source_dataset), (task_type), ()) HAVING true")
+def grouping_sets(spark, d):
+    return agg.grouping_report(table(spark, d, "samples"), "source_dataset", "task_type").select("source_dataset", "task_type", "rows")
+
+
+@query("SELECT source_label, count(*) AS rows, count(DISTINCT source_dataset) AS sources, coalesce(list_sort(list(DISTINCT source_dataset) FILTER (source_dataset IS NOT NULL)), []) AS source_list FROM samples GROUP BY 1")
+def label_sources(spark, d):
+    return agg.label_sources(table(spark, d, "samples"), "source_label", "source_dataset")
+
+
+@query("SELECT p_brand, sum(n)::BIGINT AS total, count(*) AS kinds FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2) GROUP BY 1")
+def canonical_matrix(spark, d):
+    m = agg.canonical_matrix(table(spark, d, "part"), "p_brand", "p_name", "p_type")
+    return m.select("p_brand", "total", F.size("by_source").cast("long").alias("kinds"))
+
+
+@query("WITH c AS (SELECT event_type, count(*) AS rows FROM events WHERE event_type IS NOT NULL GROUP BY 1), t AS (SELECT sum(rows) AS n, count(*) AS k FROM c) SELECT event_type, rows, round_even(n / (k * rows)::DOUBLE, 4) AS weight FROM c, t")
+def class_weights(spark, d):
+    return agg.class_weights(table(spark, d, "events"), "event_type")
+
+
+_TARGETS = "c AS (SELECT label, count(*) AS rows FROM embeddings WHERE label IS NOT NULL GROUP BY 1), t AS (SELECT max(rows) AS a, round_even(avg(rows), 0)::BIGINT AS b, round_even(quantile_cont(rows, 0.5), 0)::BIGINT AS m FROM c)"
+
+
+@query(f"WITH {_TARGETS} SELECT label, rows, least(2000, greatest(0, a - rows)) AS missing_max, least(2000, greatest(0, b - rows)) AS missing_mean, least(2000, greatest(0, m - rows)) AS missing_median FROM c, t")
+def balance_targets(spark, d):
+    return agg.balance_targets(table(spark, d, "embeddings"), "label")
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (is_corrupted) AS corrupted, count(*) FILTER (processing_error) AS errors, count(*) FILTER (has_watermark) AS watermarked, count(*) FILTER (low_resolution) AS low_resolution, round(avg(blur_variance) FILTER (blur_variance >= 0 AND NOT isnan(blur_variance)), 4) AS mean_blur, round(avg(brightness_mean), 4) AS mean_brightness, min(width::BIGINT * height) FILTER (width > 0 AND height > 0) AS least_area, max(width::BIGINT * height) FILTER (width > 0 AND height > 0) AS greatest_area, quantile_cont(blur_variance, 0.5) FILTER (blur_variance >= 0 AND NOT isnan(blur_variance)) AS median_blur FROM quality_metrics")
+def quality_summary(spark, d):
+    return agg.quality_summary(table(spark, d, "quality_metrics"))
+
+
+@query("SELECT lower(asset_sha256) AS digest, count(DISTINCT sample_id) AS members, min(sample_id) AS first FROM quality_metrics WHERE asset_sha256 <> '' GROUP BY 1 HAVING count(DISTINCT sample_id) > 1")
+def exact_duplicate_groups(spark, d):
+    return agg.equal_groups(table(spark, d, "quality_metrics").withColumn("digest", F.lower("asset_sha256")), "digest", "sample_id")
+
+
+@query("SELECT text, count(*) AS rows, count(DISTINCT source) AS labels FROM documents WHERE text <> '' GROUP BY 1 HAVING count(DISTINCT source) > 1")
+def conflicting_duplicates(spark, d):
+    return agg.contradictions(table(spark, d, "documents"), "text", "source")
+
+
+_SRC = "src AS (SELECT sample_id, min(source_dataset) AS s FROM samples WHERE sample_id IS NOT NULL GROUP BY 1)"
+
+
+@query(f"WITH {_PAIRS}, {_SRC}, u AS (SELECT DISTINCT a, b FROM pairs) SELECT least(x.s, y.s) AS source_a, greatest(x.s, y.s) AS source_b, count(*) AS pairs FROM u JOIN src x ON x.sample_id = u.a JOIN src y ON y.sample_id = u.b WHERE x.s <> y.s GROUP BY 1, 2")
+def cross_source_contamination(spark, d):
+    pairs = table(spark, d, "duplicate_links").filter("left_id <> right_id").select(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right")).distinct()
+    of = table(spark, d, "samples").filter("sample_id is not null").groupBy("sample_id").agg(F.min("source_dataset").alias("source_dataset"))
+    return agg.contamination(rel.pair_sources(pairs, of))
+
+
+@query("SELECT reason, count(*) AS rows FROM decisions WHERE reason IS NOT NULL GROUP BY 1 ORDER BY rows DESC, reason LIMIT 10")
+def top_reasons(spark, d):
+    return agg.top_reasons(table(spark, d, "decisions"))
+
+
+@query("SELECT level, coalesce(rejected, false) AS rejected, count(*) AS rows FROM duplicate_links GROUP BY 1, 2")
+def pair_levels(spark, d):
+    return agg.counts(table(spark, d, "duplicate_links"), "level", F.coalesce("rejected", F.lit(False)).alias("rejected"))
+
+
+@query("SELECT DISTINCT source_label FROM samples WHERE source_label IS NOT NULL")
+def class_list(spark, d):
+    return table(spark, d, "samples").select("source_label").filter("source_label is not null").distinct()
+
+
+@query("WITH c AS (SELECT source_dataset, count(*) FILTER (is_corrupted)::DOUBLE AS k, count(*)::DOUBLE AS n FROM quality_metrics JOIN (SELECT sample_id, min(source_dataset) AS source_dataset FROM samples WHERE sample_id IS NOT NULL GROUP BY 1) USING (sample_id) GROUP BY 1), z AS (SELECT 1.959963984540054::DOUBLE AS z) SELECT source_dataset, k::BIGINT AS hits, n::BIGINT AS trials, round(greatest(0.0, ((k/n + z*z/(2*n)) - z * sqrt(k/n*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)), 6) AS low, round(least(1.0, ((k/n + z*z/(2*n)) + z * sqrt(k/n*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)), 6) AS high FROM c, z")
+def wilson_interval(spark, d):
+    of = table(spark, d, "samples").filter("sample_id is not null").groupBy("sample_id").agg(F.min("source_dataset").alias("source_dataset"))
+    c = table(spark, d, "quality_metrics").join(of, "sample_id").groupBy("source_dataset").agg(F.count_if("is_corrupted").alias("hits"), F.count("*").alias("trials"))
+    low, high = agg.wilson(F.col("hits"), F.col("trials"))
+    return c.select("source_dataset", "hits", "trials", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
+@query(f"WITH {_PAIRS}, f AS (SELECT DISTINCT a, b FROM pairs WHERE method = 'redundant_augmented'), t AS (SELECT DISTINCT a, b FROM pairs WHERE level IN ('exact_bytes', 'exact_pixels')), h AS (SELECT count(*) AS n FROM (SELECT * FROM f INTERSECT SELECT * FROM t)) SELECT h.n AS hits, (SELECT count(*) FROM f) AS found, (SELECT count(*) FROM t) AS true_pairs, round(h.n / (SELECT count(*) FROM f)::DOUBLE, 6) AS precision, round(h.n / (SELECT count(*) FROM t)::DOUBLE, 6) AS recall FROM h")
+def precision_recall(spark, d):
+    pairs = table(spark, d, "duplicate_links").filter("left_id <> right_id").select(F.least("left_id", "right_id").alias("a"), F.greatest("left_id", "right_id").alias("b"), "level", "method")
+    return agg.precision_recall(pairs.filter("method = 'redundant_augmented'"), pairs.filter("level in ('exact_bytes', 'exact_pixels')"), "a", "b")
+
+
+# ordered
+
+
+@query("SELECT sample_id, cluster_id FROM (SELECT sample_id, cluster_id, row_number() OVER (PARTITION BY cluster_id ORDER BY confidence DESC NULLS LAST, sample_id) AS place FROM (SELECT sample_id, cluster_id, max(confidence) AS confidence FROM decisions WHERE cluster_id IS NOT NULL AND sample_id IS NOT NULL GROUP BY 1, 2)) WHERE place = 1")
+def representative_rank(spark, d):
+    own = table(spark, d, "decisions").filter("cluster_id is not null and sample_id is not null").groupBy("sample_id", "cluster_id").agg(F.max("confidence").alias("confidence"))
+    return ranking.first_of_each(own, "cluster_id", 1, F.desc_nulls_last("confidence"), "sample_id").select("sample_id", "cluster_id")
+
+
+@query("SELECT reason, sample_id FROM (SELECT reason, sample_id, row_number() OVER (PARTITION BY reason ORDER BY sample_id) AS place FROM (SELECT DISTINCT reason, sample_id FROM decisions WHERE reason IS NOT NULL AND sample_id IS NOT NULL)) WHERE place <= 24")
+def examples_per_reason(spark, d):
+    rows = table(spark, d, "decisions").filter("reason is not null and sample_id is not null").select("reason", "sample_id").distinct()
+    return ranking.first_of_each(rows, "reason", 24, "sample_id").select("reason", "sample_id")
+
+
+@query("WITH k AS (SELECT DISTINCT source_dataset, sample_id FROM samples WHERE source_dataset IS NOT NULL AND sample_id IS NOT NULL), p AS (SELECT *, row_number() OVER (PARTITION BY source_dataset ORDER BY sample_id) AS n FROM k) SELECT a.source_dataset, a.sample_id AS left, b.sample_id AS right FROM p a JOIN p b ON a.source_dataset = b.source_dataset AND b.n > a.n AND b.n - a.n <= 3")
+def bucket_window(spark, d):
+    keys = table(spark, d, "samples").filter("source_dataset is not null and sample_id is not null")
+    out = ranking.bucket_neighbours(keys.select("source_dataset", "sample_id"), "source_dataset", "sample_id", 3)
+    return out.join(keys.select(F.col("sample_id").alias("left"), "source_dataset").distinct(), "left").join(keys.select(F.col("sample_id").alias("right"), "source_dataset").distinct(), ["right", "source_dataset"]).select("source_dataset", "left", "right").distinct()
+
+
+@query("WITH c AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_linenumber, l_extendedprice, l_partkey, l_suppkey) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber, l_extendedprice, l_partkey, l_suppkey) AS m FROM lineitem) SELECT l_orderkey, l_linenumber, n AS by_near, m AS by_alike FROM c WHERE n <= 2 OR m <= 2")
+def two_signal_top(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey")
+    return ranking.two_signals(rows, "l_orderkey", F.col("l_quantity"), F.col("l_extendedprice"), 2, "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey").select("l_orderkey", "l_linenumber", F.col("by_near").cast("long").alias("by_near"), F.col("by_alike").cast("long").alias("by_alike"))
+
+
+# duplicates
+
+
+@query('''WITH m AS (SELECT DISTINCT sample_id, lower(trim(asset_sha256)) AS g FROM quality_metrics WHERE trim(asset_sha256) <> '' AND sample_id IS NOT NULL), f AS (SELECT g, min(sample_id) AS l FROM m GROUP BY 1) SELECT DISTINCT l AS "left", sample_id AS "right" FROM m JOIN f USING (g) WHERE l <> sample_id''')
+def exact_edges(spark, d):
+    return duplicates.exact_edges(table(spark, d, "quality_metrics"))
+
+
+_WALK = "both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), walk(v, c) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT e.b, w.c FROM walk w JOIN both_ways e ON e.a = w.v)"
+
+
+@query(f"WITH RECURSIVE {_PAIRS}, edges AS (SELECT DISTINCT a, b FROM pairs WHERE level IN ('exact_bytes', 'exact_pixels')), {_WALK} SELECT v, min(c) AS component FROM walk GROUP BY 1")
+def connected_components(spark, d):
+    links = table(spark, d, "duplicate_links").filter("level in ('exact_bytes', 'exact_pixels')")
+    return components.components(links.select(F.col("left_id").alias("left"), F.col("right_id").alias("right")))
+
+
+@query(f"WITH RECURSIVE edges AS (SELECT sample_id AS a, '~0|' || source_dataset || '|' || capture_group AS b FROM samples WHERE trim(capture_group) <> '' AND sample_id IS NOT NULL AND source_dataset IS NOT NULL UNION SELECT sample_id, '~1|' || source_dataset || '|' || video_id FROM samples WHERE trim(video_id) <> '' AND sample_id IS NOT NULL AND source_dataset IS NOT NULL), {_WALK} SELECT v, min(c) AS component FROM walk WHERE v NOT LIKE '~%' GROUP BY 1")
+def families(spark, d):
+    none = spark.createDataFrame([], "left string, right string")
+    return duplicates.families(table(spark, d, "samples"), none)
+
+
+@query("SELECT sample_id, pos, bit_count(xor(phashes[1], phashes[pos])) AS bits FROM (SELECT DISTINCT sample_id, phashes FROM descriptors WHERE phashes IS NOT NULL), unnest(range(2, 9)) AS u(pos) WHERE phashes[1] IS NOT NULL AND phashes[pos] IS NOT NULL")
+def hamming_of_variants(spark, d):
+    own = table(spark, d, "descriptors").filter("phashes is not null").select("sample_id", "phashes").distinct()
+    flat = own.select("sample_id", F.get("phashes", 0).alias("a"), F.posexplode("phashes").alias("pos", "b")).filter("pos > 0 and a is not null and b is not null")
+    return flat.select("sample_id", (F.col("pos") + 1).cast("long").alias("pos"), F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).cast("int").alias("bits"))
+
+
+@query("SELECT a.vec_id AS left, b.vec_id AS right, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.30")
+def semantic_neighbours(spark, d):
+    e = table(spark, d, "embeddings")
+    found = duplicates.all_semantic_pairs(e, "vec_id", "embedding", 0.30, e.filter("vec_id % 50 = 0"))
+    return found.select(F.col("query").alias("left"), F.col("other").alias("right"), F.round("similarity", 6).alias("similarity"))
+
+
+@query("SELECT a.vec_id AS left, b.vec_id AS right, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9")
+def semantic_pairs(spark, d):
+    return duplicates.semantic_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", 0.9).select("left", "right", F.round("similarity", 6).alias("similarity"))
+
+
+_UNIT = "flat AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), n AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM flat GROUP BY 1), u AS (SELECT vec_id, label, i, x / n AS x FROM flat JOIN n USING (vec_id)), m AS (SELECT label, i, avg(x) AS c FROM u GROUP BY 1, 2), l AS (SELECT label, sqrt(sum(c * c)) AS l FROM m GROUP BY 1), cen AS (SELECT label, i, c / l AS c FROM m JOIN l USING (label)), dist AS (SELECT u.vec_id, u.label, cen.label AS other, 1 - sum(u.x * cen.c) AS d FROM u JOIN cen USING (i) GROUP BY 1, 2, 3)"
+
+
+@query(f"WITH {_UNIT} SELECT vec_id, label, arg_min(other, d) FILTER (other <> label) AS nearer, round(min(d) FILTER (other = label), 6) AS own_distance, round(min(d) FILTER (other <> label), 6) AS nearer_distance FROM dist GROUP BY 1, 2 HAVING min(d) FILTER (other = label) > min(d) FILTER (other <> label) + 0.05")
+def mislabel_candidates(spark, d):
+    e = table(spark, d, "embeddings")
+    return duplicates.mislabelled(e, agg.centroids(e, "label", "embedding"), "vec_id", "label", "embedding")
+
+
+@query()
+def candidate_bands(spark, d):
+    return duplicates.band_keys(table(spark, d, "descriptors")).groupBy("bucket").agg(F.count("*").alias("members"))
+
+
+@query()
+def representative_assignment(spark, d):
+    links = table(spark, d, "duplicate_links").filter("left_id <> right_id and level in ('exact_bytes', 'exact_pixels')").select(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right"), "level").distinct()
+    parts = components.components(links)
+    facts = table(spark, d, "quality_metrics").groupBy("sample_id").agg(F.max(F.col("width") * F.col("height")).alias("area"), F.max(F.when(~F.isnan("blur_variance"), F.col("blur_variance"))).alias("sharpness"), *(F.max(c).alias(c) for c in ("is_corrupted", "has_watermark", "has_smearing", "low_resolution")))
+    names = table(spark, d, "samples").groupBy("sample_id").agg(F.min("filepath").alias("filepath"))
+    known = parts.select(F.col("v").alias("sample_id")).join(facts, "sample_id", "left").join(names, "sample_id", "left").withColumn("padding", F.lit(0.0))
+    return duplicates.assign_representatives(parts, links, known)
+
+
+# decisions
+
+_METRICS = "SELECT sample_id, measured_at, CASE WHEN processing_error THEN 'processing_error' WHEN is_corrupted THEN 'corrupted' WHEN has_watermark THEN 'watermark' WHEN low_resolution THEN 'low_resolution' WHEN has_smearing THEN 'smearing' WHEN b >= 0 AND b < 15 THEN 'severe_blur' WHEN b >= 0 AND b < 25 THEN 'blur' WHEN brightness_mean < 18 OR brightness_mean > 245 THEN 'brightness' WHEN brightness_p95 < 45 OR brightness_p5 > 210 THEN 'exposure' ELSE 'quality_ok' END AS reason FROM (SELECT *, CASE WHEN NOT isnan(blur_variance) THEN blur_variance END AS b FROM quality_metrics)"
+
+
+@query(f"SELECT sample_id, (measured_at::VARCHAR)[1:19] AS at, reason FROM ({_METRICS})")
+def quality_cascade(spark, d):
+    return table(spark, d, "quality_metrics").select("sample_id", F.date_format("measured_at", "yyyy-MM-dd HH:mm:ss").alias("at"), decisions.quality_rules().getField("reason").alias("reason"))
+
+
+@query(f"WITH {_WITH_SOURCE}, g AS (SELECT source_dataset AS s, count(*) AS n, count(*) FILTER (lower(status) = 'removed') AS r FROM dec GROUP BY 1) SELECT sample_id, coalesce(lower(status) = 'removed' AND coalesce(confidence, 0) < 0.98 AND r / n::DOUBLE > 0.10, false) AS braked FROM dec JOIN g ON g.s IS NOT DISTINCT FROM dec.source_dataset")
+def ratio_brake(spark, d):
+    rows = _with_source(spark, d).withColumn("status", F.lower("status")).withColumn("before", F.lit(False))
+    return decisions.ratio_brake(rows, ["source_dataset"], phase_limit=0.10).select("sample_id", "braked")
+
+
+@query()
+def decision_merge(spark, d):
+    rows = table(spark, d, "decisions")
+    current = rel.latest(rows.filter("phase = 'quality'"), "sample_id", "decided_at")
+    new = rel.latest(rows.filter("phase <> 'quality'"), "sample_id", "decided_at")
+    return decisions.merge(current, new)
+
+
+@query("SELECT sample_id, (decided_at::VARCHAR)[1:19] AS at, status FROM (SELECT *, lag(status) OVER w AS b, row_number() OVER w AS n FROM (SELECT DISTINCT sample_id, decided_at, status FROM decisions WHERE sample_id IS NOT NULL AND status IS NOT NULL) WINDOW w AS (PARTITION BY sample_id ORDER BY decided_at, status)) WHERE n = 1 OR b <> status")
+def status_history(spark, d):
+    rows = table(spark, d, "decisions").filter("sample_id is not null and status is not null").select("sample_id", "decided_at", "status").distinct()
+    return decisions.history(rows, "sample_id", "decided_at", "status").select("sample_id", F.date_format("decided_at", "yyyy-MM-dd HH:mm:ss").alias("at"), F.get_json_object("after", "$.status").alias("status"))
+
+
+@query(f"WITH {_LATEST}, a AS (SELECT DISTINCT sample_id, representative_id FROM decisions WHERE representative_id <> '') SELECT a.sample_id, a.representative_id, lower(one.status) AS representative_status FROM a LEFT JOIN one ON one.sample_id = a.representative_id WHERE coalesce(lower(one.status) <> 'kept', true)")
+def representative_reconcile(spark, d):
+    assigned = table(spark, d, "decisions").filter("representative_id <> ''").select("sample_id", "representative_id").distinct()
+    return decisions.reconcile(assigned, _latest_decisions(spark, d)).select("sample_id", "representative_id", "representative_status")
+
+
+# splits and balance
+
+
+@query("SELECT capture_group, list_sort(list(DISTINCT source_split) FILTER (source_split IS NOT NULL)) AS splits FROM samples WHERE capture_group IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source_split) > 1")
+def split_audit(spark, d):
+    return splits.split_groups(table(spark, d, "samples").withColumnRenamed("source_split", "split"), "capture_group")
+
+
+@query(f"WITH {_PAIRS}, s AS (SELECT sample_id, min(source_split) AS split FROM samples WHERE sample_id IS NOT NULL GROUP BY 1) SELECT p.a AS left, p.b AS right, x.split AS left_split, y.split AS right_split FROM (SELECT DISTINCT a, b FROM pairs WHERE level IN ('exact_bytes', 'exact_pixels', 'verified_visual', 'human_confirmed')) p JOIN s x ON x.sample_id = p.a JOIN s y ON y.sample_id = p.b WHERE x.split <> y.split")
+def crossing_pairs(spark, d):
+    pairs = table(spark, d, "duplicate_links").filter("left_id <> right_id").filter(F.col("level").isin(*duplicates.CONFIRMED)).select(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right")).distinct()
+    of = table(spark, d, "samples").filter("sample_id is not null").groupBy("sample_id").agg(F.min("source_split").alias("split"))
+    return splits.crossing_pairs(pairs, of).select("left", "right", "left_split", "right_split")
+
+
+@query()
+def group_allocation(spark, d):
+    rows = table(spark, d, "samples").select(F.coalesce("capture_group", "sample_id").alias("group_id"), F.col("source_label").alias("label"))
+    return splits.allocate(splits.group_table(rows), {"train": 0.8, "val": 0.1, "test": 0.1})
+
+
+@query("SELECT sample_id, CASE regexp_extract(lower(filepath), '/(train|test|valid|val|validation)/', 1) WHEN 'validation' THEN 'valid' ELSE regexp_extract(lower(filepath), '/(train|test|valid|val|validation)/', 1) END AS split FROM samples")
+def split_from_path(spark, d):
+    return table(spark, d, "samples").select("sample_id", tx.split_of_path(F.col("filepath")).alias("split"))
+
+
+@query(f"WITH {_TARGETS} SELECT label, sum(least(2000, greatest(0, a - rows)))::BIGINT AS rows FROM c, t WHERE a > rows GROUP BY 1")
+def oversample_rows(spark, d):
+    e = table(spark, d, "embeddings").withColumn("label", F.col("label"))
+    missing = agg.balance_targets(e, "label").select("label", F.col("missing_max").alias("missing"))
+    return balance.oversample_plan(e, missing, "label", "vec_id").groupBy("label").agg(F.count("*").alias("rows"))
+
+
+# labels
+
+
+@query(r"SELECT p_partkey, trim(regexp_replace(lower(regexp_replace(p_name, '[_-]', ' ', 'g')), '\s+', ' ', 'g')) AS plain, replace(trim(regexp_replace(lower(regexp_replace(p_name, '[_-]', ' ', 'g')), '\s+', ' ', 'g')), ' ', '_') AS label, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM part")
+def label_normal_forms(spark, d):
+    n = F.col("p_name")
+    return table(spark, d, "part").select("p_partkey", tx.normal_text(n).alias("plain"), tx.normal_label(n).alias("label"), tx.slug(n).alias("slug"))
+
+
+@query()
+def coarse_labels(spark, d):
+    return table(spark, d, "samples").select("sample_id", tx.ascii_label(F.col("source_label")).alias("plain"), tx.coarse_label(F.col("source_label")).alias("coarse"))
+
+
+@query()
+def ontology_labels(spark, d):
+    o = table(spark, d, "ontology").filter("field = 'disease'")
+    raw = o.select(F.col("name").alias("raw"), F.col("name").alias("canonical")).unionByName(o.select(F.explode("aliases").alias("raw"), F.col("name").alias("canonical")))
+    return labels.apply_ontology(table(spark, d, "samples").select("sample_id", "source_label"), raw, "source_label")
+
+
+@query()
+def label_suggestions(spark, d):
+    own = table(spark, d, "samples").filter("source_label is not null").select(tx.ascii_label(F.col("source_label")).alias("label")).groupBy("label").agg(F.count("*").alias("rows"))
+    return labels.label_pairs(own, "label", "rows")
+
+
+@query("SELECT a.r_name AS left, b.n_name AS right, round(len(list_intersect(list_distinct(string_split_regex(a.r_name, '[_ ]+')), list_distinct(string_split_regex(b.n_name, '[_ ]+')))) / len(list_distinct(string_split_regex(a.r_name, '[_ ]+') || string_split_regex(b.n_name, '[_ ]+')))::DOUBLE, 6) AS overlap FROM region a JOIN nation b ON a.r_regionkey = b.n_regionkey")
+def token_overlap(spark, d):
+    r, n = table(spark, d, "region"), table(spark, d, "nation")
+    return r.join(n, r.r_regionkey == n.n_regionkey).select(F.col("r_name").alias("left"), F.col("n_name").alias("right"), F.round(tx.token_jaccard(F.col("r_name"), F.col("n_name")), 6).alias("overlap"))
+
+
+# exports
+
+
+@query(r"SELECT s.sample_id, s.filepath, s.source_split, s.source_label, s.sample_id || lower(regexp_extract(s.filepath, '(\.[^./]+)$', 1)) AS export_name FROM samples s")
+def manifest_rows(spark, d):
+    return export.manifest(table(spark, d, "samples")).select("sample_id", "filepath", "source_split", "source_label", "export_name")
+
+
+@query("SELECT DISTINCT lower(asset_sha256) || '  ' || q.sample_id || lower(regexp_extract(s.filepath, '(\\.[^./]+)$', 1)) AS line FROM quality_metrics q JOIN (SELECT sample_id, min(filepath) AS filepath FROM samples GROUP BY 1) s USING (sample_id) WHERE asset_sha256 <> ''")
+def checksum_lines(spark, d):
+    names = table(spark, d, "samples").groupBy("sample_id").agg(F.min("filepath").alias("filepath"))
+    return export.checksum_lines(table(spark, d, "quality_metrics").filter("asset_sha256 <> ''").join(names, "sample_id")).distinct()
+
+
+@query("WITH c AS (SELECT l_shipmode, row_number() OVER (ORDER BY l_shipmode) - 1 AS k FROM (SELECT DISTINCT l_returnflag AS l_shipmode FROM lineitem)) SELECT l_orderkey::VARCHAR AS sample_id, string_agg(printf('%d %.6f %.6f %.6f %.6f', k, l_discount + 0.1, l_tax + 0.05, 0.2, 0.1), chr(10) ORDER BY k, printf('%d %.6f %.6f %.6f %.6f', k, l_discount + 0.1, l_tax + 0.05, 0.2, 0.1)) AS text FROM lineitem JOIN c ON c.l_shipmode = l_returnflag GROUP BY 1")
+def yolo_label_text(spark, d):
+    boxes = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("sample_id"), F.col("l_returnflag").alias("label"), F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.2), F.lit(0.1)).alias("box"))
+    return export.yolo_labels(boxes, export.class_ids(boxes, "label"))
+
+
+@query()
+def coco_annotations(spark, d):
+    boxes = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("sample_id"), F.col("l_returnflag").alias("label"), F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.2), F.lit(0.1)).alias("box"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    return export.coco_rows(boxes, export.class_ids(boxes, "label"))
+
+
+@query("SELECT label_id, filename, split, disease, CASE WHEN condition IS NOT NULL THEN condition WHEN lower(disease) IN ('sano', 'healthy') THEN 'sano' ELSE 'enfermo' END AS condition FROM labels")
+def clean_labels(spark, d):
+    return table(spark, d, "labels").select("label_id", "filename", "split", "disease", export.condition_of(F.col("condition"), F.lit(None).cast("string"), F.col("disease")).alias("condition"))
