@@ -89,12 +89,10 @@ SQL["p2_found"] = """
 WITH one AS (
   SELECT sample_id, arg_max(histogram, (computed_at IS NOT NULL, computed_at)) AS h FROM descriptors
   WHERE sample_id IS NOT NULL AND len(histogram) = 512 GROUP BY 1),
-fine AS (
-  SELECT sample_id, [x::DOUBLE FOR x IN h] AS v FROM one
+fine AS MATERIALIZED (
+  SELECT sample_id, [x::DOUBLE FOR x IN h]::DOUBLE[512] AS v FROM one
   WHERE len([1 FOR x IN h IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([1 FOR x IN h IF x <> 0]) > 0),
-ranked AS (
-  SELECT a.sample_id AS a, b.sample_id AS b, list_cosine_similarity(a.v, b.v) AS s,
-    row_number() OVER (PARTITION BY a.sample_id ORDER BY round(list_cosine_similarity(a.v, b.v), 9) DESC, b.sample_id) AS place
-  FROM fine a JOIN fine b ON a.sample_id <> b.sample_id)
+alike AS MATERIALIZED (SELECT a.sample_id AS a, b.sample_id AS b, array_cosine_similarity(a.v, b.v) AS s FROM fine a JOIN fine b ON a.sample_id <> b.sample_id),
+ranked AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY round(s, 9) DESC, b) AS place FROM alike)
 SELECT DISTINCT least(a, b) AS left_id, greatest(a, b) AS right_id FROM ranked WHERE place <= 20 AND s >= 0.9
 """
