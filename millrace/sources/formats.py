@@ -70,10 +70,27 @@ def decoded(spark: SparkSession, folder: str) -> DataFrame:
     return image.select(F.regexp_replace("origin", "^file:/*", "/").alias("path"), "height", "width", F.col("nChannels").alias("channels"), "data").join(raw.select(clean.alias("path"), "digest"), "path", "left")
 
 
+def _coco_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc, images, annotations, categories). The usual name begins with an underscore, which Spark's
+    file sources hide, so tasks read the files themselves; one file is one row."""
+
+    def load(parts):
+        for part in parts:
+            texts = []
+            for p in part["doc"]:
+                with open(p, encoding="utf-8") as f:
+                    texts.append(f.read())
+            yield part.assign(text=texts)
+
+    files = files_below(folder, "json")
+    paths = spark.createDataFrame([(p,) for p in files] or [], "doc string").repartition(max(1, min(len(files), 200)))
+    return paths.mapInPandas(load, "doc string, text string").select("doc", F.from_json("text", COCO).alias("c")).select("doc", "c.*")
+
+
 def read_coco(spark: SparkSession, folder: str, source: str, strict: bool = False) -> DataFrame:
     """Pictures with their boxes. Annotations without a picture, and pictures outside the folder, are
     left out; with ``strict`` they are an error."""
-    doc = spark.read.schema(COCO).json(files_below(folder, "json"), multiLine=True).withColumn("doc", F.input_file_name())
+    doc = _coco_documents(spark, folder)
     images = doc.select("doc", F.explode("images").alias("i")).select("doc", "i.*")
     safe = ~F.col("file_name").rlike(r"(^/)|(^|/)\.\.(/|$)") & F.col("file_name").isNotNull()
     notes = doc.select("doc", F.explode("annotations").alias("a")).select("doc", "a.*").withColumnRenamed("id", "annotation_id")
@@ -194,7 +211,7 @@ def audit(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """(code, severity, item) of structural faults, without changing anything."""
     rows = []
     if kind == "coco":
-        doc = spark.read.schema(COCO).json(files_below(folder, "json"), multiLine=True).withColumn("doc", F.input_file_name())
+        doc = _coco_documents(spark, folder)
         images = doc.select("doc", F.explode("images").alias("i")).select("doc", "i.*")
         notes = doc.select("doc", F.explode("annotations").alias("a")).select("doc", "a.*")
         names = doc.select("doc", F.explode("categories").alias("c")).select("doc", F.col("c.id").alias("category_id"))
