@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -32,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.reuse import once
+
 #: Words that qualify a value without changing what it means.
 QUALIFIERS = frozenset(
     "a al algo avanzada avanzado aparente aparentemente caso casi clara claro con confirmar creo de del dudosa dudoso el en es fase foto fuerte fruto grado grave hoja hojas inicial la leve leves ligera ligero lado los las mas media medio moderada moderado muy nivel ok parcial parece posible posibles probable probablemente quizas quiza revisar severa severo sombra sospecha tal tallo tipico tipica un una vez ver zona y "
@@ -137,12 +140,11 @@ class Dictionary:
         if not edits:
             return None
         found: dict[int, float] = {}
-        for rest in deletes(text, edits):
-            for form in self.index.get(rest, ()):
-                limit = min(edits, edits_for(len(form)))
-                if limit and (d := distance(text, form, 1.2 * limit)) < 9:
-                    for e in self.exact[form]:
-                        found[e] = min(d, found.get(e, 9.0))
+        for form in {f for rest in deletes(text, edits) for f in self.index.get(rest, ())}:
+            limit = min(edits, edits_for(len(form)))
+            if limit and (d := distance(text, form, 1.2 * limit)) < 9:
+                for e in self.exact[form]:
+                    found[e] = min(d, found.get(e, 9.0))
         return self.best(found)
 
     def shortened(self, run: list[str]) -> tuple[float, int, int] | None:
@@ -237,11 +239,11 @@ def map_entries(labels: DataFrame, ontology: DataFrame, block_entries: int = 200
     rows = entries.join(F.broadcast(names) if len(forms) <= 5 * block_entries else names, ["field", "value"], "left")
 
     def block(part: list[tuple[int, str, str, list[str]]]):
-        shared = spark.sparkContext.broadcast((part, frequency))
+        shared, name = spark.sparkContext.broadcast((part, frequency)), uuid.uuid4().hex
 
         @F.pandas_udf("struct<distance double, rank bigint, entry_id bigint>")
         def meaning(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            look = resolver(*shared.value)
+            look = once(name, lambda: resolver(*shared.value))
             for field, value in batches:
                 got = [look(f, v) or (99.0, 0, 0) for f, v in zip(field, value)]
                 yield pd.DataFrame(got, columns=["distance", "rank", "entry_id"])
