@@ -15,6 +15,7 @@ text; lone surrogates can't occur in Spark's strings.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.reuse import once
+
 #: Fixed value: the pattern that cuts texts before the merges, as published with the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -129,10 +132,10 @@ class Encoder:
 
 def encode_documents(documents: DataFrame, tokenizer: str = "/opt/tokenizers/byte_bpe_50k.json") -> DataFrame:
     """(doc_id, ids) of every document. The vocabulary (bounded: a published file) is broadcast."""
-    model = documents.sparkSession.sparkContext.broadcast(load(tokenizer))
+    model, name = documents.sparkSession.sparkContext.broadcast(load(tokenizer)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*model.value)
+        encoder = once(name, lambda: Encoder(*model.value))
         for batch in batches:
             for part in range(0, batch.num_rows, 256):
                 rows = batch.slice(part, 256)
