@@ -181,7 +181,7 @@ class Dictionary:
             return self.near(joined, 0)
         sizes = range(min(len(own) - 1, 6), 0, -1)
         for fuzzy in (False, True):
-            if fuzzy and (got := self.near(joined, edits_for(len(joined) + 2)) or self.shortened(own)):
+            if fuzzy and bare[0] not in NEGATIONS and (got := self.near(joined, edits_for(len(joined) + 2)) or self.shortened(own)):
                 return got
             for size in sizes:
                 tried = []

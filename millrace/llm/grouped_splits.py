@@ -67,7 +67,8 @@ def stratify(units: list[tuple[str, dict[int, int]]], proportions: tuple[float,
             totals[label] = totals.get(label, 0) + n
             holders.setdefault(label, []).append(i)
     need = {x: [n * p for p in proportions] for x, n in totals.items()}
-    room = [sum(totals.values()) * p for p in proportions]
+    whole = sum(totals.values())
+    room = [whole * p for p in proportions]
     left, out = dict(totals), {}
     placed = [False] * len(units)
     while left:
@@ -75,7 +76,14 @@ def stratify(units: list[tuple[str, dict[int, int]]], proportions: tuple[float,
         for i in sorted((i for i in holders[label] if not placed[i]), key=lambda i: (-units[i][1][label], units[i][0])):
             name, counts = units[i]
             tie = hashlib.sha256(name.encode()).digest()[0]
-            best = max(range(len(proportions)), key=lambda s: (need[label][s], room[s], (tie + s) % len(proportions)))
+            size = sum(counts.values())
+
+            def wanting(s: int, n: int = counts[label], size: int = size) -> tuple:
+                """The share of its own that a split still wants when half of the unit is in it."""
+                p = max(proportions[s], 1e-9)
+                return round((need[label][s] - n / 2) / (totals[label] * p), 9), round((room[s] - size / 2) / (whole * p), 9), (tie + s) % len(proportions)
+
+            best = max(range(len(proportions)), key=wanting)
             placed[i], out[name] = True, best
             for x, n in counts.items():
                 need[x][best] -= n
