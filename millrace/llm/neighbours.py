@@ -309,7 +309,7 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, size: int, sample: int
     return local_join(met.select("center", "salt", "member", "new", "own", "worst", "idx", "val"), size, k, part), marked
 
 
-def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 8, window: int = 512, sample: int = 10, rounds: int = 4, seed: int = 7141) -> tuple[DataFrame, DataFrame, DataFrame]:
+def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 12, window: int = 512, sample: int = 14, rounds: int = 5, seed: int = 7141) -> tuple[DataFrame, DataFrame, DataFrame]:
     """vectors(id, v) -> (members(id, cid), classes(cid, idx, val), graph(cid, nbr, sim)), staged."""
     coded = stage(encode(vectors, size, orders, seed), "coded")
     codes = [f"code{o}" for o in range(orders)]
