@@ -25,6 +25,7 @@ vectors give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -310,7 +311,7 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, size: int, sample: int
 
 
 def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 12, window: int = 512, sample: int = 14, rounds: int = 5, seed: int = 7141) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """vectors(id, v) -> (members(id, cid), classes(cid, idx, val), graph(cid, nbr, sim)), staged."""
+    """vectors(id, v) -> (members(id, cid), classes(cid, idx, val, code0, ...), graph(cid, nbr, sim)), staged."""
     coded = stage(encode(vectors, size, orders, seed), "coded")
     codes = [f"code{o}" for o in range(orders)]
     once = coded.groupBy("key").agg(*(F.first(c).alias(c) for c in ("idx", "val", *codes)))
@@ -330,7 +331,7 @@ def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: in
         entries, fresh = graph.agg(F.sum(F.size("nbr")), F.sum(F.size(F.filter("new", lambda x: x)))).first()
         if (fresh or 0) < 0.001 * (entries or 1):
             break
-    return members, classes.drop("key", *codes), graph.select("cid", F.inline(F.arrays_zip("nbr", "sim")))
+    return members, classes.drop("key"), graph.select("cid", F.inline(F.arrays_zip("nbr", "sim")))
 
 
 def nearest_pairs(members: DataFrame, graph: DataFrame, k: int = 20, least: float = 0.9) -> DataFrame:
@@ -355,40 +356,87 @@ def nearest_pairs(members: DataFrame, graph: DataFrame, k: int = 20, least: floa
     return both.groupBy("left_id", "right_id").agg(F.max("cosine").alias("cosine"))
 
 
-def search(queries: DataFrame, members: DataFrame, classes: DataFrame, graph: DataFrame, k: int = 20, size: int = 512, beam: int = 48, entries: int = 512, rounds: int = 5, seed: int = 7141) -> DataFrame:
+def search(queries: DataFrame, members: DataFrame, classes: DataFrame, graph: DataFrame, k: int = 20, size: int = 512, beam: int | None = None, entries: int = 512, window: int = 512, seed: int = 7141) -> DataFrame:
     """queries(id, v) -> (id, neighbour, cosine): greedy search along the graph.
 
-    Each query starts from the best of ``entries`` classes picked by hash (a bounded number, which is
-    broadcast), and in each round the beam of its best classes is widened by their neighbours.
+    Each query starts from the best of the classes next to it in the orders of the graph that need
+    no mean (some ``window`` in each), and of ``entries`` classes picked by hash (a bounded number,
+    which is broadcast). In each round the beam of its best classes is widened by their neighbours,
+    until all classes of all beams have been widened. A class that left a beam never comes back, so
+    the rounds end. The beam grows with the square root of the classes, unless it is given; ``seed``
+    must be the graph's.
     """
-    asked = encode(queries, size, 1, seed).select(F.col("id").alias("q"), F.col("idx").alias("qi"), F.col("val").alias("qv"))
-    asked = stage(asked, "asked")
-    dot = lambda: _dot("qi", "qv", "idx", "val", size)
-    starts = classes.orderBy(F.xxhash64("cid")).limit(entries)
+    beam = max(beam or max(48, math.isqrt(classes.count())), k + 1)
+    codes = [c for c in classes.columns if c.startswith("code")]
+    asked = stage(encode(queries, size, max(1, len(codes)), seed).drop("key").withColumnRenamed("id", "q"), "asked")
+    kind = asked.schema["q"].dataType.simpleString()
+    vectors = asked.select("q", F.col("idx").alias("qi"), F.col("val").alias("qv"))
     beam_of = lambda df: df.withColumn("place", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "cid"))).filter(F.col("place") <= beam).drop("place")
-    held = stage(beam_of(asked.crossJoin(F.broadcast(starts)).select("q", "cid", dot().alias("sim"))).withColumn("open", F.lit(True)), "beam")
-    both = graph.select("cid", "nbr").unionByName(graph.select(F.col("nbr").alias("cid"), F.col("cid").alias("nbr"))).distinct()
-    for _ in range(rounds):
+    picked = classes.orderBy(F.xxhash64("cid")).limit(entries).select("cid", "idx", "val")
+    starts = _scored(vectors.crossJoin(F.broadcast(picked)), kind, size)
+    for c in codes:
+        if int(c[4:]) % 4:
+            starts = starts.unionByName(_beside(asked, classes, c, kind, size, window, beam))
+    held = stage(beam_of(starts.groupBy("q", "cid").agg(F.max("sim").alias("sim"))).withColumn("open", F.lit(True)), "beam")
+    both = stage(graph.select("cid", "nbr").unionByName(graph.select(F.col("nbr").alias("cid"), F.col("cid").alias("nbr"))).distinct(), "both")
+    while not held.filter("open").isEmpty():
         next_ = held.filter("open").join(both, "cid").select("q", F.col("nbr").alias("cid")).distinct().join(held.select("q", "cid"), ["q", "cid"], "left_anti")
-        scored = next_.join(classes, "cid").join(asked, "q").select("q", "cid", dot().alias("sim")).withColumn("open", F.lit(True))
+        scored = _scored(next_.join(classes.select("cid", "idx", "val"), "cid").join(vectors, "q"), kind, size).withColumn("open", F.lit(True))
         following = stage(beam_of(held.withColumn("open", F.lit(False)).unionByName(scored)), "beam")
         drop(held)
         held = following
+    drop(both)
     few = members.withColumn("place", F.row_number().over(W.partitionBy("cid").orderBy("id"))).filter(F.col("place") <= k + 1).drop("place")
     out = held.join(few, "cid").filter(F.col("id") != F.col("q"))
     return out.withColumn("place", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "id"))).filter(F.col("place") <= k).select(F.col("q").alias("id"), F.col("id").alias("neighbour"), F.col("sim").alias("cosine"))
 
 
-def _dot(qi: str, qv: str, idx: str, val: str, size: int):
-    @F.pandas_udf("double")
-    def run(a, x, b, y):
-        import pandas as pd
+def _beside(asked: DataFrame, classes: DataFrame, code: str, kind: str, size: int, window: int, most: int) -> DataFrame:
+    """(q, cid, sim): the best ``most`` of some ``window`` classes among which a query falls in one order."""
+
+    def compare(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        query = part.column("cid").is_null()
+        near = part.filter(pa.array(~query.to_numpy(zero_copy_only=False)))
+        ids, x, mine = near.column("cid").to_numpy(), _dense(near, size), part.filter(query)
+        m = min(most, len(ids))
+        for at in range(0, mine.num_rows if m else 0, 1000):
+            here = mine.slice(at, 1000)
+            s = _dense(here, size) @ x.T
+            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+            q = here.column("q").take(pa.array(np.repeat(np.arange(here.num_rows), m)))
+            yield pa.RecordBatch.from_arrays([q, pa.array(ids[top].ravel()), pa.array(np.take_along_axis(s, top, 1).ravel().astype(np.float64))], ["q", "cid", "sim"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows - batch.column("cid").null_count
+            if n >= 2 * window:
+                whole = _joined(held)
+                place = np.flatnonzero(~whole.column("cid").is_null().to_numpy(zero_copy_only=False))
+                lo = 0
+                while len(place) >= 2 * window:
+                    yield from compare(whole.slice(lo, place[window] - lo))
+                    lo, place = place[window], place[window:]
+                held, n = [whole.slice(lo)], len(place)
+        if n:
+            yield from compare(_joined(held))
+
+    own = classes.select(F.lit(None).cast(kind).alias("q"), "cid", "idx", "val", code)
+    rows = own.unionByName(asked.select("q", F.lit(None).cast("bigint").alias("cid"), "idx", "val", code))
+    return rows.repartitionByRange(code).sortWithinPartitions(code, F.xxhash64("q", "cid")).drop(code).mapInArrow(run, f"q {kind}, cid bigint, sim double")
+
+
+def _scored(pairs: DataFrame, kind: str, size: int) -> DataFrame:
+    """pairs(q, cid, qi, qv, idx, val) -> (q, cid, sim)."""
 
-        out = np.zeros(len(a))
-        for n, (i, u, j, v) in enumerate(zip(a, x, b, y)):
-            full = np.zeros(size, np.float32)
-            full[np.frombuffer(i, np.uint16)] = np.frombuffer(u, np.float32)
-            out[n] = full[np.frombuffer(j, np.uint16)] @ np.frombuffer(v, np.float32)
-        return pd.Series(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                query = pa.RecordBatch.from_arrays([batch.column("qi"), batch.column("qv")], ["idx", "val"])
+                s = np.einsum("ij,ij->i", _dense(query, size), _dense(batch, size))
+                yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("cid"), pa.array(s.astype(np.float64))], ["q", "cid", "sim"])
 
-    return run(qi, qv, idx, val)
+    return pairs.select("q", "cid", "qi", "qv", "idx", "val").mapInArrow(run, f"q {kind}, cid bigint, sim double")

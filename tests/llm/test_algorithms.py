@@ -130,6 +130,18 @@ def test_neighbours_against_brute_force(spark):
     assert len(found) == 200 and good >= 180
 
 
+def test_search_goes_on_until_nothing_is_open(spark):
+    n = 1000  # a ring: from one start, five rounds of neighbours see a small part of it
+    angle = np.random.default_rng(1).permutation(n) * 2 * np.pi / n
+    x = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+    df = spark.createDataFrame([(f"{i:04d}", [float(a) for a in r], None) for i, r in enumerate(x)], "sample_id string, histogram array<float>, computed_at timestamp_ntz")
+    v = neighbours.usable(df, "sample_id", "histogram", 2, "computed_at")
+    members, classes, graph = neighbours.neighbour_graph(v, k=6, size=2, window=64, orders=4)
+    found = neighbours.search(v.filter("id < '0050'"), members, classes, graph, k=4, size=2, entries=1, beam=8).collect()
+    good = sum(r.cosine >= np.cos(2 * 2 * np.pi / n) - 1e-6 for r in found)
+    assert len(found) == 200 and good >= 190
+
+
 def test_neighbours_of_few_vectors(spark):
     schema = "sample_id string, histogram array<float>, computed_at timestamp_ntz"
     for rows, n in (([], 0), ([("a", [1.0, 2.0], None)], 0), ([("a", [1.0, 2.0], None), ("b", [2.0, 4.0], None)], 1)):
