@@ -100,6 +100,22 @@ def test_semantic_pairs_find_all_close_ones(spark):
     assert exact == want
 
 
+@pytest.mark.parametrize("size", [{}, {"block": 100}])
+def test_semantic_pairs_lose_none_at_the_threshold(spark, size):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    a = rng.standard_normal((1000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal(a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9005 * a + np.sqrt(1 - 0.9005**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    x = np.concatenate([a, b, np.zeros((2, 64))])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<float>")
+    got = [(r.left, r.right) for r in duplicates.semantic_pairs(df, "id", "v", 0.9, **size).collect()]
+    assert sorted(got) == [(i, i + 1000) for i in range(1000)]
+
+
 def test_representatives_have_direct_evidence(spark):
     parts = spark.createDataFrame([(v, "a") for v in "abcd"], "v string, component string")
     edges = spark.createDataFrame([("a", "b", "e"), ("b", "c", "e"), ("c", "d", "e")], "left string, right string, level string")
