@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,16 +76,17 @@ def stem_of(label: Column) -> Column:
 def label_pairs(labels: DataFrame, label: str, rows: str, least_ratio: float = 0.75, least_overlap: float = 0.5) -> DataFrame:
     """Pairs of labels that look alike: (left, right, ratio, overlap, category, merge, canonical).
 
-    labels(label, rows) with one row a label. Candidates share a token, or the first or last four
-    letters of the label, or two adjacent letter triples at the same end; only those are compared,
-    so a vocabulary of a million labels needs no cross join.
+    labels(label, rows) with one row a label. No pair that reaches a limit is lost: candidates share
+    a token (for the overlap), or have enough letters in common, wherever these stand, for the ratio
+    (of the labels or of their stems). The latter are looked for among all pairs, in blocks.
     """
     own = labels.filter(F.col(label).isNotNull()).select(F.col(label).alias("l"), F.col(rows).alias("n"))
-    keys = F.array_distinct(F.concat(F.filter(F.split("l", "[_ ]+"), lambda t: F.length(t) > 2), F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("l") - 3)), lambda i: F.concat(F.lit("#"), F.substring("l", i, F.lit(4))))))
-    keyed = own.select("l", "n", F.explode(keys).alias("k"))
-    a = keyed.select(F.col("l").alias("left"), F.col("n").alias("left_rows"), "k")
-    b = keyed.select(F.col("l").alias("right"), F.col("n").alias("right_rows"), "k")
-    pairs = a.join(b, "k").filter("left < right").drop("k").distinct()
+    keyed = own.select("l", F.explode(F.array_distinct(F.split("l", "[_ ]+"))).alias("k"))
+    sharing = keyed.select(F.col("l").alias("left"), "k").join(keyed.select(F.col("l").alias("right"), "k"), "k").filter("left < right").select("left", "right")
+    pairs = sharing.unionByName(_alike(own, least_ratio)).distinct()
+    if least_overlap <= 0:
+        pairs = own.select(F.col("l").alias("left")).crossJoin(own.select(F.col("l").alias("right"))).filter("left < right")
+    pairs = pairs.join(own.select(F.col("l").alias("left"), F.col("n").alias("left_rows")), "left").join(own.select(F.col("l").alias("right"), F.col("n").alias("right_rows")), "right")
     ratio = F.greatest(sequence_ratio("left", "right"), sequence_ratio(stem_of(F.col("left")), stem_of(F.col("right"))))
     scored = pairs.withColumn("ratio", F.round(ratio, 6)).withColumn("overlap", F.round(token_jaccard(F.col("left"), F.col("right")), 6)).filter((F.col("ratio") >= least_ratio) | (F.col("overlap") >= least_overlap))
     opposite = F.lit(False)
@@ -92,3 +95,40 @@ def label_pairs(labels: DataFrame, label: str, rows: str, least_ratio: float = 0
     category = F.when(opposite, "lifecycle").when((F.col("ratio") >= 0.85) & (F.col("overlap") < 0.5), "typo_variant").when(F.col("ratio") >= 0.85, "exact_variant").otherwise("shared_tokens")
     out = scored.withColumn("category", category)
     return out.withColumn("merge", F.col("category").isin("typo_variant", "exact_variant")).withColumn("canonical", F.when(F.col("right_rows") > F.col("left_rows"), F.col("right")).otherwise(F.col("left")))
+
+
+def _alike(own: DataFrame, least_ratio: float, block: int = 1024) -> DataFrame:
+    """(left, right) of labels ``l`` whose ratio may reach ``least_ratio``, going by their letters.
+
+    A ratio is twice the matching letters by all letters, and no more letters match than both labels
+    have, in whatever order. Letters are counted in 64 kinds, which can only raise that bound.
+    """
+    blocks = max(1, -(-own.count() // block))
+    placed = own.select("l", stem_of(F.col("l")).alias("s"), F.pmod(F.xxhash64("l"), F.lit(blocks)).cast("int").alias("b")).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    met = placed.select(F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "l", "s")
+
+    def counts(words: pd.Series) -> np.ndarray:
+        out = np.zeros((len(words), 64), np.int32)
+        for row, word in enumerate(words):
+            for c in word:
+                out[row, ord(c) % 64] += 1
+        return out
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        first, last = rows["i"].iloc[0], rows["j"].iloc[0]
+        a, b = rows[rows["b"] == first], rows[rows["b"] == last]
+        names, others = a["l"].to_numpy(), b["l"].to_numpy()
+        forms = [(counts(a[c]), counts(b[c])) for c in ("l", "s")]
+        out = []
+        for at in range(0, len(names), 256):
+            fine = np.zeros((len(names[at : at + 256]), len(others)), bool)
+            for x, y in forms:
+                x = x[at : at + 256]
+                common = sum(np.minimum(x[:, k, None], y[None, :, k]) for k in range(64))
+                letters = x.sum(axis=1)[:, None] + y.sum(axis=1)[None, :]
+                fine |= np.where(letters > 0, 2 * common / np.maximum(letters, 1), 1.0) >= least_ratio - 1e-6
+            p, q = np.nonzero(fine)
+            out += [(x, y) for x, y in zip(names[at + p], others[q]) if x != y]
+        return pd.DataFrame(out, columns=["l", "r"])
+
+    return met.groupBy("i", "j").applyInPandas(compare, "l string, r string").select(F.least("l", "r").alias("left"), F.greatest("l", "r").alias("right"))

@@ -184,6 +184,22 @@ def test_label_pairs(spark):
     assert got[("leaf_spot", "leaf_spots")][1:] == (True, "leaf_spot") and got[("ripe", "unripe")][:2] == ("lifecycle", False)
 
 
+def test_label_pairs_are_those_of_all_pairs(spark):
+    import difflib
+    import random
+
+    rng = random.Random(4)
+    words = {"mould", "mold", "rust", "rast", "a", "a_b", "s", "es"} | {"".join(rng.choice("abcd_") for _ in range(rng.randint(2, 9))) for _ in range(150)}
+    df = spark.createDataFrame([(w, 1) for w in sorted(words)], "l string, n long")
+    got = {(r.left, r.right): r for r in labels.label_pairs(df, "l", "n").collect()}
+    assert got["mold", "mould"].merge and got["mold", "mould"].ratio == 0.888889 and ("rast", "rust") in got
+    from millrace.operators.labels import stem_of
+    stem = {r.l: r.s for r in df.select("l", stem_of(F.col("l")).alias("s")).collect()}
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
+    want = {(a, b) for a in words for b in words if a < b and round(max(ratio(a, b), ratio(stem[a], stem[b])), 6) >= 0.75}
+    assert want == {k for k, r in got.items() if r.ratio >= 0.75} and ("a", "a_b") in got
+
+
 def test_nan_is_unknown(spark):
     df = spark.createDataFrame([(float("nan"), 2.0), (None, None)], "a double, b double")
     assert [r[0] for r in df.select(rel.first_known(F.col("a"), F.col("b"), default=-1)).collect()] == [2.0, -1.0]
