@@ -21,23 +21,16 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import known_key as plain
 from millrace.llm.grid_components import components
 
-#: Spellings of "not known", without case, spaces, hyphens and underscores.
-UNKNOWN = ("", "unknown", "unk", "n/a", "na", "n/d", "nd", "s/d", "sd", "null", "nil", "none", "nan", "?", "??", "???", ".", "*", "desconocido", "desconocida", "sindato", "sindatos", "noaplica", "notavailable", "notapplicable", "undefined", "unspecified", "desconhecido", "semdado", "semdados", "tbd", "<na>", "(null)", "[null]")
 KEYS = ("capture_group", "video_id", "location")
 SPLITS = ("train", "val", "test")
 
 
-def plain(value: Column) -> Column:
-    """A key without case, spaces, hyphens and underscores; null if it says nothing."""
-    out = F.regexp_replace(F.lower(value), r"[\s\p{Z}\p{Cf}_\-‐‑‒–—]+", "")
-    return F.when(~out.isin(*UNKNOWN), out)
-
-
 def ties(samples: DataFrame) -> DataFrame:
     """(left, right): a sample and a key it has. '~' keeps keys behind every id."""
     source = plain(F.col("source_dataset"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.text import known_key
 from millrace.operators.components import components
 from millrace.operators.ranking import keep_order
 
@@ -143,6 +144,29 @@ def families(samples: DataFrame, edges: DataFrame, keys: tuple[str, ...] = ("cap
     return components(tied.unionByName(stars) if stars is not None else tied).filter(~F.col("v").startswith("~"))
 
 
+def confirmed_edges(links: DataFrame, samples: DataFrame) -> DataFrame:
+    """(left, right) of known samples with a confirmed link, of which no row is rejected."""
+    pair = links.filter("left_id <> right_id").groupBy(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right"))
+    kept = pair.agg(F.max(F.coalesce("rejected", F.lit(False))).alias("rejected"), F.max(F.coalesce(F.col("level").isin(*CONFIRMED), F.lit(False))).alias("confirmed")).filter("confirmed and not rejected")
+    known = samples.select("sample_id").filter("sample_id is not null").distinct()
+    for side in ("left", "right"):
+        kept = kept.join(known.withColumnRenamed("sample_id", side), side, "left_semi")
+    return kept.select("left", "right")
+
+
+def all_families(samples: DataFrame, links: DataFrame) -> DataFrame:
+    """(sample_id, group_id) of every sample: tied by confirmed links, by capture group, video and
+    location within a source, and by duplicate cluster anywhere. A key or source that says nothing
+    ('', 'NULL', 'unknown') ties nothing; a sample without ties is its own group."""
+    source = known_key(F.col("source_dataset"))
+    keys = [F.concat(F.lit(f"~{i}|"), source, F.lit("|"), known_key(F.col(k))) for i, k in enumerate(("capture_group", "video_id", "location"))]
+    keys.append(F.concat(F.lit("~9|"), known_key(F.col("duplicate_cluster_id"))))
+    stars = samples.filter("sample_id is not null").select(F.col("sample_id").alias("left"), F.explode(F.array(*keys)).alias("right")).filter("right is not null")
+    parts = components(confirmed_edges(links, samples).unionByName(stars)).filter(~F.col("v").startswith("~")).withColumnRenamed("v", "sample_id")
+    ids = samples.select("sample_id").filter("sample_id is not null").distinct()
+    return ids.join(parts, "sample_id", "left").select("sample_id", F.coalesce("component", "sample_id").alias("group_id"))
+
+
 def assign_representatives(parts: DataFrame, edges: DataFrame, facts: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """(sample_id, representative_id, level): who is replaced by whom.
 

@@ -13,7 +13,7 @@ from millrace.operators import aggregates as agg
 from millrace.operators import balance, components, decisions, duplicates, labels, ranking, small_files, splits
 from millrace.operators import relational as rel
 from millrace.sinks import export
-from millrace.storage import table
+from millrace.storage import stage, table
 
 SQL: dict[str, str] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -330,6 +330,12 @@ def families(spark, d):
     return duplicates.families(table(spark, d, "samples"), none)
 
 
+@query()
+def sample_families(spark, d):
+    """Every sample with its family: all four keys and the links."""
+    return duplicates.all_families(table(spark, d, "samples"), table(spark, d, "duplicate_links"))
+
+
 @query("SELECT sample_id, pos, bit_count(xor(phashes[1], phashes[pos])) AS bits FROM (SELECT DISTINCT sample_id, phashes FROM descriptors WHERE phashes IS NOT NULL), unnest(range(2, 9)) AS u(pos) WHERE phashes[1] IS NOT NULL AND phashes[pos] IS NOT NULL")
 def hamming_of_variants(spark, d):
     own = table(spark, d, "descriptors").filter("phashes is not null").select("sample_id", "phashes").distinct()
@@ -426,7 +432,8 @@ def crossing_pairs(spark, d):
 
 @query()
 def group_allocation(spark, d):
-    rows = table(spark, d, "samples").select(F.coalesce("capture_group", "sample_id").alias("group_id"), F.col("source_label").alias("label"))
+    samples = table(spark, d, "samples")
+    rows = samples.join(stage(duplicates.all_families(samples, table(spark, d, "duplicate_links")), "families"), "sample_id").select("group_id", F.col("source_label").alias("label"))
     return splits.allocate(splits.group_table(rows), {"train": 0.8, "val": 0.1, "test": 0.1})
 
 

@@ -124,6 +124,14 @@ def test_representatives_have_direct_evidence(spark):
     assert got == {("b", "a"), ("d", "c")}
 
 
+def test_families_by_links_and_all_keys(spark):
+    rows = [("a", "s", "g", None, None, None), ("b", "s", "g", None, None, None), ("c", "t", "g", None, None, None), ("d", "s", "NULL", "", "field", "k"), ("e", "s", "unknown", None, "field", None), ("f", "t", "NULL", None, "field", "K"), ("h", "s", "NULL", None, None, None), ("i", None, "g", None, None, None)]
+    samples = spark.createDataFrame(rows, "sample_id string, source_dataset string, capture_group string, video_id string, location string, duplicate_cluster_id string")
+    links = [("b", "c", "exact_bytes", None), ("c", "h", "human_confirmed", False), ("h", "c", "exact_bytes", True), ("a", "i", "candidate", False), ("a", "x", "exact_bytes", False)]
+    got = {r.sample_id: r.group_id for r in duplicates.all_families(samples, spark.createDataFrame(links, "left_id string, right_id string, level string, rejected boolean")).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d", "f": "d", "h": "h", "i": "i"}
+
+
 def test_first_match_skips_nulls(spark):
     m = spark.createDataFrame([(None, None, None, None, None, float("nan"), 100.0, 90.0, 50.0), (False, False, False, False, False, 10.0, 100.0, 90.0, 50.0), (True, True, None, None, None, None, None, None, None)], "processing_error boolean, is_corrupted boolean, has_watermark boolean, low_resolution boolean, has_smearing boolean, blur_variance double, brightness_mean double, brightness_p95 double, brightness_p5 double")
     assert [r[0] for r in m.select(decisions.quality_rules().getField("reason")).collect()] == ["quality_ok", "severe_blur", "processing_error"]
