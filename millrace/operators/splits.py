@@ -21,24 +21,42 @@ def group_table(rows: DataFrame, group: str = "group_id", label: str = "label")
     return per.groupBy("group_id").agg(F.sum("n").alias("size"), F.min("total").alias("rarest"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("labels"))
 
 
-def allocate(groups: DataFrame, proportions: dict[str, float], exact_groups: int = 200_000, blocks: int = 20_000) -> DataFrame:
-    """(group_id, split): groups in rarity order, each to the split where the squared error of sizes
-    and label counts is least after it, ties by a hash of group and split.
-
-    The walk is sequential, so it runs on the driver, over at most ``exact_groups`` groups. Beyond
-    that, groups that share their rarest label and a hash block walk together: at most ``blocks``
-    blocks reach the driver, whatever the number of groups.
+def placement_units(groups: DataFrame, exact_groups: int = 256, blocks: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """(groups with ``unit``, units(group_id, size, rarest, labels)): what is placed as one.
+
+    A group of more than 1 / ``exact_groups`` of all rows is a unit of its own, so there are fewer
+    than ``exact_groups`` of these; the others go together by their rarest label and one of 64 hashes
+    of their id. Of the labels, as many as half of ``blocks`` / 64 stand for themselves, the most
+    frequent first; the rest share as many dimensions by hash. So at most ``blocks`` (at least 128)
+    such units are formed, with any number of labels.
+    """
+    half = max(1, blocks // 128)
+    flat = groups.select("group_id", F.explode("labels").alias("label", "n"))
+    frequent = flat.groupBy("label").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "label").limit(half).select("label", F.concat(F.lit("="), "label").alias("own"))
+    shared = F.concat(F.lit("#"), F.pmod(F.xxhash64("label"), F.lit(half)).cast("string"))
+    counts = flat.join(F.broadcast(frequent), "label", "left").groupBy("group_id", F.coalesce("own", shared).alias("dim")).agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("dim").agg(F.sum("n").alias("total"))  # at most twice ``half`` rows
+    counts = counts.join(F.broadcast(totals), "dim")
+    whole = groups.agg(F.sum("size").alias("rows"))
+    shape = counts.groupBy("group_id").agg(F.sum("n").alias("size"), F.min(F.struct("total", "dim")).getField("dim").alias("rarest")).crossJoin(F.broadcast(whole))
+    block = F.concat(F.lit("u"), F.pmod(F.xxhash64("group_id"), F.lit(64)).cast("string"), F.col("rarest"))
+    placed = shape.select("group_id", F.when(F.col("size") * exact_groups > F.col("rows"), F.concat(F.lit("g"), "group_id")).otherwise(block).alias("unit"))
+    per = counts.join(placed, "group_id").groupBy("unit", "dim").agg(F.sum("n").alias("n"), F.min("total").alias("total"))
+    units = per.groupBy(F.col("unit").alias("group_id")).agg(F.sum("n").alias("size"), F.min("total").alias("rarest"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("dim", "n")))).alias("labels"))
+    return placed, units
+
+
+def allocate(groups: DataFrame, proportions: dict[str, float], exact_groups: int = 256, blocks: int = 20_000) -> DataFrame:
+    """(group_id, split): units of groups in rarity order, each to the split where the squared error
+    of sizes and label counts is least after it, ties by a hash of unit and split.
+
+    The walk is sequential, so it runs on the driver, over the units of ``placement_units``: the
+    same rule, with the same bound, at every size.
     """
     if abs(sum(proportions.values()) - 1) > 1e-9:
         raise ValueError("proportions must add up to 1")
     spark = groups.sparkSession
-    many = groups.limit(exact_groups + 1).count() > exact_groups
-    keyed = groups.withColumn("unit", F.sha2(F.concat_ws("|", F.col("rarest").cast("string"), F.pmod(F.xxhash64("group_id"), F.lit(blocks // 64 or 1)).cast("string")), 256) if many else F.col("group_id"))
-    if many:
-        flat = keyed.select("unit", "rarest", F.explode("labels").alias("label", "n"))
-        units = flat.groupBy("unit", "label").agg(F.sum("n").alias("n"), F.min("rarest").alias("rarest")).groupBy("unit").agg(F.min("rarest").alias("rarest"), F.sum("n").alias("size"), F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("labels")).withColumnRenamed("unit", "group_id")
-    else:
-        units = groups
+    keyed, units = placement_units(groups, exact_groups, blocks)
     rows = units.orderBy(*rarity_order(units)).collect()
     size, totals = sum(r["size"] for r in rows), {}
     for r in rows:

@@ -164,6 +164,22 @@ def test_allocation(spark):
         splits.allocate(groups, {"train": 0.5})
 
 
+def test_allocation_has_one_rule_and_a_bound(spark):
+    g = spark.range(30_000).select(F.concat(F.lit("g"), "id").alias("group_id"), F.explode(F.array_repeat(F.concat(F.lit("l"), F.floor(F.sqrt(F.col("id") * 30)).cast("string")), 2)).alias("label"))
+    big = spark.range(2000).select(F.lit("big").alias("group_id"), F.lit("l5").alias("label"))
+    groups = splits.group_table(g.unionByName(big))
+    placed, units = splits.placement_units(groups)
+    assert placed.count() == 30_001 and placed.filter("unit = 'gbig'").count() == 1
+    assert units.count() <= 20_000 + 256 and splits.placement_units(groups, blocks=640)[1].count() <= 640 + 256
+    p = {"train": 0.8, "val": 0.1, "test": 0.1}
+    got = splits.allocate(groups, p)
+    n = {r.split: r.n for r in groups.join(got, "group_id").groupBy("split").agg(F.sum("size").alias("n")).collect()}
+    assert got.count() == 30_001 and all(abs(n[s] / 62_000 - q) < 0.01 for s, q in p.items())
+    # a tenfold copy of the rows of all groups changes no split
+    tenfold = groups.select("group_id", (F.col("size") * 10).alias("size"), (F.col("rarest") * 10).alias("rarest"), F.transform_values("labels", lambda _, v: v * 10).alias("labels"))
+    assert splits.allocate(tenfold, p).exceptAll(got).isEmpty()
+
+
 def test_reconcile(spark):
     a = spark.createDataFrame([("g1", "test"), ("g2", "train"), ("g3", "val")], "group_id string, split string")
     pairs = spark.createDataFrame([("g1", "g2")], "left string, right string")
