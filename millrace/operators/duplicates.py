@@ -1,4 +1,4 @@
-"""Duplicates: exact, by perceptual hash and colour, by embedding; families and who stands for them."""
+"""Duplicates: exact and by embedding, bands of perceptual hash and colour; families and who stands for them."""
 
 from __future__ import annotations
 

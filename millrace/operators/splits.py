@@ -1,4 +1,4 @@
-"""Splits of groups: allocation, audits, reconciliation after new duplicates, visual leaks."""
+"""Splits of groups: allocation, audits, reconciliation after new duplicates, pairs that cross splits."""
 
 from __future__ import annotations
 
