@@ -9,8 +9,8 @@ to the split that needs that label most.
 What is placed are units. A component of more than ``1 / (4 x units)`` of the samples is a unit of
 its own (there are at most 4 x units of them); the others are put together by the rarest of their
 labels and a hash of their id into at most ``units`` units a label. The driver therefore sees the
-label totals of a bounded number of units, never components, at any size of the input. Labels
-beyond ``max_labels`` share as many dimensions by hash.
+label totals of a bounded number of units, never components, at any size of the input. The
+``max_labels`` most frequent labels have a dimension each; labels beyond share as many by hash.
 
 Defined results: a blank key, or one that says that nothing is known, ties nothing, and neither
 does a key without a source; a null label counts as ``unlabeled``; rows of one sample share its
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import known_key as plain
@@ -87,19 +88,26 @@ def stratify(units: list[tuple[str, dict[int, int]]], proportions: tuple[float,
     return out
 
 
+def label_numbers(named: DataFrame, max_labels: int) -> DataFrame:
+    """(label, number): the ``max_labels`` most frequent labels, numbered from 0."""
+    most = named.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels)
+    return most.select("label", (F.row_number().over(W.orderBy(F.desc("count"), "label")) - 1).alias("number"))
+
+
 def split_samples(samples: DataFrame, proportions: tuple[float, float, float] = (0.8, 0.1, 0.1), units: int = 64, max_labels: int = 1024) -> DataFrame:
     """Every row of ``samples`` with ``group_id`` and ``assigned_split``."""
     spark = samples.sparkSession
     own = samples.select("sample_id", F.coalesce(plain(F.col("source_label")), F.lit("unlabeled")).alias("label")).filter("sample_id is not null").groupBy("sample_id").agg(F.min("label").alias("label"))
-    named = own.join(related(samples), "sample_id", "left").select("sample_id", F.coalesce("group_id", "sample_id").alias("group_id"), F.pmod(F.xxhash64("label"), F.lit(max_labels)).cast("int").alias("label"))
+    named = own.join(related(samples), "sample_id", "left").select("sample_id", F.coalesce("group_id", "sample_id").alias("group_id"), "label")
+    named = named.join(F.broadcast(label_numbers(named, max_labels)), "label", "left").select("sample_id", "group_id", F.coalesce("number", F.pmod(F.xxhash64("label"), F.lit(max_labels)) + max_labels).cast("int").alias("label"))
     total = named.groupBy("label").count().withColumnRenamed("count", "total")
-    vectors = named.groupBy("group_id", "label").count().join(F.broadcast(total), "label")  # at most max_labels rows
+    vectors = named.groupBy("group_id", "label").count().join(F.broadcast(total), "label")  # at most 2 x max_labels rows
     shapes = vectors.groupBy("group_id").agg(F.sum("count").alias("size"), F.min(F.struct("total", "label")).getField("label").alias("rarest"))
     all_rows = named.count()
     unit = F.when(F.col("size") * 4 * units > all_rows, F.concat(F.lit("g"), "group_id")).otherwise(F.concat(F.lit("u"), F.col("rarest"), F.lit("-"), F.pmod(F.xxhash64("group_id"), F.lit(units))))
     placed = shapes.select("group_id", unit.alias("unit"))
     counts: dict[str, dict[int, int]] = {}
-    for row in vectors.join(placed, "group_id").groupBy("unit", "label").agg(F.sum("count").alias("n")).collect():  # at most 5 x units x max_labels units
+    for row in vectors.join(placed, "group_id").groupBy("unit", "label").agg(F.sum("count").alias("n")).collect():  # at most 4 x units plus units for each of 2 x max_labels labels
         counts.setdefault(row.unit, {})[row.label] = row.n
     chosen = stratify(sorted(counts.items()), proportions)
     splits = spark.createDataFrame([(u, SPLITS[s]) for u, s in chosen.items()] or [("", "")], "unit string, assigned_split string")

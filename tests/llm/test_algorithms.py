@@ -277,3 +277,10 @@ def test_overlap_against_brute_force(spark, group_rows, monkeypatch):
     r = overlap.report(labels, pairs).agg(F.sum("leaked").alias("n")).first()
     assert r.n > 0
     assert overlap.cross_split_pairs(labels.limit(0), metrics, desc).count() == 0
+
+
+def test_labels_share_no_dimension_within_the_limit(spark):
+    named = spark.createDataFrame([(f"label {i}",) for i in range(900) for _ in range(1 + i % 3)], "label string")
+    got = {r.label: r.number for r in grouped_splits.label_numbers(named, 1024).collect()}
+    assert len(got) == 900 and sorted(got.values()) == list(range(900))
+    assert sorted(r.number for r in grouped_splits.label_numbers(named, 100).collect()) == list(range(100))
