@@ -5,12 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import known_key
 from millrace.operators.components import components
-from millrace.operators.ranking import keep_order
 
 EXACT = ("exact_bytes", "exact_pixels")
 CONFIRMED = (*EXACT, "verified_visual", "human_confirmed")
@@ -167,39 +165,6 @@ def all_families(samples: DataFrame, links: DataFrame) -> DataFrame:
     return ids.join(parts, "sample_id", "left").select("sample_id", F.coalesce("component", "sample_id").alias("group_id"))
 
 
-def assign_representatives(parts: DataFrame, edges: DataFrame, facts: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """(sample_id, representative_id, level): who is replaced by whom.
-
-    parts(v, component), edges(left, right, level), facts(sample_id, ...). Within a component the
-    best sample stands for those it has a direct edge to; one that is replaced stands for nobody.
-    Rounds of set operations: in each, a sample becomes a representative if no better open one is
-    its neighbour. That gives what walking a component in rank order gives, without holding a
-    component in one task.
-    """
-    from millrace.storage import drop, stage
-
-    ranks = facts.join(parts.select(F.col("v").alias("sample_id"), "component"), "sample_id").withColumn("place", F.row_number().over(W.partitionBy("component").orderBy(*(order or keep_order()))))
-    ranks = stage(ranks.select("sample_id", "place"), "ranks")
-    both = edges.select("left", "right", "level").unionByName(edges.select(F.col("right").alias("left"), F.col("left").alias("right"), "level"))
-    both = stage(both.groupBy("left", "right").agg(F.min("level").alias("level")), "links")
-    open_ = ranks
-    done = None
-    for _ in range(1000):
-        near = both.join(open_.select(F.col("sample_id").alias("left"), F.col("place").alias("p")), "left").join(open_.select(F.col("sample_id").alias("right"), F.col("place").alias("q")), "right")
-        beaten = near.filter("q < p").select(F.col("left").alias("sample_id")).distinct()
-        chosen = open_.join(beaten, "sample_id", "left_anti").select(F.col("sample_id").alias("right"))
-        won = near.join(chosen, "right").filter("q < p").groupBy("left").agg(F.min(F.struct("q", "right", "level")).alias("m")).select(F.col("left").alias("sample_id"), F.col("m.right").alias("representative_id"), F.col("m.level").alias("level"))
-        won = stage(won, "won")
-        done = won if done is None else done.unionByName(won)
-        rest = stage(open_.join(won.select("sample_id"), "sample_id", "left_anti").join(chosen.withColumnRenamed("right", "sample_id"), "sample_id", "left_anti"), "open")
-        if open_ is not ranks:
-            drop(open_)
-        open_ = rest
-        if open_.isEmpty():
-            break
-    return done
-
-
 def mislabelled(vectors: DataFrame, centre: DataFrame, key: str, label: str, vector: str, margin: float = 0.05) -> DataFrame:
     """Vectors whose own class centre is farther than another one by more than ``margin``.
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.components import components
-from millrace.operators.ranking import rarity_order
+from millrace.storage import stage
 
 PRIORITY = {"train": 0, "val": 1, "test": 2}
 
@@ -21,66 +24,118 @@ def group_table(rows: DataFrame, group: str = "group_id", label: str = "label")
     return per.groupBy("group_id").agg(F.sum("n").alias("size"), F.min("total").alias("rarest"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("labels"))
 
 
-def placement_units(groups: DataFrame, exact_groups: int = 256, blocks: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """(groups with ``unit``, units(group_id, size, rarest, labels)): what is placed as one.
+ROWS = "\0rows"  # the label that every row has
 
-    A group of more than 1 / ``exact_groups`` of all rows is a unit of its own, so there are fewer
-    than ``exact_groups`` of these; the others go together by their rarest label and one of 64 hashes
-    of their id. Of the labels, as many as half of ``blocks`` / 64 stand for themselves, the most
-    frequent first; the rest share as many dimensions by hash. So at most ``blocks`` (at least 128)
-    such units are formed, with any number of labels.
-    """
-    half = max(1, blocks // 128)
-    flat = groups.select("group_id", F.explode("labels").alias("label", "n"))
-    frequent = flat.groupBy("label").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "label").limit(half).select("label", F.concat(F.lit("="), "label").alias("own"))
-    shared = F.concat(F.lit("#"), F.pmod(F.xxhash64("label"), F.lit(half)).cast("string"))
-    counts = flat.join(F.broadcast(frequent), "label", "left").groupBy("group_id", F.coalesce("own", shared).alias("dim")).agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("dim").agg(F.sum("n").alias("total"))  # at most twice ``half`` rows
-    counts = counts.join(F.broadcast(totals), "dim")
-    whole = groups.agg(F.sum("size").alias("rows"))
-    shape = counts.groupBy("group_id").agg(F.sum("n").alias("size"), F.min(F.struct("total", "dim")).getField("dim").alias("rarest")).crossJoin(F.broadcast(whole))
-    block = F.concat(F.lit("u"), F.pmod(F.xxhash64("group_id"), F.lit(64)).cast("string"), F.col("rarest"))
-    placed = shape.select("group_id", F.when(F.col("size") * exact_groups > F.col("rows"), F.concat(F.lit("g"), "group_id")).otherwise(block).alias("unit"))
-    per = counts.join(placed, "group_id").groupBy("unit", "dim").agg(F.sum("n").alias("n"), F.min("total").alias("total"))
-    units = per.groupBy(F.col("unit").alias("group_id")).agg(F.sum("n").alias("size"), F.min("total").alias("rarest"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("dim", "n")))).alias("labels"))
-    return placed, units
-
-
-def allocate(groups: DataFrame, proportions: dict[str, float], exact_groups: int = 256, blocks: int = 20_000) -> DataFrame:
-    """(group_id, split): units of groups in rarity order, each to the split where the squared error
-    of sizes and label counts is least after it, ties by a hash of unit and split.
-
-    The walk is sequential, so it runs on the driver, over the units of ``placement_units``: the
-    same rule, with the same bound, at every size.
+
+def greedy_walk(items: list[tuple[str, dict[str, int]]], need: dict[str, list[float]], total: dict[str, float], proportions: list[float], names: list[str]) -> list[int]:
+    """The split of each item: in rarity order, to the split where the squared error of sizes and
+    label counts is least after it, ties by a hash of item and split."""
+    order = sorted(range(len(items)), key=lambda i: (min((total[x] for x in items[i][1] if x != ROWS), default=0), -items[i][1].get(ROWS, 0), hashlib.sha256(items[i][0].encode()).hexdigest()))
+    out = [0] * len(items)
+    for i in order:
+        name, counts = items[i]
+
+        def change(s: int, name: str = name, counts: dict[str, int] = counts) -> tuple[float, str]:
+            # (held - want)^2 / want, where need is want - held; only what the item changes differs
+            moved = sum(((need[x][s] - n) ** 2 - need[x][s] ** 2) / max(total[x] * proportions[s], 1.0) for x, n in counts.items())
+            return round(moved, 9), hashlib.sha256(f"{name}:{names[s]}".encode()).hexdigest()
+
+        out[i] = min(range(len(proportions)), key=change)
+        for x, n in counts.items():
+            need[x][out[i]] -= n
+    return out
+
+
+def place_groups(groups: DataFrame, proportions: dict[str, float], walk: Callable, large: int = 1024, class_rows: int = 200_000) -> DataFrame:
+    """groups(group_id, labels: map of counts) -> (group_id, split), by ``walk`` over label vectors.
+
+    Groups with the same label vector are one class with a count. First come the groups of more than
+    1 / ``large`` of all rows (fewer than ``large`` of them), which are walked with the whole needs
+    of all splits. Of every other class each split gets the whole part of its share: the mean of the
+    shares that the splits still want, after the large groups, of all rows and of the class's labels.
+    That leaves fewer groups of a class than there are splits, or a few more; these are walked to fill
+    what the splits still need. Both walks run in a task, over classes and
+    never over rows; classes beyond ``class_rows`` take several tasks, of which each balances its own
+    classes and its part of what the large groups left. The rule is the same at every size.
     """
-    if abs(sum(proportions.values()) - 1) > 1e-9:
+    names, shares = list(proportions), list(proportions.values())
+    if abs(sum(shares) - 1) > 1e-9:
         raise ValueError("proportions must add up to 1")
-    spark = groups.sparkSession
-    keyed, units = placement_units(groups, exact_groups, blocks)
-    rows = units.orderBy(*rarity_order(units)).collect()
-    size, totals = sum(r["size"] for r in rows), {}
-    for r in rows:
-        for k, n in r.labels.items():
-            totals[k] = totals.get(k, 0) + n
-    have = {s: 0 for s in proportions}
-    held = {s: dict.fromkeys(totals, 0) for s in proportions}
-    # only the terms that a placement changes differ between splits, so only they are compared
-    term = lambda now, want: (now - want) ** 2 / max(want, 1.0)
-    chosen = []
-    for r in rows:
-        def gain(s: str, r=r) -> tuple[float, str]:
-            p = proportions[s]
-            change = term(have[s] + r["size"], size * p) - term(have[s], size * p)
-            change += sum(term(held[s][k] + n, totals[k] * p) - term(held[s][k], totals[k] * p) for k, n in r.labels.items())
-            return round(change, 9), hashlib.sha256(f"{r.group_id}:{s}".encode()).hexdigest()
-
-        best = min(proportions, key=gain)
-        have[best] += r["size"]
-        for k, n in r.labels.items():
-            held[best][k] += n
-        chosen.append((r.group_id, best))
-    out = spark.createDataFrame(chosen, "unit string, split string")
-    return keyed.select("group_id", "unit").join(out, "unit").select("group_id", "split")
+    entries = F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.struct(e["key"].alias("label"), e["value"].cast("bigint").alias("n"))))
+    keyed = stage(groups.select("group_id", entries.alias("e")).withColumn("class", F.sha2(F.to_json("e"), 256)).withColumn("size", F.coalesce(F.get(F.filter("e", lambda x: x["label"] == ROWS), 0)["n"], F.lit(0))), "keyed")
+    whole, = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()
+    big = F.col("size") * large > whole
+    classes = stage(keyed.groupBy("class").agg(F.first("e").alias("e"), F.first("size").alias("size"), F.count("*").alias("n")), "classes")
+    tops = classes.filter(big)
+    of_tops = tops.select(F.explode("e.label").alias("label")).distinct()
+    totals = classes.select("n", F.explode("e").alias("x")).select(F.col("x.label").alias("label"), (F.col("x.n") * F.col("n")).alias("m")).join(of_tops, "label", "left_semi").groupBy("label").agg(F.sum("m").alias("total"))
+    # fewer than ``large`` groups and the labels they hold
+    held = [(r["class"], {x.label: x.n for x in r["e"]}) for r in tops.orderBy("class").toLocalIterator() for _ in range(r["n"])]
+    total = {r["label"]: float(r["total"]) for r in totals.toLocalIterator()}
+    need = {x: [t * p for p in shares] for x, t in total.items()}
+    chosen = walk([(f"{c}:{i}", v) for i, (c, v) in enumerate(held)], need, total, shares, names)
+    given: dict[str, list[int]] = {}
+    debts: dict[str, list[float]] = {}
+    for (c, counts), s in zip(held, chosen):
+        given.setdefault(c, [0] * len(names))[s] += 1
+        for x, n in counts.items():
+            debts.setdefault(x, [0.0] * len(names))
+            for k, p in enumerate(shares):
+                debts[x][k] += n * p - (n if k == s else 0)
+    parts = max(1, -(-classes.count() // class_rows))
+
+    def rest(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("class")
+        vectors = [{x["label"]: x["n"] for x in e} for e in rows["e"]]
+        total: dict[str, float] = {}
+        for counts, n in zip(vectors, rows["n"]):
+            for x, m in counts.items():
+                total[x] = total.get(x, 0.0) + n * m
+        debt = {x: [d / parts for d in debts.get(x, [0.0] * len(names))] for x in total}
+        need = {x: [t * p + d for p, d in zip(shares, debt[x])] for x, t in total.items()}
+        own = {x: [max(0.0, n) for n in v] for x, v in need.items()}  # what splits still want of a label
+        own = {x: [n / (sum(v) or 1.0) for n in v] for x, v in own.items()}
+        quotas, items, at = [], [], []
+        for i, (c, counts, n) in enumerate(zip(rows["class"], vectors, rows["n"])):
+            labels = [x for x in counts if x != ROWS] or list(counts)
+            both = ([own[ROWS]] if ROWS in counts else []) * len(labels) + [own[x] for x in labels]
+            quota = [int(n * sum(v[s] for v in both) / max(1, len(both)) + 1e-9) for s in range(len(names))]
+            quotas.append(quota)
+            for k in range(n - sum(quota)):
+                items.append((f"{c}:{k}", counts))
+                at.append(i)
+            for x, m in counts.items():
+                for s, q in enumerate(quota):
+                    need[x][s] -= q * m
+        for i, s in zip(at, walk(items, need, total, shares, names)):
+            quotas[i][s] += 1
+        return pd.DataFrame({"class": list(rows["class"]), "quota": quotas})
+
+    small = classes.filter(~big).select("class", "e", "n", F.pmod(F.xxhash64("class"), F.lit(parts)).alias("part"))
+    quotas = small.groupBy("part").applyInPandas(rest, "class string, quota array<bigint>")
+    quotas = quotas.unionByName(groups.sparkSession.createDataFrame(list(given.items()), "class string, quota array<bigint>"))
+    return _dealt(keyed.select("group_id", "class"), classes.select("class", "n"), quotas, names)
+
+
+def _dealt(keyed: DataFrame, classes: DataFrame, quotas: DataFrame, names: list[str], run: int = 100_000) -> DataFrame:
+    """The groups of a class to its quotas, in the order of a hash; a large class is numbered in runs."""
+    runs = F.ceil(F.col("n") / run).cast("long")
+    own = keyed.join(classes, "class").select("group_id", "class", F.pmod(F.xxhash64("group_id"), runs).alias("run"))
+    before = own.groupBy("class", "run").count().withColumn("before", F.sum("count").over(W.partitionBy("class").orderBy("run")) - F.col("count")).drop("count")
+    place = F.row_number().over(W.partitionBy("class", "run").orderBy(F.xxhash64("group_id", F.lit(1)), "group_id"))
+    numbered = own.withColumn("place", place).join(before, ["class", "run"]).join(quotas, "class").withColumn("place", F.col("place") + F.col("before"))
+    split, upto = None, F.lit(0)
+    for i, name in enumerate(names):
+        upto = upto + F.get("quota", i)
+        split = F.when(F.col("place") <= upto, name) if split is None else split.when(F.col("place") <= upto, name)
+    return numbered.select("group_id", split.alias("split"))
+
+
+def allocate(groups: DataFrame, proportions: dict[str, float], **options: int) -> DataFrame:
+    """(group_id, split): groups(group_id, size, labels) to splits by ``greedy_walk`` over classes of
+    groups with equal label counts, see ``place_groups``."""
+    counted = groups.select("group_id", F.map_concat("labels", F.create_map(F.lit(ROWS), F.col("size").cast("bigint"))).alias("labels"))
+    return place_groups(counted, proportions, greedy_walk, **options)
 
 
 def split_groups(rows: DataFrame, group: str) -> DataFrame:

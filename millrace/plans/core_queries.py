@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from millrace.functions import geometry as geo
 from millrace.functions import text as tx
 from millrace.operators import aggregates as agg
-from millrace.operators import balance, components, decisions, duplicates, labels, ranking, small_files, splits
+from millrace.operators import balance, components, decisions, duplicates, labels, ranking, representatives, small_files, splits
 from millrace.operators import relational as rel
 from millrace.sinks import export
-from millrace.storage import stage, table
+from millrace.storage import new_path, stage, table
 
 SQL: dict[str, str] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +34,10 @@ def query(sql: str | None = None) -> Callable:
 
 @query()
 def p4_found(spark, d):
-    return small_files.consolidate(table(spark, d, "label_files")).select("label_id").distinct()
+    """The ids in the files that were written, verified and published."""
+    folder = new_path(spark, "label-groups")
+    small_files.publish(table(spark, d, "label_files"), folder)
+    return small_files.published(spark, folder).select("label_id").distinct()
 
 
 @query()
@@ -376,7 +379,7 @@ def representative_assignment(spark, d):
     facts = table(spark, d, "quality_metrics").groupBy("sample_id").agg(F.max(F.col("width") * F.col("height")).alias("area"), F.max(F.when(~F.isnan("blur_variance"), F.col("blur_variance"))).alias("sharpness"), *(F.max(c).alias(c) for c in ("is_corrupted", "has_watermark", "has_smearing", "low_resolution")))
     names = table(spark, d, "samples").groupBy("sample_id").agg(F.min("filepath").alias("filepath"))
     known = parts.select(F.col("v").alias("sample_id")).join(facts, "sample_id", "left").join(names, "sample_id", "left").withColumn("padding", F.lit(0.0))
-    return duplicates.assign_representatives(parts, links, known)
+    return representatives.assign(parts, links, known)
 
 
 # decisions

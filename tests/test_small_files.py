@@ -51,8 +51,8 @@ def test_every_record_once_with_the_latest_delivery(spark):
     one = "1,a,train,detection,old\n2,b,train,detection,x\n"
     files = frame(spark, [("p/1", one, None, AT), ("p/1 (1)", one, None, AT), ("p/retry", "1,a,train,detection,new\n", None, AT + dt.timedelta(1)), ("p/cut", "3,c,tra", 90, AT), ("p/null", None, None, None), (None, "4,d,train,detection,y", None, None)])
     got = {r.label_id: r.disease for r in sf.unique_records(files).collect()}
-    assert got == {1: "new", 2: "x", 4: "y"}
-    assert {r.label_id for r in sf.consolidate(files).collect()} == {1, 2}  # what has no path has no place
+    assert got == {1: "new", 2: "x"}  # what has no path has no place
+    assert {r.label_id for r in sf.consolidate(files).collect()} == {1, 2}
 
 
 def test_schedule_is_balanced_and_whole(spark):
@@ -82,3 +82,31 @@ def test_publish_verifies_and_refuses_a_second_time(spark, tmp_path):
     assert sorted(got) == sorted([*range(50), *range(1000, 1050)])
     with pytest.raises(FileExistsError):
         sf.publish(files, out)
+    assert sorted(r.label_id for r in sf.published(spark, out).collect()) == sorted(got)
+
+
+def test_publish_leaves_out_files_without_a_path_and_publishes_an_empty_listing(spark, tmp_path):
+    files = frame(spark, [("p/1", "1,a,train,detection,x\n", None, AT), (None, "4,d,train,detection,y", None, None), ("p/null", None, None, None)])
+    assert sf.publish(files, str(tmp_path / "a"))["records"] == 1
+    assert sf.publish(spark.createDataFrame([], SCHEMA), str(tmp_path / "b")) == {"records": 0, "files": []}
+    assert sf.published(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_files_of_failed_attempts_do_not_count(spark, tmp_path):
+    files = frame(spark, [("p/1", "1,a,train,detection,x\n", None, AT)])
+    manifest = sf.publish(files, str(tmp_path))
+    pq.write_table(pq.read_table(tmp_path / manifest["files"][0]["file"]), tmp_path / "group-00000-00000-other.parquet")
+    assert sf.published(spark, str(tmp_path)).count() == 1
+
+
+def test_ids_of_all_of_bigint():
+    most = (1 << 63) - 1
+    text = f"{most},a,train,detection,x\n{most + 1},a,train,detection,x\n00012,a,train,detection,x\n"
+    assert ids(sf.parse_fragment(text)) == [most, 12]
+
+
+def test_line_breaks_in_quoted_fields():
+    text = '1,"a\nb ""c"", d",train,detection,x\r\n2,b,val,detection,"y\n\nz"\n3,"open,val,detection,w\n4,d,test,detection,v\n5,"e'
+    got = sf.parse_fragment(text)
+    assert ids(got) == [1, 2, 4] and ids(got, False) == [3, 5]
+    assert got[0][1] == 'a\nb "c", d' and got[1][4] == "y\n\nz"
