@@ -46,17 +46,17 @@ def greedy_walk(items: list[tuple[str, dict[str, int]]], need: dict[str, list[fl
     return out
 
 
-def place_groups(groups: DataFrame, proportions: dict[str, float], walk: Callable, large: int = 1024, class_rows: int = 200_000) -> DataFrame:
+def place_groups(groups: DataFrame, proportions: dict[str, float], walk: Callable, large: int = 1024, few: int = 64, walk_rows: int = 500_000, even_rows: bool = True) -> DataFrame:
     """groups(group_id, labels: map of counts) -> (group_id, split), by ``walk`` over label vectors.
 
     Groups with the same label vector are one class with a count. First come the groups of more than
     1 / ``large`` of all rows (fewer than ``large`` of them), which are walked with the whole needs
-    of all splits. Of every other class each split gets the whole part of its share: the mean of the
-    shares that the splits still want, after the large groups, of all rows and of the class's labels.
-    That leaves fewer groups of a class than there are splits, or a few more; these are walked to fill
-    what the splits still need. Both walks run in a task, over classes and
-    never over rows; classes beyond ``class_rows`` take several tasks, of which each balances its own
-    classes and its part of what the large groups left. The rule is the same at every size.
+    of all splits. Of a class of ``few`` groups or more each split gets the whole part of its share:
+    the mean of the shares that the splits still want, after the large groups, of the class's labels
+    and (``even_rows``) of all rows. What that leaves of a class, and all of smaller ones, is walked
+    to fill what the splits still need. Both walks run in a task, over fewer than ``few`` groups of a
+    class; beyond ``walk_rows`` of them several tasks share the classes, of which each balances its
+    own and its part of what the large groups left. The rule is the same at every size.
     """
     names, shares = list(proportions), list(proportions.values())
     if abs(sum(shares) - 1) > 1e-9:
@@ -82,7 +82,7 @@ def place_groups(groups: DataFrame, proportions: dict[str, float], walk: Callabl
             debts.setdefault(x, [0.0] * len(names))
             for k, p in enumerate(shares):
                 debts[x][k] += n * p - (n if k == s else 0)
-    parts = max(1, -(-classes.count() // class_rows))
+    parts = max(1, -(-(classes.agg(F.sum(F.least("n", F.lit(few)))).first()[0] or 0) // walk_rows))
 
     def rest(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("class")
@@ -98,8 +98,8 @@ def place_groups(groups: DataFrame, proportions: dict[str, float], walk: Callabl
         quotas, items, at = [], [], []
         for i, (c, counts, n) in enumerate(zip(rows["class"], vectors, rows["n"])):
             labels = [x for x in counts if x != ROWS] or list(counts)
-            both = ([own[ROWS]] if ROWS in counts else []) * len(labels) + [own[x] for x in labels]
-            quota = [int(n * sum(v[s] for v in both) / max(1, len(both)) + 1e-9) for s in range(len(names))]
+            both = ([own[ROWS]] if even_rows and ROWS in counts else []) * len(labels) + [own[x] for x in labels]
+            quota = [int(n * sum(v[s] for v in both) / max(1, len(both)) + 1e-9) if n >= few else 0 for s in range(len(names))]
             quotas.append(quota)
             for k in range(n - sum(quota)):
                 items.append((f"{c}:{k}", counts))

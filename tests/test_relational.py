@@ -215,7 +215,7 @@ P = {"train": 0.8, "val": 0.1, "test": 0.1}
 def test_allocation(spark):
     rows = spark.createDataFrame([(f"g{i}", "rare" if i % 5 == 0 else "common") for i in range(100) for _ in range(1 + i % 3)], "group_id string, label string")
     groups = splits.group_table(rows)
-    for got in (splits.allocate(groups, P), splits.allocate(groups, P, large=10), splits.allocate(groups, P, class_rows=2)):
+    for got in (splits.allocate(groups, P), splits.allocate(groups, P, large=10), splits.allocate(groups, P, walk_rows=40)):
         assert got.count() == 100 and got.select("group_id").distinct().count() == 100
         per = rows.join(got, "group_id").groupBy("label", "split").agg(F.count("*").alias("n")).collect()
         for label, total in (("rare", 39), ("common", 160)):
@@ -226,7 +226,7 @@ def test_allocation(spark):
     assert splits.allocate(groups.limit(0), P).count() == 0
 
 
-@pytest.mark.parametrize("options, size, off", [({}, 2000, 0.01), ({"class_rows": 50}, 2000, 0.01), ({}, 20_000, 0.035)])
+@pytest.mark.parametrize("options, size, off", [({}, 2000, 0.01), ({"walk_rows": 2000}, 2000, 0.01), ({}, 20_000, 0.035)])
 def test_allocation_with_many_labels_and_a_large_group(spark, options, size, off):
     g = spark.range(30_000).select(F.concat(F.lit("g"), "id").alias("group_id"), F.explode(F.array_repeat(F.concat(F.lit("l"), F.floor(F.sqrt(F.col("id") * 30)).cast("string")), 2)).alias("label"))
     big = spark.range(size).select(F.lit("big").alias("group_id"), F.lit("l5").alias("label"))
