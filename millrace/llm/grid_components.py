@@ -7,8 +7,9 @@ representatives gathers at most 2 x blocks roots for it. It takes the smallest a
 other roots become edges to that parent, and only roots go on to the next round. Rounds end when
 no edge is left. Then the parents are resolved from the last round back to the first.
 
-The edges of a hot vertex are spread over a whole row of the grid, so no partition holds them all.
-The grid shrinks with the edges; ``edges_per_block`` bounds what one union-find holds.
+The edges of a hot vertex are spread over a whole row of the grid; a cell that still holds more than
+``edges_per_block`` edges is split by a hash of the edge, so that this bounds what one union-find
+holds. The grid shrinks with the edges.
 
 Defined results: loops and null ids are no links; repeated links count once; the id of a group is
 the smallest vertex id in it; no links give no rows.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.storage import drop, stage
@@ -49,10 +50,14 @@ def local_stars(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     return names, names[np.asarray(parent)]
 
 
-def _grid(edges: DataFrame, blocks: int) -> DataFrame:
-    a, b = (F.pmod(F.xxhash64(x), F.lit(blocks)).cast("int") for x in ("left", "right"))
-    cell = F.least(a, b) * F.lit(blocks) + F.greatest(a, b)
-    cells = blocks * (blocks + 1) // 2
+def _cell(blocks: int) -> Column:
+    a, b = (F.pmod(F.xxhash64(x), F.lit(blocks)).cast("long") for x in ("left", "right"))
+    return F.least(a, b) * F.lit(blocks) + F.greatest(a, b)
+
+
+def _grid(edges: DataFrame, blocks: int, sizes: DataFrame, edges_per_block: int, tasks: int) -> DataFrame:
+    """(v, root) of the local union-finds. ``sizes`` (one row a cell) says which cells hold too many
+    edges, as the cell of a hub does: their edges are split by a hash of the edge into parts of their own."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -78,26 +83,38 @@ def _grid(edges: DataFrame, blocks: int) -> DataFrame:
         v, root = local_stars(block["left"].to_numpy(object), block["right"].to_numpy(object))
         return pd.DataFrame({"v": v, "root": root})
 
-    placed = edges.select("left", "right", cell.alias("cell"))
-    return placed.repartition(max(1, cells), "cell").sortWithinPartitions("cell").mapInPandas(run, "v string, root string")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("count") / edges_per_block)).cast("long")
+    crowded = sizes.filter(F.col("count") > edges_per_block).select("cell", parts.alias("parts"))  # fewer than edges / edges_per_block
+    placed = edges.select("left", "right", _cell(blocks).alias("cell")).join(F.broadcast(crowded), "cell", "left")
+    part = F.pmod(F.xxhash64("left", "right"), F.coalesce("parts", F.lit(1).cast("long")))
+    placed = placed.select("left", "right", (F.col("cell") * F.lit(1 << 20) + part).alias("cell"))
+    return placed.repartition(tasks, "cell").sortWithinPartitions("cell").mapInPandas(run, "v string, root string")
+
 
+def components(edges: DataFrame, edges_per_block: int = 400_000, max_rounds: int = 60, least_cells: int | None = None) -> DataFrame:
+    """edges(left, right) -> (v, component) for every vertex that has a link to another one.
 
-def components(edges: DataFrame, edges_per_block: int = 400_000, max_rounds: int = 60) -> DataFrame:
-    """edges(left, right) -> (v, component) for every vertex that has a link to another one."""
+    The first round has at least ``least_cells`` cells (one for each core, unless given), whatever the
+    number of edges, so that no input is one task; later rounds have as many as their edges need.
+    """
     edges = edges.select(F.col("left").cast("string"), F.col("right").cast("string")).filter("left <> right")
     edges = stage(edges.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct(), "edges")
+    cells = least_cells or edges.sparkSession.sparkContext.defaultParallelism
     parents: list[DataFrame] = []
-    for _ in range(max_rounds):
+    for at in range(max_rounds):
         count = edges.count()
         if not count:
             break
-        blocks = max(1, math.ceil(math.sqrt(2 * count / edges_per_block)))
-        if blocks == 1:
-            parents.append(stage(_grid(edges, 1).select("v", F.col("root").alias("parent")), "parents"))
+        blocks = max(1, math.ceil(math.sqrt(2 * count / edges_per_block)), math.ceil(math.sqrt(2 * cells)) if at == 0 else 1)
+        sizes = edges.groupBy(_cell(blocks).alias("cell")).count()
+        tasks = max(1, min(blocks * (blocks + 1) // 2, 2 * max(cells, count // edges_per_block)))
+        stars = _grid(edges, blocks, sizes, edges_per_block, tasks)
+        if blocks == 1 and count <= edges_per_block:
+            parents.append(stage(stars.select("v", F.col("root").alias("parent")), "parents"))
             drop(edges)
             break
-        # a vertex lies in at most 2 x blocks cells, so this set is bounded
-        roots = stage(_grid(edges, blocks).groupBy("v").agg(F.min("root").alias("parent"), F.collect_set("root").alias("roots")), "roots")
+        # a vertex lies in the cells of one row and one column, so this set is bounded by their parts
+        roots = stage(stars.groupBy("v").agg(F.min("root").alias("parent"), F.collect_set("root").alias("roots")), "roots")
         parents.append(roots)
         left = roots.select(F.explode("roots").alias("right"), F.col("parent").alias("left")).filter("left <> right").select("left", "right").distinct()
         following = stage(left, "edges")

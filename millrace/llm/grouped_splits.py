@@ -3,30 +3,31 @@
 Samples that share a capture group, video or location within a source, or a duplicate cluster
 anywhere, are one component (bipartite edges of sample and key, so a key that a third of the
 samples share costs one edge a sample). Components then get their split by grouped iterative
-stratification: the label with the fewest outstanding samples comes first, and what holds it goes
-to the split that needs that label most.
+stratification: their labels are added up to a vector, the label of which the fewest samples are
+outstanding comes first, and what holds it goes to the split that needs that label most.
 
-What is placed are units. A component of more than ``1 / (4 x units)`` of the samples is a unit of
-its own (there are at most 4 x units of them); the others are put together by the rarest of their
-labels and a hash of their id into at most ``units`` units a label. The driver therefore sees the
-label totals of a bounded number of units, never components, at any size of the input. The
-``max_labels`` most frequent labels have a dimension each; labels beyond share as many by hash.
+Components with exactly the same vector are one class with a count, so what is walked are classes
+and at most a thousand very large components, see ``place_groups``: no component is merged with one
+of another vector and no label with another.
 
 Defined results: a blank key, or one that says that nothing is known, ties nothing, and neither
-does a key without a source; a null label counts as ``unlabeled``; rows of one sample share its
-split; rows without an id are single; an empty table gives no rows.
+does a key without a source; a null label counts as ``unlabeled``; a sample with several labels
+counts under each; rows of one sample share its split; rows without an id are single; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import known_key as plain
 from millrace.llm.grid_components import components
+from millrace.operators.splits import ROWS, place_groups
+from millrace.storage import stage
 
 KEYS = ("capture_group", "video_id", "location")
 SPLITS = ("train", "val", "test")
@@ -52,68 +53,77 @@ def shared_groups(samples: DataFrame) -> DataFrame:
     return groups.join(sizes, "group_id", "left_semi").select("sample_id", "group_id")
 
 
-def stratify(units: list[tuple[str, dict[int, int]]], proportions: tuple[float, ...]) -> dict[str, int]:
-    """The split of each unit, given its label counts: rarest outstanding label first."""
-    totals: dict[int, int] = {}
-    holders: dict[int, list[int]] = {}
-    for i, (_, counts) in enumerate(units):
+def stratify(items: list[tuple[str, dict[str, int]]], need: dict[str, list[float]], total: dict[str, float], proportions: list[float], names: list[str]) -> list[int]:
+    """The split of each item, given its label counts: the label of which the fewest are outstanding
+    comes first, and of what holds it the most first; each goes to the split that needs that label
+    most, then to the one that needs rows most."""
+    left: dict[str, int] = {}
+    holders: dict[str, list[int]] = {}
+    for i, (_, counts) in enumerate(items):
         for label, n in counts.items():
-            totals[label] = totals.get(label, 0) + n
+            left[label] = left.get(label, 0) + n
             holders.setdefault(label, []).append(i)
-    need = {x: [n * p for p in proportions] for x, n in totals.items()}
-    whole = sum(totals.values())
-    room = [whole * p for p in proportions]
-    left, out = dict(totals), {}
-    placed = [False] * len(units)
-    while left:
-        label = min(left, key=lambda x: (left[x], x))
-        for i in sorted((i for i in holders[label] if not placed[i]), key=lambda i: (-units[i][1][label], units[i][0])):
-            name, counts = units[i]
+    placed, out = [False] * len(items), [0] * len(items)
+    heap = [(n, x) for x, n in left.items() if x != ROWS]
+    heapq.heapify(heap)
+    while heap or ROWS in left:
+        n, label = heapq.heappop(heap) if heap else (left[ROWS], ROWS)  # what has no label comes last
+        if label not in left:
+            continue
+        if n != left[label]:
+            heapq.heappush(heap, (left[label], label))
+            continue
+        for i in sorted((i for i in holders[label] if not placed[i]), key=lambda i: (-items[i][1][label], items[i][0])):
+            name, counts = items[i]
             tie = hashlib.sha256(name.encode()).digest()[0]
-            size = sum(counts.values())
 
-            def wanting(s: int, n: int = counts[label], size: int = size) -> tuple:
-                """The share of its own that a split still wants when half of the unit is in it."""
+            def wanting(s: int, counts: dict[str, int] = counts, label: str = label, tie: int = tie) -> tuple:
+                """The share of its own that a split still wants when half of the item is in it."""
                 p = max(proportions[s], 1e-9)
-                return round((need[label][s] - n / 2) / (totals[label] * p), 9), round((room[s] - size / 2) / (whole * p), 9), (tie + s) % len(proportions)
+                share = lambda x: round((need[x][s] - counts[x] / 2) / (max(total[x], 1.0) * p), 9) if x in counts else 0.0
+                return share(label), share(ROWS), (tie + s) % len(proportions)
 
             best = max(range(len(proportions)), key=wanting)
-            placed[i], out[name] = True, best
-            for x, n in counts.items():
-                need[x][best] -= n
-                room[best] -= n
+            placed[i], out[i] = True, best
+            for x, m in counts.items():
+                need[x][best] -= m
                 if x in left:
-                    left[x] -= n
+                    left[x] -= m
         del left[label]
     return out
 
 
-def label_numbers(named: DataFrame, max_labels: int) -> DataFrame:
-    """(label, number): the ``max_labels`` most frequent labels, numbered from 0."""
-    most = named.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels)
-    return most.select("label", (F.row_number().over(W.orderBy(F.desc("count"), "label")) - 1).alias("number"))
+def label_vectors(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((sample_id, group_id), (group_id, labels)): every sample with its component, and of every
+    component how many samples it has of each label, and in all. A sample counts under each of its labels."""
+    own = samples.select("sample_id", F.coalesce(plain(F.col("source_label")), F.lit("unlabeled")).alias("label")).filter("sample_id is not null").distinct()
+    ids = own.select("sample_id").distinct().join(related(samples), "sample_id", "left").select("sample_id", F.coalesce("group_id", "sample_id").alias("group_id"))
+    ids = stage(ids, "groups")
+    rows = own.join(ids, "sample_id").select("group_id", "label").unionByName(ids.select("group_id", F.lit(ROWS).alias("label")))
+    per = rows.groupBy("group_id", "label").agg(F.count("*").alias("n"))
+    return ids, per.groupBy("group_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("labels"))
 
 
-def split_samples(samples: DataFrame, proportions: tuple[float, float, float] = (0.8, 0.1, 0.1), units: int = 64, max_labels: int = 1024) -> DataFrame:
+def split_samples(samples: DataFrame, proportions: tuple[float, float, float] = (0.8, 0.1, 0.1), **options: int) -> DataFrame:
     """Every row of ``samples`` with ``group_id`` and ``assigned_split``."""
-    spark = samples.sparkSession
-    own = samples.select("sample_id", F.coalesce(plain(F.col("source_label")), F.lit("unlabeled")).alias("label")).filter("sample_id is not null").groupBy("sample_id").agg(F.min("label").alias("label"))
-    named = own.join(related(samples), "sample_id", "left").select("sample_id", F.coalesce("group_id", "sample_id").alias("group_id"), "label")
-    named = named.join(F.broadcast(label_numbers(named, max_labels)), "label", "left").select("sample_id", "group_id", F.coalesce("number", F.pmod(F.xxhash64("label"), F.lit(max_labels)) + max_labels).cast("int").alias("label"))
-    total = named.groupBy("label").count().withColumnRenamed("count", "total")
-    vectors = named.groupBy("group_id", "label").count().join(F.broadcast(total), "label")  # at most 2 x max_labels rows
-    shapes = vectors.groupBy("group_id").agg(F.sum("count").alias("size"), F.min(F.struct("total", "label")).getField("label").alias("rarest"))
-    all_rows = named.count()
-    unit = F.when(F.col("size") * 4 * units > all_rows, F.concat(F.lit("g"), "group_id")).otherwise(F.concat(F.lit("u"), F.col("rarest"), F.lit("-"), F.pmod(F.xxhash64("group_id"), F.lit(units))))
-    placed = shapes.select("group_id", unit.alias("unit"))
-    counts: dict[str, dict[int, int]] = {}
-    for row in vectors.join(placed, "group_id").groupBy("unit", "label").agg(F.sum("count").alias("n")).collect():  # at most 4 x units plus units for each of 2 x max_labels labels
-        counts.setdefault(row.unit, {})[row.label] = row.n
-    chosen = stratify(sorted(counts.items()), proportions)
-    splits = spark.createDataFrame([(u, SPLITS[s]) for u, s in chosen.items()] or [("", "")], "unit string, assigned_split string")
-    groups = placed.join(F.broadcast(splits), "unit").select("group_id", "assigned_split")
-    ids = named.select("sample_id", "group_id").join(groups, "group_id")
-    out = samples.drop("group_id", "assigned_split").join(ids, "sample_id", "left")
+    ids, vectors = label_vectors(samples)
+    groups = place_groups(vectors, dict(zip(SPLITS, proportions)), stratify, even_rows=False, **options).withColumnRenamed("split", "assigned_split")
+    out = samples.drop("group_id", "assigned_split").join(ids.join(groups, "group_id"), "sample_id", "left")
     alone = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in ("filepath", "source_dataset", "source_label")]), F.lit(1000)) / 1000.0
     single = F.when(alone < proportions[0], SPLITS[0]).when(alone < proportions[0] + proportions[1], SPLITS[1]).otherwise(SPLITS[2])
     return out.withColumn("assigned_split", F.coalesce("assigned_split", single))
+
+
+def balance(samples: DataFrame, assigned: DataFrame, proportions: tuple[float, float, float] = (0.8, 0.1, 0.1)) -> DataFrame:
+    """(label, samples, balanced): whether each split has its part of a label's samples, within one in
+    a hundred of them, one sample and twice what the largest component holds (which can't be divided,
+    and of which the other labels have a say).
+    assigned(sample_id, group_id, assigned_split)."""
+    own = samples.select("sample_id", F.coalesce(plain(F.col("source_label")), F.lit("unlabeled")).alias("label")).filter("sample_id is not null").distinct()
+    rows = own.join(assigned.select("sample_id", "group_id", "assigned_split").distinct(), "sample_id")
+    per = rows.groupBy("label", "group_id", "assigned_split").agg(F.count("*").alias("n"))
+    sums = per.groupBy("label").agg(F.sum("n").alias("samples"), F.max("n").alias("most"), *(F.sum(F.when(F.col("assigned_split") == s, F.col("n")).otherwise(0)).alias(s) for s in SPLITS))
+    fine = F.lit(True)
+    for s, p in zip(SPLITS, proportions):
+        fine = fine & (F.abs(F.col(s) - p * F.col("samples")) <= 0.01 * F.col("samples") + 1 + 2 * F.col("most"))
+    return sums.select("label", "samples", fine.alias("balanced"))

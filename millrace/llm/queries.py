@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import canonical, grouped_splits, links, neighbours, overlap, personal, representative, tiling, tokenize
-from millrace.storage import table
+from millrace.storage import stage, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +19,15 @@ def p1_splits(spark: SparkSession, d: str) -> DataFrame:
     return grouped_splits.split_samples(table(spark, d, "samples")).select("sample_id", "group_id", "assigned_split").distinct()
 
 
+def p1_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Per label whether the splits have their parts of it, and (label null) that no group is split."""
+    samples = table(spark, d, "samples")
+    assigned = stage(p1_splits(spark, d), "assigned")
+    torn = assigned.filter("group_id is not null").groupBy("group_id").agg(F.count_distinct("assigned_split").alias("n")).filter("n > 1")
+    none = torn.agg(F.lit(None).cast("string").alias("label"), F.count("*").alias("samples"), (F.count("*") == 0).alias("balanced"))
+    return grouped_splits.balance(samples, assigned).unionByName(none)
+
+
 def _p2(spark: SparkSession, d: str) -> DataFrame:
     vectors = neighbours.usable(table(spark, d, "descriptors"), "sample_id", "histogram", 512, "computed_at")
     members, _, graph = neighbours.neighbour_graph(vectors)
@@ -99,7 +108,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p1_found, p1_splits, p2_found, p2_search, p3_found, p3_misses, p5_found, p5_all, p6_found, p6_survivors, p7_found, p7_report, p8_ids, p9_found, p9_coverage, p10_found, p10_redacted)
+    own = (p1_found, p1_splits, p1_balance, p2_found, p2_search, p3_found, p3_misses, p5_found, p5_all, p6_found, p6_survivors, p7_found, p7_report, p8_ids, p9_found, p9_coverage, p10_found, p10_redacted)
     return {f.__name__: f for f in own}
 
 

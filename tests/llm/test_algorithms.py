@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import canonical, grouped_splits, links, neighbours, overlap, representative
 from millrace.llm.grid_components import components, local_stars
+from millrace.operators.splits import ROWS
 
 SAMPLES = "sample_id string, filepath string, source_dataset string, source_split string, source_label string, capture_group string, video_id string, location string, duplicate_cluster_id string, v string, place int"
 
@@ -45,8 +46,9 @@ def test_components_over_one_and_many_blocks(spark, block):
     pairs = [(f"{a:04d}", f"{b:04d}") for a, b in rng.integers(0, 700, (420, 2)) if a != b]
     pairs += [(f"z{i:03d}", f"z{i + 1:03d}") for i in range(90)] + [("hub", f"h{i:03d}") for i in range(150)]
     df = spark.createDataFrame(pairs + [("x", "x"), (None, "y"), ("hub", None)] + pairs[:5] + [p[::-1] for p in pairs[:5]], "left string, right string")
-    got = components(df, edges_per_block=block).collect()
-    assert {r.v: r.component for r in got} == union_find(pairs) and len(got) == len({r.v for r in got})
+    for cells in (1, 10):
+        got = components(df, edges_per_block=block, least_cells=cells).collect()
+        assert {r.v: r.component for r in got} == union_find(pairs) and len(got) == len({r.v for r in got})
 
 
 def test_no_links(spark):
@@ -90,9 +92,23 @@ def test_splits_hold_groups_and_proportions(spark):
 
 
 def test_stratify_places_the_rarest_label_first():
-    units = [(f"u{i}", {0: 10}) for i in range(10)] + [("r1", {1: 1}), ("r2", {1: 1}), ("r3", {1: 1})]
-    got = grouped_splits.stratify(units, (0.34, 0.33, 0.33))
-    assert {got["r1"], got["r2"], got["r3"]} == {0, 1, 2}
+    items = [(f"u{i}", {"common": 10, ROWS: 10}) for i in range(10)] + [(f"r{i}", {"rare": 1, ROWS: 1}) for i in range(3)]
+    p = [0.34, 0.33, 0.33]
+    total = {"common": 100.0, "rare": 3.0, ROWS: 103.0}
+    got = grouped_splits.stratify(items, {x: [t * q for q in p] for x, t in total.items()}, total, p, ["a", "b", "c"])
+    assert set(got[10:]) == {0, 1, 2}
+
+
+def test_splits_are_balanced_label_by_label(spark):
+    """2 000 labels, each with a vector of its own; a component that holds a third of all; samples of several labels."""
+    rows = [sample(f"{i:06d}", "s", f"g{i // 3}" if i % 7 == 0 else None, label=f"label {i % 2000}") for i in range(24_000)]
+    rows += [sample(f"h{i:05d}", "h", "hot", label=f"label {i % 40}") for i in range(12_000)]
+    rows += [sample(f"{i:06d}", "s", f"g{i // 3}" if i % 7 == 0 else None, label="second") for i in range(0, 24_000, 11) if i % 2000 >= 40]
+    df = spark.createDataFrame(rows, SAMPLES)
+    out = grouped_splits.split_samples(df)
+    assert out.groupBy("group_id").agg(F.count_distinct("assigned_split").alias("n")).filter("n > 1").count() == 0
+    got = grouped_splits.balance(df, out)
+    assert got.count() == 2001 and not got.filter("not balanced").collect()
 
 
 def brute_neighbours(x, ids, k, least):
@@ -277,10 +293,3 @@ def test_overlap_against_brute_force(spark, group_rows, monkeypatch):
     r = overlap.report(labels, pairs).agg(F.sum("leaked").alias("n")).first()
     assert r.n > 0
     assert overlap.cross_split_pairs(labels.limit(0), metrics, desc).count() == 0
-
-
-def test_labels_share_no_dimension_within_the_limit(spark):
-    named = spark.createDataFrame([(f"label {i}",) for i in range(900) for _ in range(1 + i % 3)], "label string")
-    got = {r.label: r.number for r in grouped_splits.label_numbers(named, 1024).collect()}
-    assert len(got) == 900 and sorted(got.values()) == list(range(900))
-    assert sorted(r.number for r in grouped_splits.label_numbers(named, 100).collect()) == list(range(100))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,23 +61,23 @@ def brute_leaks(docs, items, least):
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text("ab c", max_size=60), min_size=1, max_size=6), st.lists(st.text("ab c", max_size=40), min_size=1, max_size=4))
 def test_tiles_are_found_where_brute_force_finds_them(docs, items):
-    import numpy as np
-
-    listed = [(i, tiling.words(t)) for i, t in enumerate(items)]
-    index = tiling.Items(listed, 3)
     found = set()
     for d, text in enumerate(docs):
-        code = np.array([index.codes.get(w, 0) for w in tiling.words(text)], dtype=np.int64)
-        at, rows = index.seeds(code)
-        starts = {}
-        for p, (i, q) in zip(at, index.at[rows]):
-            starts.setdefault(int(i), []).append((int(p), int(q)))
-        for i, s in starts.items():
-            tiles = index.tiles(code, index.items[i][1], s)
-            used = [x for p, _, n in tiles for x in range(p, p + n)]
-            assert len(used) == len(set(used))
+        own = tiling.words(text)
+        h = tiling.roll(np.array(tiling._CODES(own), dtype=np.uint64), 3)
+        for i, item in enumerate(items):
+            other = tiling.words(item)
+            g = tiling.roll(np.array(tiling._CODES(other), dtype=np.uint64), 3)
+            seeds = np.array([(p, q) for p in range(len(h)) for q in range(len(g)) if h[p] == g[q]]).reshape(-1, 2)
+            tiles = tiling.tiles(seeds[:, 0], seeds[:, 1], 3)
+            assert all(own[p : p + n] == other[q : q + n] and n >= 3 for p, q, n in tiles)
+            for side in (0, 1):
+                used = [x for t in tiles for x in range(t[side], t[side] + t[2])]
+                assert len(used) == len(set(used))
             if tiles:
-                found.add((d, index.items[i][0]))
+                # the longest common run is a tile
+                assert tiles[0][2] == max(n for n in range(3, len(own) + 1) for p in range(len(own) - n + 1) if any(own[p : p + n] == other[q : q + n] for q in range(len(other) - n + 1)))
+                found.add((d, i))
     assert found == brute_leaks(list(enumerate(docs)), list(enumerate(items)), 3)
 
 
@@ -85,8 +86,8 @@ def test_leaks(spark):
     docs = [(1, "xx UNO DÓS tres cuatro > cinco\nseis siete ocho nueve diez yy"), (2, "uno dos tres cuatro cinco seis siete ocho nueve y diez once"), (3, None), (4, ""), (5, item + " " + item), (6, "z " * 20_000 + item)]
     df = spark.createDataFrame([(*d, "own") for d in docs], "doc_id long, text string, item_id string")
     items = spark.createDataFrame([(7, item), (8, "corto"), (9, None), (None, item), (10, item)], "item_id long, item_text string")
-    for block in (20_000, 1):
-        got = {(r.doc_id, r.item_id): r for r in tiling.leaks(df, items, block_items=block).collect()}
+    for bits in (1 << 24, 64):  # with a full filter everything goes to the join
+        got = {(r.doc_id, r.item_id): r for r in tiling.leaks(df, items, filter_bits=bits).collect()}
         assert set(got) == {(d, i) for d in (1, 5, 6) for i in (7, 10)}
         assert got[1, 7].longest == 10 and got[5, 7].coverage == 1.0
     assert tiling.leaks(df.limit(0), items).count() == 0 and tiling.leaks(df, items.limit(0)).count() == 0
