@@ -11,9 +11,10 @@ The whole value is tried first, then runs of its words, longest first, so that a
 ("posible mancha cobriza", "roya espiral - leve") is found; a run of several words may be damaged,
 a single word only if all words beside it are qualifiers. A word with a full stop may abbreviate.
 
-The dictionary is broadcast in blocks of ``block_entries`` reference entries, whose size is thus
-bounded; a longer list takes several blocks, of which the best candidate counts. Values are
-resolved row by row with a memo, without a shuffle.
+A list of at most ``block_entries`` entries is one dictionary, which is broadcast, so its size is
+bounded; values are then resolved row by row with a memo, without a shuffle. A longer list is cut
+into blocks that distinct values are joined with; meanings are compared in one order over all
+blocks, so the number of blocks changes no result.
 
 Defined results: null and blank values are no entries; a value without letters is a miss; an empty
 reference list makes every entry a miss.
@@ -26,7 +27,6 @@ import unicodedata
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 from itertools import permutations
 
 import pandas as pd
@@ -108,35 +108,38 @@ def edits_for(length: int) -> int:
     return 0 if length < 4 else 1 if length < 7 else MAX_EDITS
 
 
+#: (step, by abbreviation, distance, -frequency, entry): the least wins, whatever block it is from.
+Meaning = tuple[int, int, float, int, int]
+
+
 class Dictionary:
-    """The forms of one field of the reference list."""
+    """The forms of one field of the reference list, or of a block of it."""
 
-    def __init__(self, entries: list[tuple[int, str, list[str]]], frequency: dict[int, int]) -> None:
-        self.frequency = frequency
+    def __init__(self, entries: list[tuple[int, str, list[str], int]]) -> None:
+        self.frequency = {e: n for e, _, _, n in entries}
         self.exact: dict[str, set[int]] = defaultdict(set)
-        self.forms: list[tuple[tuple[str, ...], int]] = []
         self.index: dict[str, set[str]] = defaultdict(set)
-        for entry, name, aliases in entries:
+        self.starts: dict[tuple[int, int, str], set[tuple[tuple[str, ...], int]]] = defaultdict(set)
+        for entry, name, aliases, _ in entries:
             for text in (name, *(aliases or [])):
-                if not text:
-                    continue
-                own = tuple(w.rstrip(".") for w in words(text))
+                own = tuple(w.rstrip(".") for w in words(text)) if text else ()
                 if not own:
                     continue
-                orders = set(permutations(own)) if len(own) <= 3 else {own}
-                for order in orders:
-                    self.forms.append((order, entry))
+                for order in set(permutations(own)) if len(own) <= 3 else {own}:
                     self.exact["".join(order)].add(entry)
+                    for i, w in enumerate(order):  # every beginning of every word, for words that are cut short
+                        for n in range(1, len(w)):
+                            self.starts[len(order), i, w[:n]].add((order, entry))
         for form in list(self.exact):
             for rest in deletes(form, edits_for(len(form))):
                 self.index[rest].add(form)
 
-    def best(self, found: dict[int, float]) -> tuple[float, int, int] | None:
-        return min(((d, -self.frequency.get(e, 0), e) for e, d in found.items()), default=None)
+    def best(self, found: dict[int, float], step: int, short: int = 0) -> Meaning | None:
+        return min(((step, short, d, -self.frequency.get(e, 0), e) for e, d in found.items()), default=None)
 
-    def near(self, text: str, edits: int) -> tuple[float, int, int] | None:
+    def near(self, text: str, edits: int, step: int) -> Meaning | None:
         if text in self.exact:
-            return self.best({e: 0.0 for e in self.exact[text]})
+            return self.best({e: 0.0 for e in self.exact[text]}, step)
         if not edits:
             return None
         found: dict[int, float] = {}
@@ -145,16 +148,17 @@ class Dictionary:
             if limit and (d := distance(text, form, 1.2 * limit)) < 9:
                 for e in self.exact[form]:
                     found[e] = min(d, found.get(e, 9.0))
-        return self.best(found)
+        return self.best(found, step)
 
-    def shortened(self, run: list[str]) -> tuple[float, int, int] | None:
-        """Words with a full stop as the beginnings of words of a form."""
-        if not any(w.endswith(".") for w in run) or sum(len(w.rstrip(".")) > 2 for w in run) < len(run) / 2 or len(run) < 2:
+    def shortened(self, run: list[str], step: int) -> Meaning | None:
+        """Words with a full stop as the beginnings of words of a form: looked up by the longest of them."""
+        if len(run) < 2 or sum(len(w.rstrip(".")) > 2 for w in run) < len(run) / 2:
+            return None
+        cut = max((i for i, w in enumerate(run) if w.endswith(".")), key=lambda i: len(run[i]), default=None)
+        if cut is None:
             return None
         found: dict[int, float] = {}
-        for form, entry in self.forms:
-            if len(form) != len(run):
-                continue
+        for form, entry in self.starts.get((len(run), cut, run[cut].rstrip(".")), ()):
             cost = 0.0
             for mine, its in zip(run, form):
                 short = mine.rstrip(".")
@@ -168,44 +172,51 @@ class Dictionary:
                     break
             else:
                 found[entry] = min(cost, found.get(entry, 9.0))
-        return self.best(found)
+        return self.best(found, step, 1)
+
+    def resolve(self, value: str) -> Meaning | None:
+        """What the value means, or None.
 
-    def resolve(self, value: str) -> tuple[float, int, int] | None:
-        """(distance, -frequency, entry) of what the value means, or None."""
+        Steps: the whole value; then runs of its words, longest first, letter for letter; then the
+        whole value and runs again, damaged or cut short. The first step that reaches a form decides;
+        within it damaged forms come before shortened ones, then distance, frequency and id decide.
+        """
         own = words(value)
         bare = [w.rstrip(".") for w in own]
         if not own or not any(c.isalpha() for w in bare for c in w):
             return None
         joined = "".join(bare)
-        if joined in self.exact:
-            return self.near(joined, 0)
+        if got := self.near(joined, 0, 0):
+            return got
+        step = 0
         sizes = range(min(len(own) - 1, 6), 0, -1)
         for fuzzy in (False, True):
-            if fuzzy and bare[0] not in NEGATIONS and (got := self.near(joined, edits_for(len(joined) + 2)) or self.shortened(own)):
+            step += 1
+            if fuzzy and bare[0] not in NEGATIONS and (got := self.near(joined, edits_for(len(joined) + 2), step) or self.shortened(own, step)):
                 return got
             for size in sizes:
+                step += 1
                 tried = []
                 for i in range(len(own) - size + 1):
                     rest = bare[:i] + bare[i + size :]
                     if i and bare[i - 1] in NEGATIONS:
                         continue
                     text = "".join(bare[i : i + size])
-                    got = self.near(text, 0)
-                    if fuzzy and not got and (size > 1 or all(w in QUALIFIERS or w.isdigit() or len(w) == 1 for w in rest)):
-                        got = self.near(text, edits_for(len(text))) or self.shortened(own[i : i + size])
-                    if got:
-                        tried.append(got)
-                if tried:
+                    tried.append(self.near(text, 0, step))
+                    if fuzzy and (size > 1 or all(w in QUALIFIERS or w.isdigit() or len(w) == 1 for w in rest)):
+                        tried.append(self.near(text, edits_for(len(text)), step))
+                        tried.append(self.shortened(own[i : i + size], step))
+                if tried := [t for t in tried if t]:
                     return min(tried)
         return None
 
 
-def resolver(reference: list[tuple[int, str, str, list[str]]], frequency: dict[int, int], memo: int = 200_000):
-    """(field, value) -> (distance, -frequency, entry), with a memo."""
-    fields = {f: Dictionary([(e, n, a) for e, g, n, a in reference if g == f], frequency) for f in {r[1] for r in reference}}
-    known: dict[tuple[str, str], tuple[float, int, int] | None] = {}
+def resolver(reference: list[tuple[int, str, str, list[str], int]], memo: int = 200_000):
+    """(field, value) -> Meaning or None, with a memo; reference(entry_id, field, name, aliases, frequency)."""
+    fields = {f: Dictionary([(e, n, a, k) for e, g, n, a, k in reference if g == f]) for f in {r[1] for r in reference}}
+    known: dict[tuple[str, str], Meaning | None] = {}
 
-    def look(field: str, value: str) -> tuple[float, int, int] | None:
+    def look(field: str, value: str) -> Meaning | None:
         key = (field, value)
         if key not in known:
             if len(known) >= memo:
@@ -222,42 +233,69 @@ def free_entries(labels: DataFrame, fields: tuple[str, ...] = ("disease", "condi
     return labels.select("label_id", F.inline(pairs)).filter(F.col("value").rlike(r"(?U)\S"))
 
 
+MEANING = "step int, short int, distance double, rank bigint, entry_id bigint"
+
+
 def map_entries(labels: DataFrame, ontology: DataFrame, block_entries: int = 2000) -> DataFrame:
     """(label_id, field, value, entry_id, distance, exact): what each free entry means, 0 for none.
 
-    The reference list is read by the driver: it is a list that people keep, and it is taken in
-    blocks of ``block_entries``.
+    A list of at most ``block_entries`` is one dictionary, and rows are resolved where they lie. A
+    longer list is cut into blocks of so many entries: distinct values meet each block in a task that
+    holds that block only, and the least meaning over all blocks counts, which is what one dictionary
+    of the whole list would have given.
     """
     spark = labels.sparkSession
-    reference = [(r.entry_id, r.field, r.name, list(r.aliases or [])) for r in ontology.filter("entry_id is not null and field is not null and name is not null").orderBy("entry_id").collect()]
+    listed = ontology.filter("entry_id is not null and field is not null and name is not null").select("entry_id", "field", "name", "aliases")
     entries = free_entries(labels)
-    forms = [(f, t, e, t == n) for e, f, n, a in reference for t in dict.fromkeys([n, *a]) if t]
-    named = spark.createDataFrame(forms or [("", "", 0, False)], "field string, value string, e bigint, is_name boolean")
-    own = F.broadcast(named) if len(forms) <= 5 * block_entries else named
-    frequency = {r.e: r.n for r in entries.join(own, ["field", "value"]).groupBy("e").agg(F.count("*").alias("n")).collect()}  # one row an entry
-    names = named.filter("is_name").select("field", "value", F.lit(True).alias("exact"), F.col("e").alias("named")).dropDuplicates(["field", "value"])
-    rows = entries.join(F.broadcast(names) if len(forms) <= 5 * block_entries else names, ["field", "value"], "left")
-
-    def block(part: list[tuple[int, str, str, list[str]]]):
-        shared, name = spark.sparkContext.broadcast((part, frequency)), uuid.uuid4().hex
-
-        @F.pandas_udf("struct<distance double, rank bigint, entry_id bigint>")
+    forms = listed.select("field", "entry_id", "name", F.explode(F.array_distinct(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("value")).filter("value <> ''").distinct()
+    named = entries.join(forms.select("field", "value", F.col("entry_id").alias("e")), ["field", "value"]).groupBy("e").agg(F.count("*").alias("frequency"))
+    listed = listed.join(named.withColumnRenamed("e", "entry_id"), "entry_id", "left").withColumn("frequency", F.coalesce("frequency", F.lit(0)))
+    size = listed.count()
+    blocks = max(1, -(-size // block_entries))
+    names = forms.filter("value = name").groupBy("field", "value").agg(F.min("entry_id").alias("named"))
+    rows = entries.join(F.broadcast(names) if blocks == 1 else names, ["field", "value"], "left")
+    free = rows.filter("named is null").select("label_id", "field", "value")
+    if blocks == 1:
+        shared, name = spark.sparkContext.broadcast([tuple(r) for r in listed.collect()]), uuid.uuid4().hex  # at most block_entries rows
+
+        @F.pandas_udf(f"struct<{MEANING.replace(' ', ':')}>".replace(",:", ", "))
         def meaning(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            look = once(name, lambda: resolver(*shared.value))
+            look = once(name, lambda: resolver(shared.value))
             for field, value in batches:
-                got = [look(f, v) or (99.0, 0, 0) for f, v in zip(field, value)]
-                yield pd.DataFrame(got, columns=["distance", "rank", "entry_id"])
-
-        return meaning
-
-    free = rows.filter("exact is null")
-    found = [f"m{i}" for i in range(0, max(1, len(reference)), block_entries)]
-    for column, i in zip(found, range(0, max(1, len(reference)), block_entries)):
-        free = free.withColumn(column, block(reference[i : i + block_entries])("field", "value"))
-    best = reduce(lambda a, b: F.least(a, b), [F.col(c) for c in found])
-    free = free.select("label_id", "field", "value", best.alias("m")).select("label_id", "field", "value", "m.entry_id", F.when(F.col("m.entry_id") > 0, F.col("m.distance")).alias("distance"), F.lit(False).alias("exact"))
-    same = rows.filter("exact").select("label_id", "field", "value", F.col("named").alias("entry_id"), F.lit(0.0).alias("distance"), "exact")
-    return same.unionByName(free)
+                yield _frame([look(f, v) for f, v in zip(field, value)])
+
+        found = free.withColumn("m", meaning("field", "value"))
+    else:
+        best = _over_blocks(free.select("field", "value").distinct(), listed, blocks)
+        found = free.join(best, ["field", "value"], "left")
+    entry = F.coalesce("m.entry_id", F.lit(0).cast("bigint"))
+    found = found.select("label_id", "field", "value", entry.alias("entry_id"), F.when(entry > 0, F.col("m.distance")).alias("distance"), F.lit(False).alias("exact"))
+    same = rows.filter("named is not null").select("label_id", "field", "value", F.col("named").alias("entry_id"), F.lit(0.0).alias("distance"), F.lit(True).alias("exact"))
+    return same.unionByName(found)
+
+
+def _frame(got: list[Meaning | None]) -> pd.DataFrame:
+    return pd.DataFrame([m or (99, 9, 99.0, 0, 0) for m in got], columns=["step", "short", "distance", "rank", "entry_id"])
+
+
+def _over_blocks(values: DataFrame, listed: DataFrame, blocks: int) -> DataFrame:
+    """(field, value, m): the least meaning of distinct values over all blocks of a long list."""
+    block = F.pmod(F.xxhash64("entry_id"), F.lit(blocks)).cast("int").alias("block")
+    held = listed.select("entry_id", "field", "name", "aliases", "frequency", block)
+    asked = values.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def resolve(reference: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        rows = reference[["entry_id", "field", "name", "aliases", "frequency"]].itertuples(index=False, name=None)
+        look = resolver([(e, f, n, [] if a is None else list(a), k) for e, f, n, a, k in rows])
+        out = _frame([look(f, v) for f, v in zip(part["field"], part["value"])])
+        return pd.concat([part[["field", "value"]].reset_index(drop=True), out], axis=1)
+
+    # a block meets the values in as many parts as keep a task small
+    parts = max(1, values.count() // 200_000)
+    held = held.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)).cast("int"))
+    met = held.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(resolve, f"field string, value string, {MEANING}")
+    return met.filter("entry_id > 0").groupBy("field", "value").agg(F.min(F.struct("step", "short", "distance", "rank", "entry_id")).alias("m"))
 
 
 def misses(mapped: DataFrame) -> DataFrame:

@@ -64,6 +64,7 @@ def stratify(items: list[tuple[str, dict[str, int]]], need: dict[str, list[float
             left[label] = left.get(label, 0) + n
             holders.setdefault(label, []).append(i)
     placed, out = [False] * len(items), [0] * len(items)
+    draw = [hashlib.sha256(name.encode()).digest() for name, _ in items]  # so that no vector is favoured by its place
     heap = [(n, x) for x, n in left.items() if x != ROWS]
     heapq.heapify(heap)
     while heap or ROWS in left:
@@ -73,9 +74,8 @@ def stratify(items: list[tuple[str, dict[str, int]]], need: dict[str, list[float
         if n != left[label]:
             heapq.heappush(heap, (left[label], label))
             continue
-        for i in sorted((i for i in holders[label] if not placed[i]), key=lambda i: (-items[i][1][label], items[i][0])):
-            name, counts = items[i]
-            tie = hashlib.sha256(name.encode()).digest()[0]
+        for i in sorted((i for i in holders[label] if not placed[i]), key=lambda i: (-items[i][1][label], draw[i])):
+            counts, tie = items[i][1], draw[i][0]
 
             def wanting(s: int, counts: dict[str, int] = counts, label: str = label, tie: int = tie) -> tuple:
                 """The share of its own that a split still wants when half of the item is in it."""

@@ -101,14 +101,17 @@ def test_stratify_places_the_rarest_label_first():
 
 def test_splits_are_balanced_label_by_label(spark):
     """2 000 labels, each with a vector of its own; a component that holds a third of all; samples of several labels."""
-    rows = [sample(f"{i:06d}", "s", f"g{i // 3}" if i % 7 == 0 else None, label=f"label {i % 2000}") for i in range(24_000)]
+    rows = [sample(f"{i:06d}", "s", f"g{i // 3}" if i % 7 == 0 else None, label=f"label {i % 2000}") for i in range(40_000)]
     rows += [sample(f"h{i:05d}", "h", "hot", label=f"label {i % 40}") for i in range(12_000)]
-    rows += [sample(f"{i:06d}", "s", f"g{i // 3}" if i % 7 == 0 else None, label="second") for i in range(0, 24_000, 11) if i % 2000 >= 40]
+    rows += [sample(f"{i:06d}", "s", f"g{i // 3}" if i % 7 == 0 else None, label="second") for i in range(0, 40_000, 11) if i % 2000 >= 40]
     df = spark.createDataFrame(rows, SAMPLES)
     out = grouped_splits.split_samples(df)
     assert out.groupBy("group_id").agg(F.count_distinct("assigned_split").alias("n")).filter("n > 1").count() == 0
     got = grouped_splits.balance(df, out)
-    assert got.count() == 2001 and not got.filter("not balanced").collect()
+    assert got.count() == 2001 and not got.filter("not balanced and label <> 'second'").collect()
+    # of a label that always comes with a rarer one each split has what the rarer ones leave to it
+    n = {r.assigned_split: r["count"] for r in out.filter("source_label = 'second'").groupBy("assigned_split").count().collect()}
+    assert abs(n["train"] / sum(n.values()) - 0.8) < 0.04
 
 
 def brute_neighbours(x, ids, k, least):
@@ -180,8 +183,8 @@ ONTOLOGY = [(1, "disease", "mancha cobriza", ["copper blotch"]), (2, "disease",
     ],
 )
 def test_meanings(field, value, entry):
-    got = canonical.resolver([(e, f, n, a or []) for e, f, n, a in ONTOLOGY], {})(field, value)
-    assert (got[2] if got else 0) == entry
+    got = canonical.resolver([(e, f, n, a or [], 0) for e, f, n, a in ONTOLOGY])(field, value)
+    assert (got[4] if got else 0) == entry
 
 
 def slow_distance(a, b):
@@ -227,6 +230,26 @@ def test_map_entries(spark):
     assert [(r.value, r.entries) for r in canonical.misses(canonical.map_entries(df, ontology)).collect()] == [("roya verde", 1)]
 
 
+@pytest.mark.parametrize("size, blocks", [(150, (1, 40)), (5000, (700,))])
+def test_the_number_of_blocks_changes_no_meaning(spark, size, blocks):
+    rng = np.random.default_rng(3)
+    part = [f"{a}{b}{c}" for a in ("ro", "man", "ti", "gor", "lep") for b in ("y", "ch", "zo", "bru") for c in ("a", "on", "ero", "illo", "umba")]
+    name = lambda: " ".join(str(x) for x in rng.choice(part, rng.integers(1, 4), replace=False))
+    listed = [(i, "disease", name(), [name()] if i % 3 == 0 else None) for i in range(1, size + 1)]
+    listed += [(size + 1, "disease", "roya", None), (size + 2, "disease", "roya espiral", None)]
+
+    def damaged(text):
+        i = int(rng.integers(0, len(text)))
+        return [text, text[:i] + text[i + 1 :], text[:i] + "x" + text[i:], "posible " + text + " leve", text[: max(2, len(text) - 2)] + ".", text.split()[0][:3] + ". " + " ".join(text.split()[1:])][int(rng.integers(0, 6))]
+
+    values = ["posible roya espiral leve", "roya", "no roya"] + [damaged(listed[int(rng.integers(0, size))][2]) for _ in range(400)]
+    df = spark.createDataFrame([(i, v, None) for i, v in enumerate(values)], "label_id long, disease string, condition string")
+    ontology = spark.createDataFrame(listed, "entry_id long, field string, name string, aliases array<string>")
+    mean = lambda b: {(r.label_id, r.entry_id, r.distance, r.exact) for r in canonical.map_entries(df, ontology, b).collect()}
+    want = mean(size + 2)
+    assert next(e for i, e, *_ in want if i == 0) == size + 2 and all(mean(b) == want for b in blocks)
+
+
 METRICS = "sample_id string, width int, height int, blur_variance double, is_corrupted boolean, processing_error boolean, measured_at timestamp_ntz, value string"
 
 
