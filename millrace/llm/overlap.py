@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MAX_BITS = 6
@@ -137,17 +138,25 @@ def near_hashes(hashes: DataFrame, group_rows: int = 500_000) -> DataFrame:
     return spread.mapInArrow(_chains(group_rows), "train_hash bigint, held_hash bigint, rule int")
 
 
-def cross_split_pairs(labels: DataFrame, metrics: DataFrame, descriptors: DataFrame) -> DataFrame:
-    """(train_id, held_id, how, coverage) of every overlapping pair of samples."""
+def _sides_of(labels: DataFrame, metrics: DataFrame, descriptors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(digests, flat, hashes): digests and hashes of listed samples, and the distinct hashes with flags."""
     side = sides(labels)
     digests = metrics.select("sample_id", F.lower(F.trim("asset_sha256")).alias("digest")).filter("digest <> '' and sample_id is not null").distinct().join(side, "sample_id")
-    same = digests.filter("train").select(F.col("sample_id").alias("train_id"), "digest").join(digests.filter("held").select(F.col("sample_id").alias("held_id"), "digest"), "digest")
-    exact = same.select("train_id", "held_id", F.lit("digest").alias("how"), F.lit(1.0).alias("coverage"))
-
     own = descriptors.filter("phashes is not null and sample_id is not null").select("sample_id", "phashes").join(side, "sample_id")
     flat = own.select("sample_id", "train", "held", F.posexplode("phashes").alias("pos", "h")).filter("h is not null")
     flag = F.when(F.col("train"), F.when(F.col("pos") == 0, T_FIRST | T_ANY).otherwise(T_ANY)).otherwise(0) + F.when(F.col("held"), F.when(F.col("pos") == 0, E_FIRST | E_ANY).otherwise(E_ANY)).otherwise(0)
-    hashes = flat.select("h", flag.cast("int").alias("f")).groupBy("h").agg(F.bit_or("f").alias("f"))
+    return digests, flat, flat.select("h", flag.cast("int").alias("f")).groupBy("h").agg(F.bit_or("f").alias("f"))
+
+
+def _coverage() -> Column:
+    return 1 - F.bit_count(F.col("train_hash").bitwiseXOR(F.col("held_hash"))) / 64.0
+
+
+def cross_split_pairs(labels: DataFrame, metrics: DataFrame, descriptors: DataFrame) -> DataFrame:
+    """(train_id, held_id, how, coverage) of every overlapping pair of samples."""
+    digests, flat, hashes = _sides_of(labels, metrics, descriptors)
+    same = digests.filter("train").select(F.col("sample_id").alias("train_id"), "digest").join(digests.filter("held").select(F.col("sample_id").alias("held_id"), "digest"), "digest")
+    exact = same.select("train_id", "held_id", F.lit("digest").alias("how"), F.lit(1.0).alias("coverage"))
     found = near_hashes(hashes)
     mine = flat.filter("train").select(F.col("sample_id").alias("train_id"), F.col("h").alias("train_hash"), (F.col("pos") == 0).alias("t_first"))
     theirs = flat.filter("held").select(F.col("sample_id").alias("held_id"), F.col("h").alias("held_hash"), (F.col("pos") == 0).alias("e_first"))
@@ -155,13 +164,33 @@ def cross_split_pairs(labels: DataFrame, metrics: DataFrame, descriptors: DataFr
         found.join(mine, "train_hash")
         .join(theirs, "held_hash")
         .filter("(rule = 1 and t_first) or (rule = 2 and e_first)")
-        .select("train_id", "held_id", F.lit("phash").alias("how"), (1 - F.bit_count(F.col("train_hash").bitwiseXOR(F.col("held_hash"))) / 64.0).alias("coverage"))
+        .select("train_id", "held_id", F.lit("phash").alias("how"), _coverage().alias("coverage"))
     )
     return exact.unionByName(near).filter("train_id <> held_id").groupBy("train_id", "held_id").agg(F.min("how").alias("how"), F.max("coverage").alias("coverage"))
 
 
-def report(labels: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(split, source_dataset, samples, leaked, coverage): per split and source of evaluation samples."""
-    held = labels.select(sample_of(F.col("filename")).alias("held_id"), split_name(F.col("split")).alias("split"), "source_dataset").filter("split in ('val', 'test')").distinct()
-    best = pairs.groupBy("held_id").agg(F.max("coverage").alias("coverage"))
+def covered(labels: DataFrame, metrics: DataFrame, descriptors: DataFrame) -> DataFrame:
+    """(held_id, coverage): evaluation samples that occur in another training sample, and how much of
+    them at best. Nothing is expanded into pairs of samples: a digest or hash that a third of all
+    samples share is one row of each side, with its only owner or none if there are several."""
+    digests, flat, hashes = _sides_of(labels, metrics, descriptors)
+    owner = lambda: F.when(F.min("sample_id") == F.max("sample_id"), F.min("sample_id")).alias("owner")
+    of = digests.filter("train").groupBy("digest").agg(owner())
+    exact = digests.filter("held").join(of, "digest").filter("owner is null or owner <> sample_id").select(F.col("sample_id").alias("held_id"), F.lit(1.0).alias("coverage"))
+    train = flat.filter("train")
+    first = train.filter("pos = 0").groupBy(F.col("h").alias("train_hash")).agg(owner()).withColumn("rule", F.lit(1))
+    any_ = train.groupBy(F.col("h").alias("train_hash")).agg(owner()).withColumn("rule", F.lit(2))
+    near = near_hashes(hashes).join(first.unionByName(any_), ["train_hash", "rule"])
+    # of each evaluation hash the two best owners suffice: one of them is another sample, whoever asks
+    near = near.groupBy("held_hash", "rule", "owner").agg(F.max(_coverage()).alias("coverage"))
+    near = near.withColumn("place", F.row_number().over(W.partitionBy("held_hash", "rule").orderBy(F.desc("coverage"), "owner"))).filter("place <= 2").drop("place")
+    theirs = flat.filter("held").select(F.col("sample_id").alias("held_id"), F.col("h").alias("held_hash"), "pos").distinct()
+    seen = near.join(theirs, "held_hash").filter("(owner is null or owner <> held_id) and (rule = 1 or pos = 0)").select("held_id", "coverage")
+    return exact.unionByName(seen).groupBy("held_id").agg(F.max("coverage").alias("coverage"))
+
+
+def report(labels: DataFrame, best: DataFrame) -> DataFrame:
+    """(split, source_dataset, samples, leaked, coverage): per split and source of evaluation samples,
+    from best(held_id, coverage), see ``covered``."""
+    held = labels.select(sample_of(F.col("filename")).alias("held_id"), split_name(F.col("split")).alias("split"), "source_dataset").filter("split in ('val', 'test') and held_id <> ''").distinct()
     return held.join(best, "held_id", "left").groupBy("split", "source_dataset").agg(F.count("*").alias("samples"), F.count("coverage").alias("leaked"), F.round(F.sum(F.coalesce("coverage", F.lit(0.0))) / F.count("*"), 6).alias("coverage"))

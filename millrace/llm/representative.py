@@ -3,8 +3,8 @@
 Per sample and field the usable value of the latest timestamp counts. Where a sample has usable
 values of a field without any timestamp only, currency reasoning decides: the timestamped rows of
 all samples teach how often value a is followed by value b; a precedes b if that is commoner than
-the reverse; the values of the sample that precede no other value of it are the topologically
-latest (all of them, should they form a cycle), and the greatest of those is taken.
+the reverse; what precedes what directly or through other values gives each value a topological
+depth, and of the values of the sample the deepest is taken, of equally deep ones the greatest.
 
 Everything is aggregation and joins in the JVM. Transitions are read off with a lag within (sample,
 day) and a second one over the first and last row of each day, so that no window holds all rows of
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.storage import stage
+
 
 def usable(field: str) -> Column:
     value = F.col(field).cast("double")
@@ -40,23 +42,76 @@ def transitions(rows: DataFrame) -> DataFrame:
     return inner.unionByName(outer).filter("before <> after").groupBy("field", "before", "after").agg(F.count("*").alias("times"))
 
 
+def precedence(rows: DataFrame) -> DataFrame:
+    """(field, before, after): the order that the timestamped rows teach; b follows a if that transition
+    is commoner than its reverse."""
+    seen = transitions(rows)
+    back = seen.select("field", F.col("after").alias("before"), F.col("before").alias("after"), F.col("times").alias("reverse"))
+    return seen.join(back, ["field", "before", "after"], "left").filter("times > coalesce(reverse, 0)").select("field", "before", "after")
+
+
+def depths(order: DataFrame) -> DataFrame:
+    """(field, value, depth): the topological depth of each value, one more than that of the deepest
+    value before it, however long the way; so a value that comes after another one, directly or
+    through others, is deeper.
+
+    Rounds take away the values that no remaining value precedes. When none is left to take, the
+    others lie on or behind a cycle and share one depth beyond all of them. There are as many rounds
+    as the longest chain has values; each reads and writes what remains.
+    """
+    edges = stage(order, "order")
+    nodes = stage(edges.select("field", F.col("before").alias("value")).unionByName(edges.select("field", F.col("after").alias("value"))).distinct(), "values")
+    done, depth = None, 0
+    while True:
+        preceded = edges.select("field", F.col("after").alias("value")).distinct()
+        first = stage(nodes.join(preceded, ["field", "value"], "left_anti").withColumn("depth", F.lit(depth)), "first")
+        if first.isEmpty():
+            rest = nodes.withColumn("depth", F.lit(depth))
+            return rest if done is None else done.unionByName(rest)
+        done = first if done is None else done.unionByName(first)
+        taken = first.select("field", "value")
+        nodes = stage(nodes.join(taken, ["field", "value"], "left_anti"), "values")
+        edges = stage(edges.join(taken.withColumnRenamed("value", "before"), ["field", "before"], "left_anti"), "order")
+        depth += 1
+
+
 def topologically_latest(untimed: DataFrame, rows: DataFrame) -> DataFrame:
-    """(key, field, value): the latest value of each group whose rows carry no timestamps.
+    """(key, field, value, known): the latest value of each group whose rows carry no timestamps, and
+    whether the learned order knows at least one of its values.
 
-    Only transitions between two values that some group has to order are looked at.
+    A group takes the deepest of its values; values that the order doesn't know come before those it
+    does, and equal depths go to the greater value.
     """
     options = untimed.select("key", "field", "value").distinct()
-    seen = transitions(rows)
-    wanted = options.select("field", "value").distinct()
-    for side in ("before", "after"):
-        seen = seen.join(wanted.withColumnRenamed("value", side), ["field", side], "left_semi")
-    back = seen.select("field", F.col("after").alias("before"), F.col("before").alias("after"), F.col("times").alias("reverse"))
-    order = seen.join(back, ["field", "before", "after"], "left").filter("times > coalesce(reverse, 0)").select("field", "before", "after")
-    beaten = (
-        options.withColumnRenamed("value", "before").join(order, ["field", "before"]).join(options.withColumnRenamed("value", "after"), ["key", "field", "after"], "left_semi").select("key", "field", F.col("before").alias("value")).distinct().withColumn("beaten", F.lit(1))
-    )
-    ranked = options.join(beaten, ["key", "field", "value"], "left")
-    return ranked.groupBy("key", "field").agg(F.max(F.struct(F.col("beaten").isNull().alias("top"), "value")).getField("value").alias("value"))
+    fields = options.select("field").distinct()
+    deep = depths(precedence(rows.join(F.broadcast(fields), "field", "left_semi")))  # a handful of fields
+    ranked = options.join(deep, ["field", "value"], "left")
+    return ranked.groupBy("key", "field").agg(F.max(F.struct(F.coalesce("depth", F.lit(-1)).alias("depth"), "value")).alias("m"), F.max(F.col("depth").isNotNull()).alias("known")).select("key", "field", "m.value", "known")
+
+
+def long_rows(metrics: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """(key, field, value, at) of every usable value."""
+    each = F.array(*(F.struct(F.lit(f).alias("field"), usable(f).alias("value")) for f in fields))
+    return metrics.filter("sample_id is not null").select(F.col("sample_id").alias("key"), F.col("measured_at").alias("at"), F.inline(each)).filter("value is not null")
+
+
+def withheld(metrics: DataFrame, fields: tuple[str, ...] = ("width", "height", "blur_variance")) -> DataFrame:
+    """(field, groups, known, right): how often the learned order finds the value that is truly latest
+    when the timestamps of a sample are hidden.
+
+    Samples are halved by a hash; the order is learned from each half and asked about the other one's
+    samples with two or more usable values of a field, each with its timestamp. ``known`` counts the
+    groups of which the order knows a value, ``right`` those whose latest value it gives.
+    """
+    rows = stage(long_rows(metrics, fields).filter("at is not null").withColumn("half", F.pmod(F.xxhash64("key"), F.lit(2))), "rows")
+    truth = rows.groupBy("key", "field").agg(F.max_by("value", F.struct("at", "value")).alias("latest"), F.count_distinct("value").alias("n")).filter("n > 1")
+    found = None
+    for half in (0, 1):
+        asked = rows.filter(F.col("half") == half).join(truth.select("key", "field"), ["key", "field"], "left_semi")
+        part = topologically_latest(asked, rows.filter(F.col("half") != half).select("key", "field", "value", "at"))
+        found = part if found is None else found.unionByName(part)
+    met = found.join(truth, ["key", "field"])
+    return met.groupBy("field").agg(F.count("*").alias("groups"), F.count_if("known").alias("known"), F.count_if(F.col("value") == F.col("latest")).alias("right"))
 
 
 def best_known(metrics: DataFrame, fields: tuple[str, ...] = ("width", "height", "blur_variance")) -> DataFrame:
@@ -68,10 +123,9 @@ def best_known(metrics: DataFrame, fields: tuple[str, ...] = ("width", "height",
     dated = rows.groupBy("sample_id").agg(*(timed(f).alias(f) for f in fields), (~latest).alias("eligible"))
     if rows.filter("measured_at is null").isEmpty():  # nothing to reason about
         return dated
-    long = rows.select(F.col("sample_id").alias("key"), F.col("measured_at").alias("at"), F.inline(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields)))).filter("value is not null")
-    never = rows.filter("measured_at is null").select(F.col("sample_id").alias("key"), F.inline(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields)))).filter("value is not null")
+    long = long_rows(metrics, fields)
     have = dated.select(F.col("sample_id").alias("key"), F.inline(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("dated")) for f in fields)))).filter("dated is not null").drop("dated")
-    reasoned = topologically_latest(never.join(have, ["key", "field"], "left_anti"), long)
+    reasoned = topologically_latest(long.filter("at is null").join(have, ["key", "field"], "left_anti"), long)
     wide = reasoned.groupBy("key").agg(*(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"r_{f}") for f in fields)).withColumnRenamed("key", "sample_id")
     return dated.join(wide, "sample_id", "left").select("sample_id", *(F.coalesce(f, f"r_{f}").alias(f) for f in fields), "eligible")
 

@@ -106,3 +106,13 @@ WITH named AS (
 SELECT label, count(*) AS samples, true AS balanced FROM named GROUP BY 1
 UNION ALL SELECT NULL, 0, true
 """
+
+SQL["p7_report"] = f"""
+WITH {_P7_PAIRS},
+near AS (SELECT eh.sample_id AS e_id, max(1 - bit_count(xor(th.x, eh.x)) / 64.0::DOUBLE) AS c FROM th JOIN eh ON (th.pos = 1 OR eh.pos = 1) AND th.sample_id <> eh.sample_id AND bit_count(xor(th.x, eh.x)) <= 6 GROUP BY 1),
+same AS (SELECT DISTINCT b.sample_id AS e_id, 1.0::DOUBLE AS c FROM dig a JOIN t USING (sample_id) JOIN dig b ON a.g = b.g AND a.sample_id <> b.sample_id JOIN e ON e.sample_id = b.sample_id),
+best AS (SELECT e_id, max(c) AS c FROM (SELECT * FROM near UNION ALL SELECT * FROM same) GROUP BY 1),
+held AS (SELECT DISTINCT regexp_extract(filename, '([^/]+?)(\\.[A-Za-z0-9]+)?\\s*$', 1) AS e_id, source_dataset,
+  CASE WHEN lower(trim(split)) IN ('val', 'valid', 'validation') THEN 'val' WHEN lower(trim(split)) IN ('test', 'testing', 'test_unannotated') THEN 'test' END AS split FROM labels)
+SELECT split, source_dataset, count(*) AS samples, count(c) AS leaked, round(sum(coalesce(c, 0)) / count(*), 6) AS coverage FROM held LEFT JOIN best USING (e_id) WHERE split IS NOT NULL AND e_id <> '' GROUP BY 1, 2
+"""

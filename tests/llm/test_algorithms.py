@@ -278,6 +278,23 @@ def test_currency_decides_where_timestamps_are_missing(spark):
     assert {r.sample_id: r.width for r in representative.best_known(metrics).collect()}["u"] == 100
 
 
+def test_currency_goes_through_other_values(spark):
+    """900 comes before 500 and 500 before 100, never 900 before 100 directly; 7 and 8 form a cycle."""
+    learn = [(f"a{i}", w, 1, 1.0, False, False, d) for i in range(3) for w, d in ((900, 1), (500, 2))]
+    learn += [(f"b{i}", w, 1, 1.0, False, False, d) for i in range(3) for w, d in ((500, 1), (100, 2))]
+    learn += [("c", 7, 1, 1.0, False, False, 1), ("c", 8, 1, 1.0, False, False, 2), ("d", 8, 1, 1.0, False, False, 1), ("d", 9, 1, 1.0, False, False, 2), ("e", 9, 1, 1.0, False, False, 1), ("e", 7, 1, 1.0, False, False, 2)]
+    asked = [("u", 900, None, None, False, False, None), ("u", 100, None, None, False, False, None), ("v", 7, None, None, False, False, None), ("v", 9, None, None, False, False, None)]
+    metrics = spark.createDataFrame([(*r[:6], at(r[6]), "own") for r in learn + asked], METRICS)
+    got = {r.sample_id: r.width for r in representative.best_known(metrics).collect()}
+    assert got["u"] == 100 and got["v"] == 9
+
+
+def test_withheld_timestamps_of_a_regular_order(spark):
+    rows = [(f"s{i}", 100 * (3 - j), 1 + i % 2, 1.0, False, False, 1 + j) for i in range(40) for j in range(3)]
+    got = {r.field: (r.groups, r.known, r.right) for r in representative.withheld(spark.createDataFrame([(*r[:6], at(r[6]), "own") for r in rows], METRICS)).collect()}
+    assert got == {"width": (40, 40, 40)}  # the others never change
+
+
 def flip(h, bits):
     for b in bits:
         h ^= 1 << b
@@ -313,6 +330,9 @@ def test_overlap_against_brute_force(spark, group_rows, monkeypatch):
                 want.add((a, b))
     pairs = overlap.cross_split_pairs(labels, metrics, desc)
     assert {(r.train_id, r.held_id) for r in pairs.collect()} == want and want
-    r = overlap.report(labels, pairs).agg(F.sum("leaked").alias("n")).first()
+    best = pairs.groupBy("held_id").agg(F.max("coverage").alias("c")).collect()
+    own = overlap.covered(labels, metrics, desc)
+    assert {(r.held_id, r.coverage) for r in own.collect()} == {(r.held_id, r.c) for r in best}
+    r = overlap.report(labels, own).agg(F.sum("leaked").alias("n")).first()
     assert r.n > 0
     assert overlap.cross_split_pairs(labels.limit(0), metrics, desc).count() == 0
