@@ -25,18 +25,22 @@ Defined results: null, empty and blank texts have no findings; repeated findings
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.reuse import once
+
 KINDS = ("email", "phone", "id_number", "address", "person_name")
 UP = "A-ZÁÀÂÃÄÅÆÇÉÈÊËÍÌÎÏÑÓÒÔÕÖØÚÙÛÜÝŠŽĆČŁŚŹŻĞİŞ"
 LOW = "a-záàâãäåæçéèêëíìîïñóòôõöøúùûüýÿßšžćčłśźżğış"
@@ -55,10 +59,40 @@ PATTERNS = {
     "phone": re.compile(r"(?<![\w=/.,:+-])(?<!\d[ ])(?:\+\s?\d{1,3}[ .\-\u00a0]?)?(?:\(\+?\d{1,4}\)[ .\-\u00a0]?)?\d+(?:(?P<sep>[ .\-/\u00a0])\d+(?:(?P=sep)\d+){0,6})?(?![\w=]|[/.,:-]\d)"),
     "id_number": re.compile(r"(?<![\w=/.,+-])(?:[XYZxyz][ -]?\d{7}[ -]?[A-Za-z]|\d{2}\.\d{3}\.\d{3}[ -]?[A-Za-z]|\d{8}[ -]?[A-Za-z]|\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4}|\d{3}\.\d{3}\.\d{3}-\d{2})(?![\w=]|[/.,:-]\d)"),
     "address": re.compile(
-        rf"(?<![\w/])(?:(?i:c/[ \t\u00a0]{{0,2}}|(?:{STREET_ES})[ \t\u00a0]{{1,2}})(?:(?i:de|del|da|do|dos|das|los|las|la|el|e|y|os|as)[ \t\u00a0]{{1,2}}){{0,3}}{_CAP}(?:[ \t\u00a0]{{1,2}}(?:(?:de|del|da|do|dos|das|los|las|la|e|y|DE|DEL|LA|LOS|LAS|DA|DO|DAS|DOS)[ \t\u00a0]{{1,2}}){{0,2}}{_CAP}){{0,4}}{_NUMBER}"
-        rf"|(?:(?:[Ff]lat|FLAT|[Aa]pt\.?|[Uu]nit)[ \t\u00a0]{{1,2}}\d{{1,4}}[A-Za-z]?,?[ \t\u00a0]{{1,2}})?\d{{1,4}}[A-Za-z]?,?[ \t\u00a0]{{1,2}}(?:{_CAP}[ \t\u00a0]{{1,2}}){{1,4}}?(?:{STREET_EN})(?!\w))"
+        rf"(?<![\w/])(?i:c/[ \t\u00a0]{{0,2}}|(?:{STREET_ES})[ \t\u00a0]{{1,2}})(?:(?i:de|del|da|do|dos|das|los|las|la|el|e|y|os|as)[ \t\u00a0]{{1,2}}){{0,3}}{_CAP}(?:[ \t\u00a0]{{1,2}}(?:(?:de|del|da|do|dos|das|los|las|la|e|y|DE|DEL|LA|LOS|LAS|DA|DO|DAS|DOS)[ \t\u00a0]{{1,2}}){{0,2}}{_CAP}){{0,4}}{_NUMBER}"
+    ),
+    # words that close a street may follow each other, so that "Hill Road" is whole
+    "address_en": re.compile(
+        rf"(?<![\w/])(?:(?:[Ff]lat|FLAT|[Aa]pt\.?|[Uu]nit)[ \t\u00a0]{{1,2}}\d{{1,4}}[A-Za-z]?,?[ \t\u00a0]{{1,2}})?\d{{1,6}}[A-Za-z]?,?[ \t\u00a0]{{1,2}}(?:{_CAP}[ \t\u00a0]{{1,2}}){{1,4}}?(?:{STREET_EN})(?:[ \t\u00a0]{{1,2}}(?:{STREET_EN}))*(?!\w)"
     ),
 }
+
+
+def _one_of(words: list[str]) -> str:
+    """A pattern of any of the words that tries each beginning once."""
+    tree: dict = {}
+    for w in words:
+        at = tree
+        for c in w:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def written(at: dict) -> str:
+        parts = [re.escape(c) + written(rest) for c, rest in sorted(at.items()) if c]
+        out = "(?:" + "|".join(parts) + ")" if parts else ""
+        return out + "?" if "" in at and parts else out
+
+    return written(tree)
+
+
+#: What a text must have before the patterns above are tried on it: a street word and a blank, a
+#: number and a capital letter, an at sign or its word.
+_OPENERS = [w.replace("\\", "").replace("?", "").rstrip(".") for w in STREET_ES.split("|") if "[" not in w]
+HINTS = {
+    "email": re.compile(r"@|(?<![^\W_])(?:at|arroba)(?![^\W_])"),
+    "address": re.compile(rf"(?<![\w/])(?:c/|(?:{_one_of(_OPENERS)}\.?|p[.ºo°]\.?)[ \t\u00a0])"),
+    "address_en": re.compile(rf"\d[A-Za-z]?,?[ \t\u00a0]{{1,2}}[{UP}]"),
+}
 #: Written forms of numbering plans.
 PLANS = re.compile(
     r"0\d(?:[ .]\d\d){4}|0\d{3}(?:-\d\d){3}|(?:\+|00)33 \d(?: \d\d){4}|\+44 ?\d{4} ?\d{3} ?\d{3}|0\d{4} \d{6}|(?:\+1[ -])?\d{3}([.-])\d{3}\1\d{4}|(?:\+1 )?\(\d{3}\) \d{3}-\d{4}"
@@ -74,8 +108,10 @@ _AFTER = re.compile(r" ?[<(|;\"\]]?")
 _INITIAL = re.compile(rf"[{UP}]$")
 
 
+@lru_cache(200_000)
 def plain(word: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", word.casefold()) if not unicodedata.combining(c))
+    word = word.casefold()
+    return word if word.isascii() else "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
 
 def shape(text: str) -> str:
@@ -84,11 +120,13 @@ def shape(text: str) -> str:
 
 @dataclass
 class Names:
-    """What is known beforehand: words of given names and of surnames, and words seen in lower case."""
+    """What is known beforehand: words of given names and of surnames, words seen in lower case, and
+    words that often open a sentence or line."""
 
     given: frozenset[str] = frozenset()
     surname: frozenset[str] = frozenset()
     lower: frozenset[str] = frozenset()
+    openers: frozenset[str] = frozenset()
 
 
 class Spans:
@@ -165,13 +203,17 @@ def build(texts: list[str | None], names: Names, hidden: frozenset[str] = frozen
             continue
         taken, busy = Spans(), Spans()
         last: dict[str, int] = {}
-        for kind, pattern in PATTERNS.items():
-            if kind == "email" and "@" not in text and not re.search(r"(?i)\bat\b|arroba", text):
+        low = text.lower()
+        for name, pattern in PATTERNS.items():
+            if name in HINTS and not HINTS[name].search(text if name == "address_en" else low):
                 continue
+            kind = name.partition("_en")[0]
             for m in pattern.finditer(text):
-                own = m.group(0)
                 ends = [m.end()]
                 if kind == "phone":  # what follows after a blank may be another number
+                    if ends[0] - m.start() < 7:
+                        continue
+                    own = m.group(0)
                     if sum(c.isdigit() for c in own) < 7:
                         continue
                     ends += [m.start() + x.start() for x in re.finditer(r"[ \u00a0]", own)][:0:-1]
@@ -401,9 +443,11 @@ def decode(g: Graph, p: np.ndarray, texts: list[str | None], names: Names, least
             i += 1
             continue
         stop = i + 1
-        while stop < len(p) and g.kind[stop] == "person_name" and (g.doc[stop], g.run[stop]) == (g.doc[i], g.run[i]) and (p[stop] > least or _gap(g.gap[stop]) == "_" and _only_surname(g.text[stop], names)):
+        while stop < len(p) and g.kind[stop] == "person_name" and (g.doc[stop], g.run[stop]) == (g.doc[i], g.run[i]) and not _opens(g.text[stop], names) and (p[stop] > least or _gap(g.gap[stop]) == "_" and _only_surname(g.text[stop], names)):
             stop += 1  # a known surname right behind a name belongs to it
-        for a, b in _names(g, i, stop, names):
+        if i and g.kind[i - 1] == "person_name" and (g.doc[i - 1], g.run[i - 1]) == (g.doc[i], g.run[i]) and _gap(g.gap[i]) == "_" and _only_given(g.text[i - 1], names):
+            i -= 1  # and so does a known given name right before it
+        for a, b in _names(g, i, stop, names, p):
             s, e = g.span[a][0], g.span[b - 1][1]
             if _INITIAL.match(g.text[b - 1]) and texts[g.doc[i]][e : e + 1] == ".":
                 e += 1
@@ -414,12 +458,23 @@ def decode(g: Graph, p: np.ndarray, texts: list[str | None], names: Names, least
     return out
 
 
+def _opens(word: str, names: Names) -> bool:
+    """Whether a word begins a new sentence rather than going on with a name."""
+    key = plain(word)
+    return key in names.openers and key not in names.given and key not in names.surname
+
+
+def _only_given(word: str, names: Names) -> bool:
+    key = plain(word)
+    return key in names.given and key not in names.surname and key not in names.lower
+
+
 def _only_surname(word: str, names: Names) -> bool:
     key = plain(word)
     return key in names.surname and key not in names.given and key not in names.lower
 
 
-def _names(g: Graph, start: int, stop: int, names: Names) -> list[tuple[int, int]]:
+def _names(g: Graph, start: int, stop: int, names: Names, p: np.ndarray) -> list[tuple[int, int]]:
     """The names in a row of words: given names or initials and surnames, or surnames, a comma and a
     given name. Titles before and initials behind are no part of a name; a line that ends after a
     whole name ends it, and so does a given name after a surname if a surname follows it."""
@@ -449,19 +504,44 @@ def _names(g: Graph, start: int, stop: int, names: Names) -> list[tuple[int, int
         own = g.text[i:end]
         words = [w for w in own if not _INITIAL.match(w)]
         initials_only = _INITIAL.match(own[0]) and len(words) == 1 if own else False
-        if len(own) >= 2 and words and not (initials_only and not comma and plain(words[0]) not in names.surname):
+        if len(own) >= 2 and words and not (initials_only and not comma and plain(words[0]) not in names.surname and not _sure(g, i, end, names, p)):
             out.append((i, end))
         i = j
     return out
 
 
-def train(documents: DataFrame, contributors: DataFrame, train_documents: int = 5000, max_names: int = 200_000) -> tuple[Model, Names]:
-    """Fits the field on the driver, on at most ``train_documents`` documents and the people's list."""
-    sample = [r.text for r in documents.filter("text is not null and length(text) between 1 and 20000").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents).collect()]
-    people = contributors.select("given_name", "surname").distinct().limit(max_names).collect()
-    given = frozenset(plain(w) for r in people for w in (r.given_name or "").split())
-    surname = frozenset(plain(w) for r in people for w in (r.surname or "").split())
-    return fit(sample, given, surname)
+def _sure(g: Graph, start: int, end: int, names: Names, p: np.ndarray, least: float = 0.9) -> bool:
+    """Whether the field is sure of an initial and a surname that no list has; a word that is also
+    written in lower case is none, and neither is one behind an initial in capitals (J.L. is, JL not)."""
+    key = plain(g.text[end - 1])
+    return len(key) > 2 and not g.text[end - 1].isupper() and key not in names.lower and key not in names.given and float(p[start:end].min()) >= least
+
+
+def train(documents: DataFrame, contributors: DataFrame, train_documents: int = 5000, train_characters: int = 20_000_000, most_words: int = 2_000_000) -> tuple[Model, Names]:
+    """Fits the field on the driver, on a bounded sample and the words of the people's list.
+
+    The sample is the documents with the smallest hashes of their id, whole texts, up to
+    ``train_documents`` of them and ``train_characters`` in all: long texts are as likely in it as
+    short ones, and it ends with the document that would go beyond. The list is read whole, as the
+    distinct words of its names; more than ``most_words`` (no language has them) is an error, never a
+    cut. Fits are kept while the process lives, under a fingerprint of what they were fitted on.
+    """
+    sample, size = [], 0
+    chosen = documents.filter("text is not null and text <> ''").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_documents)
+    for r in chosen.toLocalIterator():
+        size += len(r.text)
+        if size > train_characters and sample:
+            break
+        sample.append(r.text)
+    of = lambda c: contributors.select(F.explode(F.split(F.col(c), r"(?U)\s+")).alias("w")).filter("w <> ''").distinct()
+    words = [[r.w for r in of(c).limit(most_words + 1).collect()] for c in ("given_name", "surname")]
+    if max(map(len, words)) > most_words:
+        raise ValueError(f"the people's list has more than {most_words} different words")
+    given, surname = (frozenset(plain(w) for w in ws) for ws in words)
+    key = hashlib.sha256()
+    for part in (*sample, "\0", *sorted(given), "\0", *sorted(surname)):
+        key.update(part.encode("utf-8", "surrogatepass"))
+    return once(key.hexdigest(), lambda: fit(sample, given, surname))
 
 
 def fit(sample: list[str], given: frozenset[str], surname: frozenset[str]) -> tuple[Model, Names]:
@@ -470,8 +550,8 @@ def fit(sample: list[str], given: frozenset[str], surname: frozenset[str]) -> tu
         lower.update({plain(w) for w in _WORD.findall(PATTERNS["email"].sub(" ", text)) if w.islower()})  # an address is no use of its words
         opening.update({plain(m.group(1)) for m in re.finditer(rf"(?:^|[.!?:;>\n-]\s+|\n)({_CAP})", text)})
     known = given | surname
-    names = Names(given, surname, frozenset(w for w, n in lower.items() if n >= 2 and w not in known))
     openers = frozenset(w for w, n in opening.items() if n >= max(5, len(sample) // 200) and w not in known)
+    names = Names(given, surname, frozenset(w for w, n in lower.items() if n >= 2 and w not in known), openers)
     model = Model()
     for _ in range(2):  # the second time with the names that the first one found
         known = names.given | names.surname
@@ -482,7 +562,7 @@ def fit(sample: list[str], given: frozenset[str], surname: frozenset[str]) -> tu
             parts.append((g, weak_labels(g, sample, names, openers)))
         model = Model().fit(parts)
         first, last = found_names(g, model.marginals(g), sample, names)
-        names = Names(given | (first - surname - names.lower), surname | (last - given - names.lower), names.lower)
+        names = Names(given | (first - surname - names.lower), surname | (last - given - names.lower), names.lower, openers)
     return model, names
 
 

@@ -131,6 +131,8 @@ def tiles(d: np.ndarray, i: np.ndarray, least: int) -> list[tuple[int, int, int]
     Runs are diagonals of consecutive seeds. What a chosen tile leaves of an overlapping run is a run
     again if it has ``least`` words. Marked words are kept as sorted intervals.
     """
+    if not len(d):
+        return []
     order = np.lexsort((d, d.astype(np.int64) - i))
     d, i = d[order].astype(np.int64), i[order].astype(np.int64)
     cuts = np.flatnonzero((np.diff(d) != 1) | (np.diff(d - i) != 0)) + 1

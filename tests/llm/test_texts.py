@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millrace.llm import personal, tiling, tokenize
 
@@ -137,3 +138,30 @@ def test_findings_and_placeholders(spark):
     new = {r.doc_id: r.text for r in personal.redact(df, people).collect()}
     assert new[900] is None and new[901] == "" and "[EMAIL]" in new[0] and "[PERSON_NAME]" in new[0] and new[0].startswith("Nota de marzo sobre la hoja. Firma: [PERSON_NAME]\nReferencia")
     assert personal.findings(df.limit(0), people).count() == 0 and personal.findings(df.limit(5), people.limit(0)).count() >= 0
+
+
+@pytest.mark.parametrize("text, found", [("Meet at 12 Oak Hill Road today", "12 Oak Hill Road"), ("12345 Oak Hill Road", "12345 Oak Hill Road"), ("Flat 2, 63 Quillmere Road The Lane is shut", "Flat 2, 63 Quillmere Road"), ("C/ Mayor, 12 bis", "C/ Mayor, 12 bis")])
+def test_spans_of_addresses(text, found):
+    g = personal.build([text], personal.Names())
+    assert found in [t for t, k in zip(g.text, g.kind) if k == "address"]
+
+
+def test_hints_lose_no_span():
+    texts = ["Ana vive en CALLE Ávila 3", "pº del Río 5", "x en Pç. Nova, 9", "7 Elm St", "a arroba b punto com", "A AT B.example", "12A, Hollow Lane"]
+    for text in texts:
+        want = {(n.partition("_en")[0], m.group(0)) for n, p in personal.PATTERNS.items() if n in personal.HINTS for m in p.finditer(text)}
+        g = personal.build([text], personal.Names())
+        assert want and want <= set(zip(g.kind, g.text))
+
+
+def test_the_sample_takes_long_texts_and_the_list_is_whole(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(personal, "fit", lambda sample, given, surname: seen.update(sample=sample, given=given, surname=surname))
+    docs = spark.createDataFrame([(1, "x" * 50_000), (2, "y"), (3, None), (4, "")], "doc_id long, text string")
+    people = spark.range(300_000).select(F.concat(F.lit("Given"), F.col("id") % 7).alias("given_name"), F.concat(F.lit("Sur"), "id").alias("surname"))
+    personal.train(docs, people)
+    assert sorted(map(len, seen["sample"])) == [1, 50_000] and len(seen["surname"]) == 300_000 and len(seen["given"]) == 7
+    personal.train(docs, people.limit(1), train_characters=1)
+    assert len(seen["sample"]) == 1
+    with pytest.raises(ValueError):
+        personal.train(docs, people, most_words=1000)
