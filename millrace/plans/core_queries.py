@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import geometry as geo
 from millrace.functions import text as tx
 from millrace.operators import aggregates as agg
-from millrace.operators import balance, components, decisions, duplicates, labels, matching, ranking, representatives, small_files, splits
+from millrace.operators import balance, components, decisions, duplicates, labels, matching, ranking, representatives, review, small_files, splits
 from millrace.operators import relational as rel
 from millrace.sinks import export
 from millrace.sources import fixtures
@@ -373,13 +373,14 @@ def candidate_bands(spark, d):
     return duplicates.band_keys(table(spark, d, "descriptors")).groupBy("bucket").agg(F.count("*").alias("members"))
 
 
-_LOOKS = "one AS (SELECT sample_id, arg_max(phashes, (computed_at IS NOT NULL, computed_at)) AS h, arg_max(histogram, (computed_at IS NOT NULL, computed_at)) AS x FROM descriptors WHERE sample_id IS NOT NULL AND len(phashes) = 8 AND len([1 FOR v IN phashes IF v IS NULL]) = 0 AND len(histogram) = 512 AND len([1 FOR v IN histogram IF v IS NULL OR isnan(v) OR isinf(v)]) = 0 GROUP BY 1), l AS MATERIALIZED (SELECT sample_id, h, [v::DOUBLE FOR v IN x]::DOUBLE[512] AS x, len([1 FOR v IN x IF v <> 0]) > 0 AS some FROM one)"
+_LOOKS = "one AS (SELECT sample_id, arg_max(phashes, (computed_at IS NOT NULL, computed_at)) AS h, arg_max(histogram, (computed_at IS NOT NULL, computed_at)) AS x FROM descriptors WHERE sample_id IS NOT NULL AND len(phashes) = 8 AND len([1 FOR v IN phashes IF v IS NULL]) = 0 AND len(histogram) = 512 AND len([1 FOR v IN histogram IF v IS NULL OR isnan(v) OR isinf(v)]) = 0 GROUP BY 1), c AS (SELECT min(sample_id) AS sample_id, h, x FROM one GROUP BY h, x), l AS MATERIALIZED (SELECT sample_id, h, [v::DOUBLE FOR v IN x]::DOUBLE[512] AS x, len([1 FOR v IN x IF v <> 0]) > 0 AS some FROM c)"
 
 
 def _looks(spark, d):
     fine = F.forall("phashes", lambda h: h.isNotNull()) & (F.size("phashes") == 8) & (F.size("histogram") == 512) & F.forall("histogram", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     own = table(spark, d, "descriptors").filter("sample_id is not null").filter(fine)
-    return own.groupBy("sample_id").agg(*(F.max_by(c, F.struct(F.col("computed_at").isNotNull(), F.col("computed_at"))).alias(c) for c in ("phashes", "histogram")))
+    latest = own.groupBy("sample_id").agg(*(F.max_by(c, F.struct(F.col("computed_at").isNotNull(), F.col("computed_at"))).alias(c) for c in ("phashes", "histogram")))
+    return latest.groupBy("phashes", "histogram").agg(F.min("sample_id").alias("sample_id"))  # copies stand for each other
 
 
 @query(f"WITH {_LOOKS}, p AS (SELECT a.sample_id AS query, b.sample_id AS other, list_min([bit_count(xor(a.h[1], v)) FOR v IN b.h])::INTEGER AS distance, CASE WHEN a.some AND b.some THEN array_cosine_similarity(a.x, b.x) ELSE 0 END AS s FROM l a JOIN l b ON a.sample_id <> b.sample_id) SELECT query, other, distance FROM p WHERE distance <= 12 OR s >= 0.92")
@@ -417,23 +418,55 @@ def representative_assignment(spark, d):
 _METRICS = "SELECT sample_id, measured_at, CASE WHEN processing_error THEN 'processing_error' WHEN is_corrupted THEN 'corrupted' WHEN has_watermark THEN 'watermark' WHEN low_resolution THEN 'low_resolution' WHEN has_smearing THEN 'smearing' WHEN b >= 0 AND b < 15 THEN 'severe_blur' WHEN b >= 0 AND b < 25 THEN 'blur' WHEN brightness_mean < 18 OR brightness_mean > 245 THEN 'brightness' WHEN brightness_p95 < 45 OR brightness_p5 > 210 THEN 'exposure' ELSE 'quality_ok' END AS reason FROM (SELECT *, CASE WHEN NOT isnan(blur_variance) THEN blur_variance END AS b FROM quality_metrics)"
 
 
-@query(f"SELECT sample_id, (measured_at::VARCHAR)[1:19] AS at, reason FROM ({_METRICS})")
-def quality_cascade(spark, d):
-    return table(spark, d, "quality_metrics").select("sample_id", F.date_format("measured_at", "yyyy-MM-dd HH:mm:ss").alias("at"), decisions.quality_rules().getField("reason").alias("reason"))
+_VERDICT = "CASE reason WHEN 'processing_error' THEN ('review', 1.0) WHEN 'corrupted' THEN ('removed', 1.0) WHEN 'watermark' THEN ('removed', 0.99) WHEN 'low_resolution' THEN ('removed', 0.98) WHEN 'smearing' THEN ('removed', 0.92) WHEN 'severe_blur' THEN ('removed', 0.94) WHEN 'blur' THEN ('review', 0.72) WHEN 'brightness' THEN ('removed', 0.9) WHEN 'exposure' THEN ('review', 0.7) ELSE ('kept', 1.0) END"
 
 
-@query(f"WITH {_WITH_SOURCE}, g AS (SELECT source_dataset AS s, count(*) AS n, count(*) FILTER (lower(status) = 'removed') AS r FROM dec GROUP BY 1) SELECT sample_id, coalesce(lower(status) = 'removed' AND coalesce(confidence, 0) < 0.98 AND r / n::DOUBLE > 0.10, false) AS braked FROM dec JOIN g ON g.s IS NOT DISTINCT FROM dec.source_dataset")
+@query(f"SELECT sample_id, (measured_at::VARCHAR)[1:19] AS at, reason, v[1] AS status, v[2]::DOUBLE AS confidence FROM (SELECT *, {_VERDICT} AS v FROM ({_METRICS}))")
+def quality_cascade(spark, d):
+    rows = table(spark, d, "quality_metrics").withColumn("r", decisions.quality_rules())
+    return rows.select("sample_id", F.date_format("measured_at", "yyyy-MM-dd HH:mm:ss").alias("at"), "r.reason", "r.status", "r.confidence")
+
+
+@query(f"""WITH {_WITH_SOURCE},
+first AS (SELECT sample_id, min(reason) AS reason FROM (SELECT sample_id, reason, rank() OVER (PARTITION BY sample_id ORDER BY measured_at DESC NULLS LAST) AS n FROM ({_METRICS}) WHERE sample_id IS NOT NULL) WHERE n = 1 GROUP BY 1),
+j AS (SELECT d.sample_id, d.source_dataset AS g, lower(d.status) = 'removed' AS before, f.reason, {_VERDICT.replace("reason WHEN", "f.reason WHEN")} AS v FROM dec d JOIN first f USING (sample_id)),
+g AS (SELECT g, count(*) AS n, count(*) FILTER (NOT coalesce(before, false) AND v[1] = 'removed') AS p, count(*) FILTER (before) AS b FROM j GROUP BY 1),
+k AS (SELECT j.*, coalesce(p / n::DOUBLE > 0.2 OR (p + b) / n::DOUBLE > 0.65, false) AND v[1] = 'removed' AND v[2] < 0.98 AS braked FROM j JOIN g ON g.g IS NOT DISTINCT FROM j.g WHERE NOT coalesce(before, false))
+SELECT sample_id, CASE WHEN braked THEN 'review' ELSE v[1] END AS status, CASE WHEN braked THEN 'second_opinion_' ELSE '' END || reason AS reason, v[2]::DOUBLE AS confidence FROM k""")
+def quality_phase(spark, d):
+    """The rules on each sample's latest metrics (of several at once the first reason by name), and the brake."""
+    rules = table(spark, d, "quality_metrics").filter("sample_id is not null").withColumn("r", decisions.quality_rules())
+    last = rules.groupBy("sample_id").agg(F.max(F.struct(F.col("measured_at").isNotNull(), F.col("measured_at"))).alias("m"))
+    now = rules.join(last, "sample_id").filter(F.struct(F.col("measured_at").isNotNull(), F.col("measured_at")) == F.col("m"))
+    one = now.groupBy("sample_id").agg(F.min_by("r", "r.reason").alias("r"))
+    return decisions.quality_phase(_with_source(spark, d).select("sample_id", "source_dataset", "status").join(one, "sample_id"), F.col("r"), ["source_dataset"], 0.2).select("sample_id", "status", "reason", "confidence")
+
+
+@query(f"WITH {_WITH_SOURCE}, g AS (SELECT source_dataset AS s, count(*) AS n, count(*) FILTER (lower(status) = 'removed') AS r FROM dec GROUP BY 1) SELECT sample_id, coalesce(lower(status) = 'removed' AND (coalesce(confidence, 0) < 0.98 OR phase LIKE '%duplicates') AND r / n::DOUBLE > 0.10, false) AS braked, CASE WHEN coalesce(lower(status) = 'removed' AND (coalesce(confidence, 0) < 0.98 OR phase LIKE '%duplicates') AND r / n::DOUBLE > 0.10, false) THEN 'second_opinion_' || coalesce(reason, '') ELSE reason END AS reason FROM dec JOIN g ON g.s IS NOT DISTINCT FROM dec.source_dataset")
 def ratio_brake(spark, d):
     rows = _with_source(spark, d).withColumn("status", F.lower("status")).withColumn("before", F.lit(False))
-    return decisions.ratio_brake(rows, ["source_dataset"], phase_limit=0.10).select("sample_id", "braked")
+    return decisions.ratio_brake(rows, ["source_dataset"], phase_limit=0.10).select("sample_id", "braked", "reason")
 
 
-@query()
+_TURNS = """rows AS (SELECT DISTINCT sample_id, lower(status) AS status, phase, reason, confidence, cluster_id, representative_id, evidence_level, coalesce(review_reasons, []) AS review_reasons, decided_at FROM decisions WHERE sample_id IS NOT NULL AND decided_at IS NOT NULL),
+sole AS (SELECT *, min(decided_at) OVER w AS a, max(decided_at) OVER w AS z FROM (SELECT *, count(*) OVER (PARTITION BY sample_id, decided_at) AS n FROM rows) WHERE n = 1 WINDOW w AS (PARTITION BY sample_id))"""
+
+
+@query(f"""WITH {_TURNS}, c AS (SELECT * FROM sole WHERE decided_at = a), n AS (SELECT * FROM sole WHERE decided_at = z AND z > a),
+j AS (SELECT c.sample_id, c.status AS s, c.phase AS p, c.reason AS r, c.confidence AS f, c.cluster_id AS k, c.representative_id AS e, c.evidence_level AS l, c.review_reasons AS v, n.sample_id IS NOT NULL AS t, n.status AS ns, n.phase AS np, n.reason AS nr, n.confidence AS nf, n.cluster_id AS nk, n.representative_id AS ne, n.evidence_level AS nl, n.review_reasons AS nv FROM c LEFT JOIN n USING (sample_id)),
+o AS (SELECT *, CASE WHEN s = 'review' THEN list_filter(v || CASE WHEN coalesce(r, '') <> '' THEN [r] ELSE [] END, lambda x: NOT (coalesce(p = np AND nl IN ('exact_bytes', 'exact_pixels') AND ns = 'removed', false) AND (x = coalesce(nullif(r, ''), '<none>') OR x = coalesce(nullif(nr, ''), '<none>')))) ELSE [] END || nv AS held FROM j),
+u AS (SELECT *, CASE WHEN s = 'review' AND ns <> 'review' AND len(held) > 0 THEN 'review' ELSE ns END AS us FROM o)
+SELECT sample_id, CASE WHEN t THEN us ELSE s END AS status, CASE WHEN t THEN np ELSE p END AS phase, CASE WHEN t THEN nr ELSE r END AS reason, CASE WHEN t THEN nf ELSE f END AS confidence, CASE WHEN t THEN nk ELSE k END AS cluster_id, CASE WHEN t THEN ne ELSE e END AS representative_id, CASE WHEN t THEN nl ELSE l END AS evidence_level,
+  CASE WHEN t THEN list_sort(list_distinct(list_filter(held || CASE WHEN us = 'review' AND coalesce(nr, '') <> '' THEN [nr] ELSE [] END, lambda x: x IS NOT NULL))) ELSE v END AS review_reasons FROM u""")
 def decision_merge(spark, d):
-    rows = table(spark, d, "decisions")
-    current = rel.latest(rows.filter("phase = 'quality'"), "sample_id", "decided_at")
-    new = rel.latest(rows.filter("phase <> 'quality'"), "sample_id", "decided_at")
-    return decisions.merge(current, new)
+    """The last decision of each sample over its first one (moments with several different rows don't count)."""
+    none = F.array().cast("array<string>")
+    rows = table(spark, d, "decisions").filter("sample_id is not null and decided_at is not null").select("sample_id", F.lower("status").alias("status"), "phase", "reason", "confidence", "cluster_id", "representative_id", "evidence_level", F.coalesce("review_reasons", none).alias("review_reasons"), "decided_at").distinct()
+    sole = rows.groupBy("sample_id", "decided_at").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in rows.columns if c not in ("sample_id", "decided_at"))).filter("n = 1").drop("n")
+    ends = sole.groupBy("sample_id").agg(F.min("decided_at").alias("a"), F.max("decided_at").alias("z"))
+    met = sole.join(ends, "sample_id")
+    first, last = met.filter("decided_at = a").drop("a", "z", "decided_at"), met.filter("decided_at = z and z > a").drop("a", "z", "decided_at")
+    return decisions.merge(first, last)
 
 
 @query("SELECT sample_id, (decided_at::VARCHAR)[1:19] AS at, status FROM (SELECT *, lag(status) OVER w AS b, row_number() OVER w AS n FROM (SELECT DISTINCT sample_id, decided_at, status FROM decisions WHERE sample_id IS NOT NULL AND status IS NOT NULL) WINDOW w AS (PARTITION BY sample_id ORDER BY decided_at, status)) WHERE n = 1 OR b <> status")
@@ -448,6 +481,40 @@ def representative_reconcile(spark, d):
     return decisions.reconcile(assigned, _latest_decisions(spark, d)).select("sample_id", "representative_id", "representative_status")
 
 
+@query(f"WITH {_LATEST}, t AS (SELECT sample_id, bool_or(coalesce(list_contains(tags, 'curation_kept'), false)) AS k, bool_or(coalesce(list_contains(tags, 'curation_removed'), false)) AS r FROM samples GROUP BY 1) SELECT sample_id FROM one LEFT JOIN t USING (sample_id) WHERE lower(status) = 'review' AND NOT coalesce(k, false) AND NOT coalesce(r, false)")
+def unresolved_after_tags(spark, d):
+    """Reviews that are tagged neither kept nor removed."""
+    tags = table(spark, d, "samples").filter("sample_id is not null").select("sample_id", F.explode("tags").alias("t")).filter("t in ('curation_kept', 'curation_removed')").groupBy("sample_id").agg(F.collect_set(F.replace("t", F.lit("curation_"), F.lit(""))).alias("tags"))
+    return review.unresolved(_latest_decisions(spark, d).join(tags, "sample_id", "left"))
+
+
+_CURATED = "cur AS (SELECT sample_id, lower(status) AS status, phase, representative_id FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY decided_at DESC NULLS LAST, phase DESC NULLS LAST, status DESC NULLS LAST, coalesce(representative_id, '') DESC) AS n FROM (SELECT DISTINCT sample_id, decided_at, phase, status, representative_id FROM decisions WHERE sample_id IS NOT NULL)) WHERE n = 1)"
+
+
+def _curated(spark, d):
+    rows = table(spark, d, "decisions").select("sample_id", "decided_at", "phase", "status", F.coalesce("representative_id", F.lit("")).alias("representative_id"))
+    return rel.latest(rows, "sample_id", "decided_at", "phase", "status", "representative_id").withColumn("status", F.lower("status"))
+
+
+@query(f"WITH {_CURATED} SELECT c.sample_id, CASE WHEN coalesce(c.representative_id, '') = '' THEN 'no_representative' ELSE 'representative_not_kept' END AS problem FROM cur c LEFT JOIN cur r ON r.sample_id = c.representative_id WHERE c.status = 'removed' AND CASE WHEN coalesce(c.representative_id, '') = '' THEN c.phase LIKE '%duplicates' ELSE coalesce(r.status <> 'kept', true) END")
+def representative_audit(spark, d):
+    return review.audit_representatives(_curated(spark, d))
+
+
+@query(f"WITH {_CURATED} SELECT c.sample_id, 'review' AS status, 'consistency_duplicates' AS phase, c.representative_id FROM cur c LEFT JOIN cur r ON r.sample_id = c.representative_id WHERE c.status = 'removed' AND c.representative_id <> '' AND coalesce(r.status <> 'kept', true)")
+def reconcile_decisions(spark, d):
+    return review.reconcile_decisions(_curated(spark, d)).select("sample_id", "status", "phase", "representative_id")
+
+
+@query(f"WITH {_CURATED}, e AS (SELECT sample_id, max(evidence_level) AS level FROM decisions WHERE sample_id IS NOT NULL AND evidence_level IS NOT NULL GROUP BY 1), a AS (SELECT c.*, e.level, e.level IN ('exact_bytes', 'exact_pixels') AS exact FROM cur c JOIN e USING (sample_id) WHERE representative_id <> '' AND coalesce(status <> 'removed', true)) SELECT sample_id, CASE WHEN exact THEN 'removed' ELSE 'review' END AS status, CASE WHEN exact THEN 1.0 ELSE 0.85 END::DOUBLE AS confidence, CASE WHEN exact THEN 'duplicate_of:' || representative_id ELSE 'potential_duplicate_requires_human_review' END AS keep_reason, level AS evidence_level FROM a WHERE coalesce(phase <> 'human_review', true)")
+def duplicate_decisions(spark, d):
+    """What recorded representatives and evidence would decide."""
+    levels = table(spark, d, "decisions").filter("sample_id is not null and evidence_level is not null").groupBy("sample_id").agg(F.max("evidence_level").alias("level"))
+    now = _curated(spark, d)
+    assigned = now.filter("representative_id <> ''").select("sample_id", "representative_id").join(levels, "sample_id").withColumn("conflict", F.lit(False))
+    return review.duplicate_decisions(assigned, now, "exact_duplicates", "duplicate").select("sample_id", "status", "confidence", "keep_reason", "evidence_level")
+
+
 # splits and balance
 
 
