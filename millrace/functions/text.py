@@ -64,19 +64,30 @@ def ascii_label(text: Column) -> Column:
     return F.when(F.coalesce(out, F.lit("")) == "", "unlabeled").otherwise(out)
 
 
-def slug(text: Column, default: str = "item") -> Column:
+def slug(text: Column, default: str = "unknown") -> Column:
     out = F.regexp_replace(F.regexp_replace(normal_text(text), r"[^a-z0-9]+", "_"), "^_+|_+$", "")
     return F.when(F.coalesce(out, F.lit("")) == "", default).otherwise(out)
 
 
+#: Parts of words that mark a healthy or a diseased plant wherever they stand.
+HEALTHY_PARTS = ("healthy", "sano", "saglam")
+DISEASE_PARTS = ("enferm", "diseas", "rot", "spot", "blight", "rust")
+
+
+def healthy_tokens(label: Column) -> Column:
+    """Whether one of a label's tokens is a word for a healthy plant."""
+    return F.arrays_overlap(F.split(ascii_label(label), "_"), F.array(*[F.lit(t) for t in HEALTHY_TOKENS]))
+
+
 def coarse_label(label: Column, healthy_peer: Column | None = None) -> Column:
-    """sano, enfermo, or the label itself; with a healthy class among its peers the rest is enfermo."""
+    """sano, enfermo, or the label itself; with a healthy class among its peers the rest is enfermo.
+
+    Words count as whole tokens; only a few parts of words count wherever they stand.
+    """
     plain = ascii_label(label)
-    tokens = F.split(plain, "_")
-    parts = [t for t in DISEASE_TOKENS if t.isascii()]
-    healthy = F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in HEALTHY_TOKENS])) | plain.isin(*HEALTHY_TOKENS)
-    sick = reduce(lambda a, b: a | b, [F.contains(plain, F.lit(t)) for t in parts])
-    out = F.when(healthy, "sano").when(sick, "enfermo")
+    has = lambda parts: reduce(lambda a, b: a | b, [F.contains(plain, F.lit(t)) for t in parts])
+    sick = F.arrays_overlap(F.split(plain, "_"), F.array(*[F.lit(t) for t in DISEASE_TOKENS])) | has(DISEASE_PARTS)
+    out = F.when(healthy_tokens(label) | has(HEALTHY_PARTS), "sano").when(sick, "enfermo")
     if healthy_peer is not None:
         out = out.when(F.coalesce(healthy_peer, F.lit(False)), "enfermo")
     return out.otherwise(plain)

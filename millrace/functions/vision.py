@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,18 +54,74 @@ def otsu(g: np.ndarray) -> int:
     return int(np.nanargmax(np.where(np.isfinite(between), between, -1)))
 
 
+def runs_of(mask: np.ndarray, diagonal: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end, component) of the horizontal runs of a mask. Runs of neighbouring rows belong
+    together if they overlap, with ``diagonal`` also if they touch at a corner."""
+    h, w = mask.shape
+    edge = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, start = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    parent = list(range(len(row)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    first = np.searchsorted(row, np.arange(h + 1)).tolist()
+    s, e, reach = start.tolist(), end.tolist(), int(diagonal)
+    for y in range(1, h):
+        i, j = first[y - 1], first[y]
+        while i < first[y] and j < first[y + 1]:
+            if s[j] < e[i] + reach and s[i] < e[j] + reach:
+                a, b = find(i), find(j)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if e[i] < e[j]:
+                i += 1
+            else:
+                j += 1
+    return row, start, end, np.array([find(i) for i in range(len(row))], dtype=int)
+
+
+def filled(mask: np.ndarray) -> np.ndarray:
+    """The mask without holes: what of the background doesn't reach the border belongs to it."""
+    padded = np.pad(~mask, 1, constant_values=True)
+    row, start, end, part = runs_of(padded, diagonal=False)
+    out = np.ones(padded.shape, bool)
+    for y, s, e, p in zip(row, start, end, part):
+        if p == part[0]:  # the first run is part of the frame
+            out[y, s:e] = False
+    return out[1:-1, 1:-1]
+
+
+def saturation(bgr: np.ndarray) -> np.ndarray:
+    x = bgr[..., :3].astype(np.float64)
+    high, low = x.max(axis=2), x.min(axis=2)
+    return np.rint(np.divide(255 * (high - low), high, out=np.zeros_like(high), where=high > 0)).astype(np.uint8)
+
+
+#: How much green must exceed the others, and the part of a picture that a leaf may cover.
+EXCESS_GREEN, COVER = 10, (0.05, 0.95)
+
+
 def leaf_mask(bgr: np.ndarray) -> np.ndarray | None:
-    """Where the leaf is: excess green, else saturation, else grey level; none if it covers nearly
-    nothing or nearly all."""
+    """Where the leaf is: excess green with its holes filled, else saturation, else grey level (the
+    side that is not most of the border); none if it covers nearly nothing or nearly all."""
+    plausible = lambda m: COVER[0] <= m.mean() <= COVER[1]
     b, g, r = (bgr[..., i].astype(np.int16) for i in range(3))
-    saturation = bgr[..., :3].max(axis=2).astype(np.int16) - bgr[..., :3].min(axis=2)
+    green = (2 * g - r - b > EXCESS_GREEN) & (g > r) & (g > b)
+    if plausible(green) and plausible(whole := filled(green)):
+        return whole
+    s = saturation(bgr)
+    if plausible(mask := s > otsu(s)):
+        return mask
     level = gray(bgr)
-    border = np.concatenate([level[0], level[-1], level[:, 0], level[:, -1]])
-    dark = level <= otsu(level)
-    for mask in ((2 * g - r - b > 20) & (g > r) & (g > b), saturation > otsu(saturation.astype(np.uint8)), dark if border.mean() > otsu(level) else ~dark):
-        if 0.05 <= mask.mean() <= 0.95:
-            return mask
-    return None
+    mask = level > otsu(level)
+    border = np.concatenate([mask[0], mask[-1], mask[1:-1, 0], mask[1:-1, -1]])
+    mask = ~mask if border.mean() > 0.5 else mask
+    return mask if plausible(mask) else None
 
 
 def low_resolution(width: int, height: int, least: int) -> bool:
@@ -73,8 +129,15 @@ def low_resolution(width: int, height: int, least: int) -> bool:
     return max(width, height) < least or min(width, height) < short or width * height < least * short
 
 
-def transparent(bgra: np.ndarray) -> bool:
-    return bgra.shape[2] == 4 and float((bgra[..., 3] <= 8).mean()) >= 0.05
+def transparent(alpha: np.ndarray | None) -> bool:
+    """Whether a twentieth of the picture or more can be seen through."""
+    return alpha is not None and float((alpha <= 8).mean()) >= 0.05
+
+
+#: Fixed values of smearing: a border is suspicious if its entropy and the change across it are small
+#: beside those of the middle, and the change along it is not; clean white or black borders are not.
+SMEAR_ENTROPY, SMEAR_ACROSS, SMEAR_ALONG, SMEAR_EDGES = 0.70, 0.45, 0.65, 2
+UNIFORM_ENTROPY, UNIFORM_BRIGHT, UNIFORM_DARK = 1.25, 238, 17
 
 
 def smeared_edges(g: np.ndarray) -> int:
@@ -83,18 +146,152 @@ def smeared_edges(g: np.ndarray) -> int:
     if min(g.shape) < 3 * width:
         return 0
     inner = g[width:-width, width:-width]
-    whole, across, along = max(entropy(inner), 1e-9), max(robust_gradient(inner, 0), 1e-9), max(robust_gradient(inner, 1), 1e-9)
+    whole, across, along = max(entropy(inner), 1e-6), max(robust_gradient(inner, 0), 1e-6), max(robust_gradient(inner, 1), 1e-6)
     count = 0
     for band, axis in ((g[:width], 0), (g[-width:], 0), (g[:, :width], 1), (g[:, -width:], 1)):
         e = entropy(band)
-        if e <= 1.25 and (band.mean() >= 238 or band.mean() <= 17):
+        if e <= UNIFORM_ENTROPY and (band.mean() >= UNIFORM_BRIGHT or band.mean() <= UNIFORM_DARK):
             continue
         cross, run = (across, along) if axis == 0 else (along, across)
-        if e / whole <= 0.70 and robust_gradient(band, axis) / cross <= 0.45 and robust_gradient(band, 1 - axis) / run >= 0.65:
+        if e / whole <= SMEAR_ENTROPY and robust_gradient(band, axis) / cross <= SMEAR_ACROSS and robust_gradient(band, 1 - axis) / run >= SMEAR_ALONG:
             count += 1
     return count
 
 
+def smeared(g: np.ndarray, alpha: np.ndarray | None = None) -> bool:
+    return not transparent(alpha) and smeared_edges(g) >= SMEAR_EDGES
+
+
+#: Fixed values of the search for text: sides of the picture it needs and is scaled to, the area of a
+#: word and its part of the picture, the proportions, sizes and fill of its box, and the brightness
+#: beyond which nothing can be read.
+TEXT_LEAST, TEXT_SIDE, WORD_AREA, WORD_PART = 30, 320, 50, 0.40
+WORD_RATIO, WORD_SIZE, WORD_FILL = (1.4, 15.0), (15, 6), (0.25, 0.90)
+TOO_DARK, TOO_BRIGHT = 24.0, 231.0
+
+
+def _moved(mask: np.ndarray, reach: tuple[int, int], grow: bool) -> np.ndarray:
+    """Dilation or erosion by a box of (2 x reach + 1) cells; beyond the border there is nothing to lose."""
+    out = mask
+    for axis, n in enumerate(reach):
+        pad = [(0, 0), (0, 0)]
+        pad[axis] = (n, n)
+        p = np.pad(out, pad, constant_values=not grow)
+        views = [np.take(p, np.arange(k, k + out.shape[axis]), axis=axis) for k in range(2 * n + 1)]
+        out = np.logical_or.reduce(views) if grow else np.logical_and.reduce(views)
+    return out
+
+
+def looks_written(bgr: np.ndarray) -> bool:
+    """Whether something has the form of a word: a wide, partly filled patch of strong vertical edges."""
+    h, w = bgr.shape[:2]
+    if min(h, w) < TEXT_LEAST:
+        return False
+    if max(h, w) > TEXT_SIDE:
+        f = TEXT_SIDE / max(h, w)
+        th, tw = int(h * f), int(w * f)
+        bgr = bgr[np.minimum((np.arange(th) / f).astype(int), h - 1)][:, np.minimum((np.arange(tw) / f).astype(int), w - 1)]
+    p = np.pad(gray(bgr).astype(np.int32), 1, mode="reflect")
+    d = p[:, 2:] - p[:, :-2]
+    edges = np.minimum(np.abs(d[:-2] + 2 * d[1:-1] + d[2:]), 255).astype(np.uint8)
+    strong = edges > otsu(edges)
+    patches = _moved(_moved(strong, (1, 4), True), (1, 4), False)
+    row, start, end, part = runs_of(patches, diagonal=True)
+    for k in np.unique(part):
+        mine = part == k
+        y, x = row[mine].min(), start[mine].min()
+        bh, bw = row[mine].max() + 1 - y, end[mine].max() - x
+        if not (WORD_RATIO[0] <= bw / max(1, bh) <= WORD_RATIO[1] and bh >= WORD_SIZE[1] and bw >= WORD_SIZE[0]):
+            continue
+        shape = np.zeros((bh, bw), bool)
+        for i, s, e in zip(row[mine], start[mine], end[mine]):
+            shape[i - y, s - x : e - x] = True
+        shape = filled(shape)
+        inner = shape & ~_moved(~np.pad(shape, 1), (1, 1), True)[1:-1, 1:-1]
+        area = int(inner.sum()) + int((shape & ~inner).sum()) / 2 - 1  # of the outline through the centres
+        if WORD_AREA <= area <= patches.size * WORD_PART and WORD_FILL[0] <= area / (bw * bh) <= WORD_FILL[1]:
+            return True
+    return False
+
+
+def wants_reading(corrupted: bool, low: bool, p5: float | None, p95: float | None, bgr: np.ndarray | None = None) -> bool:
+    """Whether it is worth looking for text: neither broken, small, too dark or too bright, and something looks written."""
+    if corrupted or low:
+        return False
+    if p5 is None or p95 is None:
+        return True
+    if p95 < TOO_DARK or p5 > TOO_BRIGHT:
+        return False
+    return bgr is None or looks_written(bgr)
+
+
+def agency_text(words: list[tuple[str, float]], least_confidence: float = 60, least_length: int = 3) -> bool:
+    """Whether read words (text, confidence) hold a term of a picture agency."""
+    from millrace.functions.text import WATERMARK_TERMS
+
+    return any(c >= least_confidence and len(t.strip()) >= least_length and any(term in t.lower() for term in WATERMARK_TERMS) for t, c in words)
+
+
+def box_blurs(bgr: np.ndarray, boxes: list[list[float]]) -> list[float]:
+    """The blur of each unit box (x, y, w, h), each with a mask of its own; a box without pixels has 0."""
+    h, w = bgr.shape[:2]
+    out = []
+    for x, y, bw, bh in boxes:
+        x1, y1 = int(x * w), int(y * h)
+        x2, y2 = min(x1 + int(bw * w), w), min(y1 + int(bh * h), h)
+        x1, y1 = max(0, x1), max(0, y1)
+        crop = bgr[y1:y2, x1:x2] if x2 > x1 and y2 > y1 else None
+        out.append(0.0 if crop is None else blur_variance(gray(crop), leaf_mask(crop)))
+    return out
+
+
+def palette(classes: list[str]) -> dict[str, dict]:
+    """Numbers and colours of classes; 0 and black are the background."""
+    import colorsys
+
+    numbers, colours = {"background": 0}, {"background": [0, 0, 0]}
+    for i, name in enumerate(classes):
+        numbers[name] = i + 1
+        colours[name] = [int(v * 255) for v in colorsys.hsv_to_rgb(i / max(len(classes), 1), 0.85, 0.95)]
+    return {"classes": numbers, "colors": colours}
+
+
+def semantic_mask(height: int, width: int, detections: list[dict], numbers: dict[str, int]) -> np.ndarray | None:
+    """The class number of each pixel from detections (label, bounding_box, mask): each mask is scaled
+    to its box, later ones lie on top, unknown labels are class 1; None if no detection has a mask."""
+    out, some = np.zeros((height, width), np.uint8), False
+    for d in detections:
+        mask, box = d.get("mask"), d.get("bounding_box") or []
+        if mask is None:
+            continue
+        some = True
+        if len(box) != 4:
+            continue
+        x, y, w, h = box
+        x0, y0 = max(0, min(width - 1, int(round(x * width)))), max(0, min(height - 1, int(round(y * height))))
+        bw, bh = max(1, min(width - x0, int(round(w * width)))), max(1, min(height - y0, int(round(h * height))))
+        m = np.asarray(mask)
+        m = m[np.arange(bh) * m.shape[0] // bh][:, np.arange(bw) * m.shape[1] // bw]
+        out[y0 : y0 + bh, x0 : x0 + bw][m > 0] = numbers.get(str(d.get("label") or ""), 1)
+    return out if some else None
+
+
+def preview(image: np.ndarray, transform: str = "r0", size: int = 220) -> str:
+    """A small PNG as base64: under a symmetry, transparent parts over a chequered ground."""
+    import base64
+
+    from millrace.sources.fixtures import png
+
+    image = np.ascontiguousarray(dict(symmetries(image)).get(transform, image))
+    if image.shape[2] == 4:
+        alpha = image[..., 3:].astype(np.float64) / 255
+        yy, xx = np.indices(image.shape[:2])
+        ground = (180 + ((xx // 8 + yy // 8) % 2) * 50)[..., None]
+        image = (image[..., :3] * alpha + ground * (1 - alpha)).astype(np.uint8)
+    f = min(1.0, size / max(image.shape[:2]))
+    return base64.b64encode(png(scaled(image, max(1, int(image.shape[0] * f)), max(1, int(image.shape[1] * f))))).decode()
+
+
 def symmetries(image: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
     for name in TRANSFORMS:
         base = image[:, ::-1] if name.startswith("mirror") else image
@@ -227,11 +424,31 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data[12:]), np.uint8).reshape(np.frombuffer(data[:12], "<i4"))
 
 
-METRICS = "sample_id string, processing_error boolean, error_message string, is_corrupted boolean, blur_variance double, brightness_mean double, brightness_p5 double, brightness_p95 double, width int, height int, low_resolution boolean, has_smearing boolean"
+METRICS = (
+    "sample_id string, processing_error boolean, error_message string, asset_sha256 string, is_corrupted boolean, blur_variance double, brightness_mean double, brightness_p5 double, "
+    "brightness_p95 double, width int, height int, low_resolution boolean, has_watermark boolean, has_smearing boolean, box_blurs array<double>"
+)
+
+
+def metrics_of(p: np.ndarray, boxes: list[list[float]] | None, least_resolution: int, read: Callable[[np.ndarray], list[tuple[str, float]]] | None) -> tuple:
+    p = np.repeat(p, 3, axis=2) if p.shape[2] == 1 else p
+    bgr, alpha = p[..., :3], p[..., 3] if p.shape[2] == 4 else None
+    mask, g, h, w = leaf_mask(bgr), gray(bgr), *p.shape[:2]
+    mean, p5, p95 = brightness(bgr, mask)
+    low = low_resolution(w, h, least_resolution)
+    marked = agency_text(read(bgr)) if read is not None and wants_reading(False, low, p5, p95, bgr) else False
+    return blur_variance(g, mask), mean, p5, p95, w, h, low, marked, smeared(g, alpha), box_blurs(bgr, boxes) if boxes else None
+
+
+def picture_metrics(images: DataFrame, least_resolution: int = 320, text_detector: Callable[[np.ndarray], list[tuple[str, float]]] | None = None) -> DataFrame:
+    """images(sample_id, height, width, channels, data[, digest][, boxes]) -> METRICS.
 
+    A failure is a row, not the end. ``boxes`` are unit boxes whose own blur is wanted. ``text_detector``
+    reads (text, confidence) pairs from a picture; it is asked only where something looks written.
+    """
+    from pyspark.sql import functions as F
 
-def picture_metrics(images: DataFrame, least_resolution: int = 320) -> DataFrame:
-    """images(sample_id, height, width, channels, data) -> METRICS; a failure is a row, not the end."""
+    names = [x.split()[0] for x in METRICS.split(", ")]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -239,17 +456,16 @@ def picture_metrics(images: DataFrame, least_resolution: int = 320) -> DataFrame
             for r in part.itertuples():
                 try:
                     if r.height is None or r.height <= 0 or not r.data:
-                        rows.append((r.sample_id, False, None, True, *[None] * 8))
+                        rows.append((r.sample_id, False, None, r.digest, True, *[None] * 10))
                         continue
                     p = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels)
-                    p = np.repeat(p, 3, axis=2) if r.channels == 1 else p
-                    mask, g = leaf_mask(p), gray(p)
-                    rows.append((r.sample_id, False, None, False, blur_variance(g, mask), *brightness(p, mask), r.width, r.height, low_resolution(r.width, r.height, least_resolution), smeared_edges(g) >= 2))
+                    rows.append((r.sample_id, False, None, r.digest, False, *metrics_of(p, None if r.boxes is None else [list(b) for b in r.boxes], least_resolution, text_detector)))
                 except Exception as e:  # noqa: BLE001
-                    rows.append((r.sample_id, True, str(e)[:500], False, *[None] * 8))
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in METRICS.split(", ")]).astype({"width": "Int32", "height": "Int32"})
+                    rows.append((r.sample_id, True, f"{type(e).__name__}: {e}"[:500], r.digest, False, *[None] * 10))
+            yield pd.DataFrame(rows, columns=names).astype({"width": "Int32", "height": "Int32"})
 
-    return images.mapInPandas(run, METRICS)
+    column = lambda c, kind: F.col(c) if c in images.columns else F.lit(None).cast(kind).alias(c)
+    return images.select(F.col("sample_id").cast("string"), "height", "width", "channels", "data", column("digest", "string"), column("boxes", "array<array<double>>")).mapInPandas(run, METRICS)
 
 
 #: Changes whenever a descriptor would; digests hold it, so those of different versions never meet.

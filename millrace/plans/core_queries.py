@@ -558,18 +558,39 @@ def label_normal_forms(spark, d):
     return table(spark, d, "part").select("p_partkey", tx.normal_text(n).alias("plain"), tx.normal_label(n).alias("label"), tx.slug(n).alias("slug"))
 
 
-@query()
+_ASCII = "coalesce(nullif(trim(regexp_replace(regexp_replace(lower(strip_accents(trim({}))), '[^\\x00-\\x7F]', '', 'g'), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unlabeled')"
+_HEALTHY, _SICK = (str(list(t)) for t in (tx.HEALTHY_TOKENS, tx.DISEASE_TOKENS))
+
+
+@query(f"""WITH p AS (SELECT sample_id, source_dataset, {_ASCII.format('source_label')} AS plain FROM samples), t AS (SELECT *, string_split(plain, '_') AS w FROM p),
+h AS (SELECT source_dataset, bool_or(list_has_any(w, {_HEALTHY})) AS peer FROM t GROUP BY 1)
+SELECT sample_id, plain, CASE WHEN list_has_any(w, {_HEALTHY}) OR regexp_matches(plain, 'healthy|sano|saglam') THEN 'sano' WHEN list_has_any(w, {_SICK}) OR regexp_matches(plain, 'enferm|diseas|rot|spot|blight|rust') THEN 'enfermo' WHEN peer THEN 'enfermo' ELSE plain END AS coarse
+FROM t LEFT JOIN h ON h.source_dataset IS NOT DISTINCT FROM t.source_dataset""")
 def coarse_labels(spark, d):
-    return table(spark, d, "samples").select("sample_id", tx.ascii_label(F.col("source_label")).alias("plain"), tx.coarse_label(F.col("source_label")).alias("coarse"))
+    """With the other classes of its source as peers."""
+    s = table(spark, d, "samples").select("sample_id", "source_dataset", "source_label")
+    peers = s.groupBy("source_dataset").agg(F.max(tx.healthy_tokens(F.col("source_label"))).alias("peer"))
+    met = s.join(peers.withColumnRenamed("source_dataset", "_s"), F.col("source_dataset").eqNullSafe(F.col("_s")), "left")
+    return met.select("sample_id", tx.ascii_label(F.col("source_label")).alias("plain"), tx.coarse_label(F.col("source_label"), F.col("peer")).alias("coarse"))
 
 
-@query()
+_NORMAL = "replace(lower(trim(regexp_replace(regexp_replace(strip_accents({}), '[_-]', ' ', 'g'), '\\s+', ' ', 'g'))), ' ', '_')"
+
+
+@query(f"""WITH o AS (SELECT name AS raw, name AS canonical FROM ontology WHERE field = 'disease' UNION ALL SELECT unnest(aliases), name FROM ontology WHERE field = 'disease'), k AS (SELECT {_NORMAL.format('raw')} AS key, min(canonical) AS canonical FROM o WHERE raw IS NOT NULL GROUP BY 1)
+SELECT sample_id, source_label, coalesce(canonical, {_NORMAL.format('source_label')}) AS canonical FROM samples LEFT JOIN k ON k.key = {_NORMAL.format('source_label')}""")
 def ontology_labels(spark, d):
     o = table(spark, d, "ontology").filter("field = 'disease'")
     raw = o.select(F.col("name").alias("raw"), F.col("name").alias("canonical")).unionByName(o.select(F.explode("aliases").alias("raw"), F.col("name").alias("canonical")))
     return labels.apply_ontology(table(spark, d, "samples").select("sample_id", "source_label"), raw, "source_label")
 
 
+@query()
+def label_names(spark, d):
+    """Raw labels with the names that merging variants gives them."""
+    return labels.label_phase(table(spark, d, "samples").select("sample_id", "source_dataset", "source_label"))[1]
+
+
 @query()
 def label_suggestions(spark, d):
     own = table(spark, d, "samples").filter("source_label is not null").select(tx.ascii_label(F.col("source_label")).alias("label")).groupBy("label").agg(F.count("*").alias("rows"))

@@ -270,7 +270,29 @@ def test_ontology():
 def test_label_pairs(spark):
     df = spark.createDataFrame([("leaf_spot", 9), ("leaf_spots", 2), ("ripe", 5), ("unripe", 5), ("leaf_rust", 3)], "l string, n long")
     got = {(r.left, r.right): (r.category, r.merge, r.canonical) for r in labels.label_pairs(df, "l", "n").collect()}
-    assert got[("leaf_spot", "leaf_spots")][1:] == (True, "leaf_spot") and got[("ripe", "unripe")][:2] == ("lifecycle", False)
+    assert got[("leaf_spot", "leaf_spots")][1:] == (True, "leaf_spot") and got[("ripe", "unripe")][:2] == ("lifecycle_stage", False)
+
+
+@pytest.mark.parametrize("label, coarse", [("termite", "termite"), ("tempest", "tempest"), ("moldova", "moldova"), ("unhealthy", "sano"), ("Leaf Rust", "enfermo"), ("hoja sana", "sano"), ("mite", "enfermo"), ("kent", "kent")])
+def test_coarse_labels_go_by_whole_words(spark, label, coarse):
+    df = spark.createDataFrame([(label,)], "l string")
+    assert one(df, tx.coarse_label(F.col("l")))[0] == coarse
+    assert one(df, tx.coarse_label(F.col("l"), F.lit(True)))[0] == (coarse if coarse in ("sano", "enfermo") else "enfermo")
+
+
+def test_label_phase_merges_and_renames(spark):
+    rows = [("a", "s", "Leaf Spot", ["leaf_spot", "lef spot"]), ("b", "s", "leaf-spot", []), ("c", "t", "lef spot", None), ("d", "t", None, []), ("e", "t", "unripe", []), ("f", "t", "ripe", [])]
+    df = spark.createDataFrame([(i, s, l, None if b is None else [(x,) for x in b]) for i, s, l, b in rows], "sample_id string, source_dataset string, source_label string, boxes array<struct<label:string>>")
+    out, mapping = labels.label_phase(df)
+    got = {r.sample_id: (r.normalized_label, r.normalized_labels) for r in out.collect()}
+    assert got["a"] == ("leaf_spot", ["leaf_spot"]) and got["c"][0] == "leaf_spot" and got["d"] == (None, []) and got["e"][0] == "unripe"
+    assert [b.label for b in out.filter("sample_id = 'a'").first().boxes] == ["leaf_spot", "leaf_spot"]
+    text = labels.proposed_ontology(mapping, labels.label_counts(df))
+    assert '"leaf_spot":' in text and '"lef spot"  # s: 1, t: 1' in text
+    own = spark.createDataFrame([("Leaf Spot", "mancha")], "raw string, canonical string")
+    assert labels.label_phase(df, own)[0].filter("sample_id = 'a'").first().normalized_label == "mancha"
+    with pytest.raises(ValueError):
+        labels.cleaning_tool("on")
 
 
 def test_label_pairs_are_those_of_all_pairs(spark):
