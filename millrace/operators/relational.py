@@ -127,3 +127,20 @@ def leaks_between(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
     """Values of ``keys`` that two sets share."""
     known = " and ".join(f"{k} is not null" for k in keys)
     return a.filter(known).select(*keys).intersect(b.filter(known).select(*keys))
+
+
+def numbered(df: DataFrame, *order: str, name: str = "id", start: int = 1) -> DataFrame:
+    """Rows with consecutive numbers in an order, without gathering them in one task: ranges are
+    counted, and only their counts (one for each task) reach the driver."""
+    from millrace.storage import stage
+
+    laid = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(laid.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((r["p"], r["count"]) for r in placed.groupBy(part.alias("p")).count().collect())
+    offsets, total = [], start
+    for p, n in counts:
+        offsets.append((p, total))
+        total += n
+    before = df.sparkSession.createDataFrame(offsets, "_p long, _before long")
+    return placed.withColumn("_p", part).join(F.broadcast(before), "_p").withColumn(name, F.col("_before") + row).drop("_at", "_p", "_before")

@@ -110,20 +110,49 @@ def _digest(path: str) -> str:
     return h.hexdigest()
 
 
-def _copy(source: str, target: str, expected: str | None) -> None:
-    have = _digest(source)
-    if expected and have != expected.lower():
-        raise ValueError("the file has changed")
-    if os.path.exists(target):
-        if _digest(target) != have:
-            raise FileExistsError(target)
-        return
+def _copy(source: str, target: str, expected: str | None) -> tuple[str, int]:
+    """(digest, bytes): copies and hashes in one stream. A source that is empty, changes meanwhile or
+    has another digest is an error; a target that exists is left if it is the same, else an error."""
+    before = os.stat(source)
+    temporary, h, size = f"{target}.{uuid.uuid4().hex}", hashlib.sha256(), 0
+    try:
+        with open(source, "rb") as f, open(temporary, "xb") as out:
+            while chunk := f.read(1 << 20):
+                h.update(chunk)
+                out.write(chunk)
+                size += len(chunk)
+        after = os.stat(source)
+        if not size:
+            raise ValueError("the file is empty")
+        if (before.st_size, before.st_mtime_ns) != (after.st_size, after.st_mtime_ns) or size != after.st_size or expected and h.hexdigest() != expected.lower():
+            raise ValueError("the file has changed")
+        try:
+            os.link(temporary, target)  # fails where something exists, so nothing is overwritten
+        except FileExistsError:
+            if _digest(target) != h.hexdigest():
+                raise
+        except OSError:
+            if os.path.exists(target):
+                raise FileExistsError(target) from None
+            os.rename(temporary, target)
+        return h.hexdigest(), size
+    finally:
+        if os.path.exists(temporary):
+            os.remove(temporary)
+
+
+def link_or_copy(source: str, target: str) -> str:
+    """``linked`` or ``copied``; never overwrites."""
+    os.makedirs(os.path.dirname(target), exist_ok=True)
     try:
         os.link(source, target)
+        return "linked"
+    except FileExistsError:
+        raise
     except OSError:
-        temporary = f"{target}.{uuid.uuid4().hex}"
-        shutil.copyfile(source, temporary)
-        os.replace(temporary, target)
+        with open(source, "rb") as f, open(target, "xb") as out:
+            shutil.copyfileobj(f, out, 1 << 20)
+        return "copied"
 
 
 def report_html(title: str, tables: dict[str, DataFrame], limit: int = 200) -> str:

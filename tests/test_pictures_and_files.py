@@ -13,7 +13,7 @@ from millrace.functions import vision
 from millrace.operators import balance
 from millrace.plans import runs
 from millrace.sinks import export
-from millrace.sources import formats
+from millrace.sources import fixtures, formats
 
 
 def png(image: np.ndarray) -> bytes:
@@ -102,12 +102,86 @@ def test_audit(spark, raw):
     assert codes("c_voc", "voc") == ["bbox_out_of_bounds"]
 
 
+def test_sources_and_their_audit(spark, tmp_path):
+    raw = tmp_path / "raw"
+    fixtures.write_sources(str(raw), 4, edge_cases=True)
+    found = formats.discover(str(raw))
+    assert [(f["name"], f["format"], f["splits"]) for f in found] == [("mock_coco", "coco", ["train"]), ("mock_voc", "voc", []), ("mock_yolo", "yolo", ["train"])]
+    df, report = formats.ingest(spark, str(raw), report_path=str(tmp_path / "report.json"))
+    assert df.count() == 5 + 4 + 4 and json.loads((tmp_path / "report.json").read_text())["samples"] == 13
+    issues = formats.audit_raw(spark, str(raw))
+    codes = {(r.source, r.code) for r in issues.collect()}
+    assert codes == {("mock_coco", "invalid_bbox"), ("mock_voc", "corrupt_image"), ("", "conflicting_duplicate_labels")}
+    counts = formats.audit_counts(issues, df).first()
+    assert (counts.sources, counts.images, counts.boxes, counts.warnings) == (3, 13, 13, 0) and counts.errors >= 3
+    assert [r.code for r in formats.audit_raw(spark, str(raw / "none")).collect()] == ["missing_raw_dir"]
+    assert formats.sample_scan(str(raw))["files"] == 13 and formats.sample_scan(str(raw))["broken"] == 1 and formats.sample_scan(str(raw), files=2)["files"] == 2
+    (raw / "mock_coco" / "train" / "other_coco.json").write_text("{}")
+    with pytest.raises(ValueError):
+        formats.coco_files(str(raw / "mock_coco"))
+
+
+@pytest.mark.parametrize("text, code", [("[1]", "invalid_yolo_schema"), ("a: [", "invalid_yolo_yaml"), ("train: x", "missing_yolo_names"), ("names: [a]\ntrain: /gone/x", "missing_yolo_split")])
+def test_descriptions_with_faults(spark, tmp_path, text, code):
+    (tmp_path / "images").mkdir()
+    (tmp_path / "images" / "a.png").write_bytes(fixtures.png(leaf(1)))
+    (tmp_path / "images" / "a.txt").write_text("0 0.5 0.5 0.1 0.1\n")
+    (tmp_path / "data.yaml").write_text(text)
+    assert code in {r.code for r in formats.audit(spark, str(tmp_path), "yolo").collect()}
+
+
+@pytest.mark.parametrize("said, there, want", [("../train/images", "train/images", "train/images"), ("C:\\x\\train", "images/train", "images/train"), ("/home/me/val", "valid", "valid")])
+def test_splits_are_found(tmp_path, said, there, want):
+    (tmp_path / there).mkdir(parents=True)
+    split = "val" if "val" in said else "train"
+    (tmp_path / "data.yaml").write_text(json.dumps({"names": ["a"], split: said}))
+    assert formats.yolo_splits(str(tmp_path)) == {split: want}
+
+
+def test_promotion_comes_back(tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "old").write_text("")
+    with pytest.raises(OSError):
+        formats.promote(str(tmp_path / "none"), str(tmp_path / "t"))
+    assert (tmp_path / "t" / "old").exists()
+    (tmp_path / "b").mkdir()
+    formats.promote(str(tmp_path / "b"), str(tmp_path / "t"))
+    assert not (tmp_path / "t" / "old").exists() and not (tmp_path / "t.old").exists()
+
+
+def test_kernels_of_text_and_masks():
+    p = np.full((120, 200, 3), 90, np.uint8)
+    assert not vision.looks_written(p) and vision.wants_reading(False, False, None, None) and not vision.wants_reading(False, False, 5, 10) and not vision.wants_reading(True, False, 50, 90)
+    for i, x in enumerate(range(60, 140, 4)):
+        p[50 + 8 * (i % 5 < 2) : 66 - 6 * (i % 4 < 2), x : x + 2] = 250
+    assert vision.looks_written(p)
+    assert vision.agency_text([("Shutterstock", 80)]) and not vision.agency_text([("shutterstock", 20)]) and not vision.agency_text([("leaf", 99)])
+    green = np.zeros((60, 60, 3), np.uint8)
+    green[10:50, 10:50] = (20, 200, 20)
+    green[25:35, 25:35] = (20, 40, 120)  # a lesion within the leaf
+    assert vision.leaf_mask(green)[30, 30] and not vision.leaf_mask(green)[5, 5]
+    assert vision.box_blurs(leaf(4), [[0, 0, 1, 1], [0.99, 0.99, 0.001, 0.001]])[1] == 0.0
+    alpha = np.full((60, 60), 255, np.uint8)
+    alpha[:10] = 0
+    assert vision.transparent(alpha) and not vision.transparent(None)
+    colours = vision.palette(["a", "b"])
+    assert colours["classes"] == {"background": 0, "a": 1, "b": 2}
+    m = vision.semantic_mask(10, 10, [{"label": "b", "bounding_box": [0.5, 0, 0.5, 0.5], "mask": np.ones((2, 2))}], colours["classes"])
+    assert m[:5, 5:].all() and m.sum() == 2 * 25 and vision.semantic_mask(5, 5, [{"label": "a"}], {}) is None
+    assert vision.preview(np.dstack([leaf(1), np.full((96, 128), 9, np.uint8)]), "r90").startswith("iVBOR")
+    holes = np.ones((5, 5), bool)
+    holes[2, 2] = holes[0, 0] = False
+    assert vision.filled(holes)[2, 2] and not vision.filled(holes)[0, 0]
+
+
 def test_metrics_and_descriptors(spark, raw):
     images = formats.decoded(spark, str(raw / "d_tree")).withColumn("sample_id", F.regexp_extract("path", r"([^/]+)$", 1))
     m = {r.sample_id: r for r in vision.picture_metrics(images).collect()}
     assert m["bad.png"].is_corrupted and not m["t.png"].is_corrupted and m["t.png"].width == 128 and m["t.png"].blur_variance > 0
     d = vision.picture_descriptors(images).collect()
-    assert len(d) == 1 and len(d[0].phashes) == 8 and len(d[0].histogram) == 512
+    assert len(d) == 2 and next(r for r in d if r.sample_id == "bad.png").error
+    good = next(r for r in d if r.sample_id == "t.png")
+    assert len(good.phashes) == 8 and len(good.histogram) == 512
     plan = spark.createDataFrame([("x", 1, "t.png", "n1"), ("x", 2, "t.png", "n2")], "label string, i long, parent_sample_id string, synthetic_id string")
     assert {(r.sample_id, r.channels) for r in balance.synthesize(plan, images).collect()} == {("n1", 3), ("n2", 3)}
 
