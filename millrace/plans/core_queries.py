@@ -12,7 +12,7 @@ from millrace.functions import text as tx
 from millrace.operators import aggregates as agg
 from millrace.operators import balance, components, decisions, duplicates, labels, matching, ranking, representatives, review, small_files, splits
 from millrace.operators import relational as rel
-from millrace.sinks import export
+from millrace.sinks import export, release
 from millrace.sources import fixtures
 from millrace.storage import new_path, stage, table
 
@@ -632,3 +632,110 @@ def coco_annotations(spark, d):
 @query("SELECT label_id, filename, split, disease, CASE WHEN condition IS NOT NULL THEN condition WHEN lower(disease) IN ('sano', 'healthy') THEN 'sano' ELSE 'enfermo' END AS condition FROM labels")
 def clean_labels(spark, d):
     return table(spark, d, "labels").select("label_id", "filename", "split", "disease", export.condition_of(F.col("condition"), F.lit(None).cast("string"), F.col("disease")).alias("condition"))
+
+
+_SUFFIX = r"lower(regexp_extract(filepath, '(\.[^./]+)$', 1))"
+
+
+@query(f"""SELECT sample_id AS id, 'images/' || sample_id || {_SUFFIX} AS filepath, coalesce(filepath, '') AS source_path, coalesce(source_dataset, '') AS source_dataset, coalesce(source_split, '') AS source_split, '' AS assigned_split, coalesce(source_label, '') AS source_label, '' AS normalized_label, coalesce(task_type, 'unlabeled') AS task_type, '' AS normalized_labels, '' AS asset_sha256, '0' AS size_bytes, 'false' AS detection_exported, '' AS family_id, '' AS split_group_id, '' AS representative_id, '' AS curation_reason, '' AS deduplication_version, 'unknown' AS source_version, 'unknown' AS source_license FROM samples""")
+def release_manifest(spark, d):
+    """All twenty columns of a release's manifest."""
+    return release.manifest(table(spark, d, "samples"))
+
+
+_NAMED = "n AS (SELECT list_extract(string_split(filename, '/'), -1) AS filename, coalesce(nullif(split, ''), 'train') AS split, CASE WHEN coalesce(nullif(disease, ''), 'objeto') = 'rust_mite' THEN 'aculus_olearius' ELSE coalesce(nullif(disease, ''), 'objeto') END AS disease, coalesce(task, 'detection') AS task, source_dataset AS s FROM labels)"
+_PUBLIC = f"{_NAMED}, p AS (SELECT filename, split, disease, CASE WHEN disease IN ('olivo', 'olive_tree', 'crown') THEN 'olivo' WHEN disease IN {release.HEALTHY} THEN 'sano' WHEN disease IN {release.DAMAGED} THEN 'dañado' ELSE 'enfermo' END AS condition, task, coalesce(r.homepage, n.s) AS source_dataset, coalesce(r.license, '') AS source_url FROM n LEFT JOIN sources r ON r.source_dataset = n.s)"
+
+
+def _public(spark, d):
+    rows = table(spark, d, "labels").select(F.col("filename").alias("filepath"), F.col("split").alias("assigned_split"), F.col("disease").alias("normalized_label"), F.col("task").alias("task_type"), "source_dataset")
+    registry = table(spark, d, "sources").select("source_dataset", F.col("homepage").alias("title"), F.col("license").alias("url"))
+    return release.clean_labels(rows, registry)
+
+
+@query(f"WITH {_PUBLIC} SELECT filename, split, disease, condition, task, source_dataset, source_url FROM p")
+def release_labels(spark, d):
+    """The seven columns of the public label list."""
+    return _public(spark, d)
+
+
+@query(f"WITH {_PUBLIC} SELECT disease, min(condition) AS condition, count(*) AS images FROM p GROUP BY 1")
+def release_classes(spark, d):
+    return release.release_counts(_public(spark, d))[0]
+
+
+@query(f"WITH {_PUBLIC} SELECT split, count(*) AS images, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM p), 1) AS percent FROM p GROUP BY 1")
+def release_splits(spark, d):
+    return release.release_counts(_public(spark, d))[1]
+
+
+@query("SELECT count(*) FILTER (lower(task_type) LIKE '%detection%') AS detection, count(*) FILTER (lower(task_type) LIKE '%classification%') AS classification FROM samples")
+def task_counters(spark, d):
+    """What decides the layout of a release."""
+    task = F.lower("task_type")
+    return table(spark, d, "samples").agg(F.count_if(F.contains(task, F.lit("detection"))).alias("detection"), F.count_if(F.contains(task, F.lit("classification"))).alias("classification"))
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_brand, p_partkey) AS id FROM part")
+def numbered_rows(spark, d):
+    """Consecutive numbers in an order, without one task that holds all rows."""
+    return rel.numbered(table(spark, d, "part").select("p_partkey", "p_brand"), "p_brand", "p_partkey").select("p_partkey", "id")
+
+
+_BOXED = "b AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_discount, l_tax, l_shipdate, CASE l_orderkey % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS split FROM lineitem), i AS (SELECT *, row_number() OVER (ORDER BY split, l_orderkey::VARCHAR) AS image_id FROM (SELECT DISTINCT l_orderkey, split FROM b)), c AS (SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) - 1 AS k FROM (SELECT DISTINCT l_returnflag FROM lineitem)), a AS (SELECT i.split, row_number() OVER (ORDER BY i.split, image_id, l_linenumber, l_returnflag, l_discount, l_tax) AS id, image_id, k, l_discount * 640 AS x, l_tax * 480 AS y FROM b JOIN i USING (l_orderkey) JOIN c USING (l_returnflag))"
+
+
+@query(f"WITH {_BOXED} SELECT split, 'annotations' AS part, id, image_id, k AS category_id, round(x, 3) AS x, round(y, 3) AS y FROM a UNION ALL SELECT split, 'images', image_id, NULL, NULL, NULL, NULL FROM i UNION ALL SELECT split, 'categories', k, NULL, NULL, NULL, NULL FROM c, (SELECT DISTINCT split FROM i)")
+def coco_entries(spark, d):
+    """The entries of COCO documents for three splits, read back from their JSON."""
+    split = F.when(F.col("l_orderkey") % 3 == 0, "train").when(F.col("l_orderkey") % 3 == 1, "val").otherwise("test")
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("sample_id"), split.alias("assigned_split"), F.struct("l_linenumber", F.col("l_returnflag").alias("label"), F.col("l_discount").alias("x"), F.col("l_tax").alias("y")).alias("b"))
+    own = lines.groupBy("sample_id", "assigned_split").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+    boxes = F.transform("bs", lambda b: F.struct(b["label"].alias("label"), F.array(b["x"], b["y"], F.lit(0.2), F.lit(0.1)).alias("bounding_box")))
+    samples = own.select("sample_id", "assigned_split", F.concat("sample_id", F.lit(".jpg")).alias("filepath"), F.lit(640).alias("width"), F.lit(480).alias("height"), boxes.alias("boxes"))
+    out = release.coco_documents(samples, export.class_ids(lines.select(F.col("b.label").alias("label")), "label"))
+    j = F.from_json("text", "struct<image_id:bigint,category_id:bigint,bbox:array<double>>")
+    return out.withColumn("j", j).select("split", "part", "id", "j.image_id", "j.category_id", F.get("j.bbox", 0).alias("x"), F.get("j.bbox", 1).alias("y"))
+
+
+@query("SELECT s.sample_id, s.source_dataset FROM (SELECT DISTINCT sample_id, source_dataset FROM samples WHERE sample_id IS NOT NULL) s WHERE NOT EXISTS (SELECT 1 FROM quality_metrics q WHERE q.sample_id = s.sample_id AND (q.is_corrupted OR q.processing_error)) AND NOT EXISTS (SELECT 1 FROM decisions d WHERE d.sample_id = s.sample_id AND lower(d.status) = 'removed')")
+def eligible_samples(spark, d):
+    """Samples that nothing speaks against: never corrupted, failed or removed."""
+    bad = table(spark, d, "quality_metrics").filter("is_corrupted or processing_error").select("sample_id").unionByName(table(spark, d, "decisions").filter("lower(status) = 'removed'").select("sample_id"))
+    return rel.drop_ids(table(spark, d, "samples").filter("sample_id is not null").select("sample_id", "source_dataset").distinct(), bad)
+
+
+@query("SELECT least(a, b) AS \"left\", greatest(a, b) AS \"right\", list_sort(list(DISTINCT src)) AS sources FROM (SELECT left_id AS a, right_id AS b, 'links' AS src FROM duplicate_links WHERE left_id <> right_id UNION ALL SELECT least(x.sample_id, y.s), greatest(x.sample_id, y.s), 'digest' FROM quality_metrics x JOIN (SELECT lower(trim(asset_sha256)) AS g, min(sample_id) AS s FROM quality_metrics WHERE trim(asset_sha256) <> '' AND sample_id IS NOT NULL GROUP BY 1) y ON y.g = lower(trim(x.asset_sha256)) AND x.sample_id <> y.s) GROUP BY 1, 2")
+def candidate_union(spark, d):
+    """Unordered pairs of several sources of candidates, each once, with where they came from."""
+    links = table(spark, d, "duplicate_links").filter("left_id <> right_id").select(F.least("left_id", "right_id").alias("left"), F.greatest("left_id", "right_id").alias("right"), F.lit("links").alias("src"))
+    same = duplicates.exact_edges(table(spark, d, "quality_metrics")).select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"), F.lit("digest").alias("src"))
+    return links.unionByName(same).groupBy("left", "right").agg(F.array_sort(F.collect_set("src")).alias("sources"))
+
+
+@query("WITH c AS (SELECT label, count(*) AS n FROM embeddings WHERE label IS NOT NULL GROUP BY 1), t AS (SELECT max(n) AS a FROM c) SELECT label, n + least(2000, greatest(0, a - n)) AS rows, least(2000, greatest(0, a - n)) AS synthetic FROM c, t")
+def balanced_rows(spark, d):
+    """Classes after synthetic rows were appended."""
+    e = table(spark, d, "embeddings").filter("label is not null")
+    missing = agg.balance_targets(e, "label").select("label", F.col("missing_max").alias("missing"))
+    new = balance.oversample_plan(e, missing, "label", "vec_id").select("label", F.lit(True).alias("is_synthetic"))
+    both = e.select("label", F.lit(False).alias("is_synthetic")).unionByName(new)
+    return both.groupBy("label").agg(F.count("*").alias("rows"), F.count_if("is_synthetic").alias("synthetic"))
+
+
+_REPORT = ("sample_id", "filepath", "source_dataset", "source_split", "source_label", "task_type")
+
+
+@query(f"WITH {_LATEST}, m AS (SELECT sample_id, arg_max(q, (measured_at IS NOT NULL, measured_at)) AS q FROM (SELECT sample_id, measured_at, struct_pack(w := width, h := height) AS q, count(*) OVER (PARTITION BY sample_id, measured_at) AS k FROM quality_metrics WHERE sample_id IS NOT NULL AND measured_at IS NOT NULL) WHERE k = 1 GROUP BY 1) SELECT s.sample_id, s.filepath, s.source_dataset, s.source_split, s.source_label, s.task_type, lower(one.status) AS status, one.phase, one.reason, one.confidence, m.q.w AS width, m.q.h AS height FROM samples s LEFT JOIN one USING (sample_id) LEFT JOIN m USING (sample_id)")
+def report_rows(spark, d):
+    """What a report shows of each sample: identity, decision and measures."""
+    q = table(spark, d, "quality_metrics").filter("sample_id is not null and measured_at is not null")
+    sole = q.groupBy("sample_id", "measured_at").agg(F.count("*").alias("k"), F.first(F.struct("width", "height")).alias("q")).filter("k = 1")
+    measured = sole.groupBy("sample_id").agg(F.max_by("q", "measured_at").alias("q"))
+    own = table(spark, d, "samples").select(*_REPORT).join(_latest_decisions(spark, d).drop("decided_at"), "sample_id", "left").join(measured, "sample_id", "left")
+    return own.select(*_REPORT, F.lower("status").alias("status"), "phase", "reason", "confidence", "q.width", "q.height")
+
+
+@query("SELECT sample_id, confidence FROM (SELECT DISTINCT sample_id, confidence FROM decisions WHERE sample_id IS NOT NULL AND confidence IS NOT NULL) ORDER BY confidence DESC, sample_id")
+def sorted_decisions(spark, d):
+    return table(spark, d, "decisions").filter("sample_id is not null and confidence is not null").select("sample_id", "confidence").distinct().orderBy(F.desc("confidence"), "sample_id")
