@@ -85,11 +85,12 @@ def _one_of(words: list[str]) -> str:
     return written(tree)
 
 
-#: What a text must have before the patterns above are tried on it: a street word and a blank, a
-#: number and a capital letter, an at sign or its word.
+#: What a text must have before the patterns above are tried on it: seven digits with little between
+#: them, a street word and a blank, a number and a capital letter, an at sign or its word before a domain.
 _OPENERS = [w.replace("\\", "").replace("?", "").rstrip(".") for w in STREET_ES.split("|") if "[" not in w]
 HINTS = {
-    "email": re.compile(r"@|(?<![^\W_])(?:at|arroba)(?![^\W_])"),
+    "email": re.compile(r"@|[\[({<]\s?(?:at|arroba)\s?[\])}>]|\s(?:at|arroba)\s[a-z0-9-]+(?:\.[a-z0-9]|\s?[\[({]\s?(?:dot|punto|ponto)|\s(?:dot|punto|ponto)\s)"),
+    "phone": re.compile(r"\d(?:[ .\-/()+\u00a0]{0,3}\d){6}"),
     "address": re.compile(rf"(?<![\w/])(?:c/|(?:{_one_of(_OPENERS)}\.?|p[.ºo°]\.?)[ \t\u00a0])"),
     "address_en": re.compile(rf"\d[A-Za-z]?,?[ \t\u00a0]{{1,2}}[{UP}]"),
 }
@@ -204,8 +205,10 @@ def build(texts: list[str | None], names: Names, hidden: frozenset[str] = frozen
         taken, busy = Spans(), Spans()
         last: dict[str, int] = {}
         low = text.lower()
+        hints = {name: hint.search(text if name == "address_en" else low) for name, hint in HINTS.items()}
+        hints["id_number"] = hints["phone"]  # either has seven digits
         for name, pattern in PATTERNS.items():
-            if name in HINTS and not HINTS[name].search(text if name == "address_en" else low):
+            if not hints[name]:
                 continue
             kind = name.partition("_en")[0]
             for m in pattern.finditer(text):

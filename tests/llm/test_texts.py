@@ -147,9 +147,9 @@ def test_spans_of_addresses(text, found):
 
 
 def test_hints_lose_no_span():
-    texts = ["Ana vive en CALLE Ávila 3", "pº del Río 5", "x en Pç. Nova, 9", "7 Elm St", "a arroba b punto com", "A AT B.example", "12A, Hollow Lane"]
+    texts = ["Ana vive en CALLE Ávila 3", "pº del Río 5", "x en Pç. Nova, 9", "7 Elm St", "a arroba b punto com", "A AT B.example", "12A, Hollow Lane", "(+34) 600 123 456", "DNI 12.345.678-Z", "SSN 123-45-6789", "NIE X-1234567-L", "+34 (91) 123 45 67"]
     for text in texts:
-        want = {(n.partition("_en")[0], m.group(0)) for n, p in personal.PATTERNS.items() if n in personal.HINTS for m in p.finditer(text)}
+        want = {(n.partition("_en")[0], m.group(0)) for n, p in personal.PATTERNS.items() for m in p.finditer(text) if n != "phone" or sum(c.isdigit() for c in m.group(0)) >= 7}
         g = personal.build([text], personal.Names())
         assert want and want <= set(zip(g.kind, g.text))
 
