@@ -372,12 +372,13 @@ def tile_evidence(a: np.ndarray, b: np.ndarray) -> tuple[float, float, int, floa
     return min(correlations, default=0.0), 1.0 if error is None else error, len(correlations), colour
 
 
-def visual_evidence(a: np.ndarray, b: np.ndarray, correlation: float = 0.97, limit: float = 0.04) -> dict:
+def visual_evidence(a: np.ndarray, b: np.ndarray, correlation: float = 0.97, limit: float = 0.04, geometry: Callable[[np.ndarray, np.ndarray], int] | None = None) -> dict:
     """level (verified_visual, candidate or rejected), transform, scores and reason of two pictures.
 
     Each symmetry of the second whose proportions differ by at most 1 % is laid over the first. The
-    first that agrees everywhere decides; else the one with the least error speaks for the pair,
-    which stays a candidate from a correlation of 0.8.
+    first that agrees everywhere decides; else the one with the least error speaks for the pair, which
+    stays a candidate from a correlation of 0.8, or if ``geometry`` (a caller's, as no such library is
+    installed here) finds eight or more points that one affine map explains. Geometry confirms nothing.
     """
     best = None
     for name, v in symmetries(b):
@@ -389,7 +390,7 @@ def visual_evidence(a: np.ndarray, b: np.ndarray, correlation: float = 0.97, lim
             return {"level": "verified_visual", "reason": None, **here}
         if best is None or error < best["error"]:
             best = here
-    plausible = best is not None and best["correlation"] >= 0.8
+    plausible = best is not None and best["correlation"] >= 0.8 or geometry is not None and geometry(a, b) >= 8
     none = {"transform": None, "correlation": None, "error": None, "textured_tiles": None, "color_error": None}
     return {"level": "candidate" if plausible else "rejected", "reason": "full_content_equivalence_unverified" if plausible else "no_support_for_tested_transforms", **(best or none)}
 

@@ -96,10 +96,15 @@ def box_validity(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", geo.valid_box(box).alias("valid"))
 
 
-@query("SELECT l_orderkey, l_linenumber, round(l_tax, 5) AS x, round(1 - l_discount - 0.2, 5) AS y, round(0.1, 5) AS w, round(0.2, 5) AS h FROM lineitem")
+_TURNS_OF = "o AS (SELECT l_orderkey, l_linenumber, l_discount AS x, l_tax AS y, 0.2::DOUBLE AS w, 0.1::DOUBLE AS h FROM lineitem), m AS (SELECT l_orderkey, l_linenumber, '' AS p, x, y, w, h FROM o UNION ALL SELECT l_orderkey, l_linenumber, 'mirror_', 1 - x - w, y, w, h FROM o), t AS (SELECT *, 0 AS q FROM m UNION ALL SELECT l_orderkey, l_linenumber, p, y, 1 - x - w, h, w, 90 FROM m UNION ALL SELECT l_orderkey, l_linenumber, p, 1 - x - w, 1 - y - h, w, h, 180 FROM m UNION ALL SELECT l_orderkey, l_linenumber, p, 1 - y - h, x, h, w, 270 FROM m)"
+
+
+@query(f"WITH {_TURNS_OF} SELECT l_orderkey, l_linenumber, p || 'r' || q AS transform, round(x, 5) + 0.0 AS x, round(y, 5) + 0.0 AS y, round(w, 5) AS w, round(h, 5) AS h FROM t")
 def box_turn(spark, d):
-    turned = geo.turn_box(F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.2), F.lit(0.1)), False, 1)
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", turned.alias("b")).select("l_orderkey", "l_linenumber", *(F.get("b", i).alias(c) for i, c in enumerate("xywh")))
+    """Boxes under all eight symmetries."""
+    own = F.array(F.col("l_discount"), F.col("l_tax"), F.lit(0.2), F.lit(0.1))
+    every = F.array(*(F.struct(F.lit(f"{'mirror_' if m else ''}r{90 * q}").alias("transform"), geo.turn_box(own, m, q).alias("b")) for m in (False, True) for q in range(4)))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.inline(every)).select("l_orderkey", "l_linenumber", "transform", *((F.get("b", i) + F.lit(0.0)).alias(c) for i, c in enumerate("xywh")))  # no negative zero
 
 
 @query("SELECT event_id, (props::JSON->>'k')::BIGINT AS k, strftime(ts, '%Y%m%d-%H%M%S') AS run_id FROM events")
@@ -210,10 +215,11 @@ def label_sources(spark, d):
     return agg.label_sources(table(spark, d, "samples"), "source_label", "source_dataset")
 
 
-@query("SELECT p_brand, sum(n)::BIGINT AS total, count(*) AS kinds FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT p_brand, sum(n)::BIGINT AS total, list_sort(list(p_type || '=' || n)) AS by_type, list_sort(list_distinct(flatten(list(names)))) AS raw_labels FROM (SELECT p_brand, p_type, count(*) AS n, list(DISTINCT p_name) AS names FROM part GROUP BY 1, 2) GROUP BY 1")
 def canonical_matrix(spark, d):
     m = agg.canonical_matrix(table(spark, d, "part"), "p_brand", "p_name", "p_type")
-    return m.select("p_brand", "total", F.size("by_source").cast("long").alias("kinds"))
+    of = F.array_sort(F.transform(F.map_entries("by_source"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    return m.select("p_brand", "total", of.alias("by_type"), "raw_labels")
 
 
 @query("WITH c AS (SELECT event_type, count(*) AS rows FROM events WHERE event_type IS NOT NULL GROUP BY 1), t AS (SELECT sum(rows) AS n, count(*) AS k FROM c) SELECT event_type, rows, round_even(n / (k * rows)::DOUBLE, 4) AS weight FROM c, t")
@@ -292,6 +298,24 @@ def representative_rank(spark, d):
     return ranking.first_of_each(own, "cluster_id", 1, F.desc_nulls_last("confidence"), "sample_id").select("sample_id", "cluster_id")
 
 
+@query("WITH c AS (SELECT DISTINCT sample_id, cluster_id FROM decisions WHERE cluster_id IS NOT NULL AND sample_id IS NOT NULL), q AS (SELECT sample_id, max(width::BIGINT * height) AS area, max(CASE WHEN NOT isnan(blur_variance) THEN blur_variance END) AS sharpness, bool_or(is_corrupted) AS a, bool_or(has_watermark) AS b, bool_or(has_smearing) AS s, bool_or(low_resolution) AS l FROM quality_metrics GROUP BY 1), f AS (SELECT sample_id, min(filepath) AS filepath FROM samples GROUP BY 1) SELECT sample_id, cluster_id, row_number() OVER (PARTITION BY cluster_id ORDER BY coalesce(a, false), coalesce(b, false), coalesce(s, false), coalesce(l, false), coalesce(area, 0) DESC, coalesce(sharpness, 0) DESC, regexp_matches(lower(coalesce(filepath, '')), '\\.rf\\.|_aug|augmentation'), sample_id) AS place FROM c LEFT JOIN q USING (sample_id) LEFT JOIN f USING (sample_id)")
+def keep_ranking(spark, d):
+    """Members of clusters by all keys of the best copy."""
+    members = table(spark, d, "decisions").filter("cluster_id is not null and sample_id is not null").select("sample_id", "cluster_id").distinct()
+    facts = table(spark, d, "quality_metrics").groupBy("sample_id").agg(F.max(F.col("width").cast("long") * F.col("height")).alias("area"), F.max(F.when(~F.isnan("blur_variance"), F.col("blur_variance"))).alias("sharpness"), *(F.max(c).alias(c) for c in ("is_corrupted", "has_watermark", "has_smearing", "low_resolution")))
+    names = table(spark, d, "samples").groupBy("sample_id").agg(F.min("filepath").alias("filepath"))
+    own = members.join(facts, "sample_id", "left").join(names, "sample_id", "left")
+    return ranking.ranked(own.withColumn("r", representatives.keep_rank(own)), "cluster_id", "r").select("sample_id", "cluster_id", F.col("place").cast("long").alias("place"))
+
+
+@query("SELECT arg_min(sample_id, (width::BIGINT * height, sample_id)) AS smallest, arg_max(sample_id, (width::BIGINT * height, sample_id)) AS largest FROM quality_metrics WHERE width > 0 AND height > 0 AND sample_id IS NOT NULL")
+def quality_extremes(spark, d):
+    """Which samples have the smallest and the largest picture."""
+    own = table(spark, d, "quality_metrics").filter("width > 0 and height > 0 and sample_id is not null")
+    k = F.struct(F.col("width").cast("long") * F.col("height"), F.col("sample_id"))
+    return own.agg(F.min_by("sample_id", k).alias("smallest"), F.max_by("sample_id", k).alias("largest"))
+
+
 @query("SELECT reason, sample_id FROM (SELECT reason, sample_id, row_number() OVER (PARTITION BY reason ORDER BY sample_id) AS place FROM (SELECT DISTINCT reason, sample_id FROM decisions WHERE reason IS NOT NULL AND sample_id IS NOT NULL)) WHERE place <= 24")
 def examples_per_reason(spark, d):
     rows = table(spark, d, "decisions").filter("reason is not null and sample_id is not null").select("reason", "sample_id").distinct()
@@ -334,7 +358,17 @@ def families(spark, d):
     return duplicates.families(table(spark, d, "samples"), none)
 
 
-@query()
+_KEY = "regexp_replace(lower({}), '[\\s_-]+', '', 'g')"
+_NOTHING = str(tuple(tx.UNKNOWN))
+_FAMILIES = f"""own AS (SELECT DISTINCT sample_id, {_KEY.format('source_dataset')} AS s, {_KEY.format('capture_group')} AS k0, {_KEY.format('video_id')} AS k1, {_KEY.format('location')} AS k2, {_KEY.format('duplicate_cluster_id')} AS k9 FROM samples WHERE sample_id IS NOT NULL),
+keys AS (SELECT sample_id AS l, '~0|' || s || '|' || k0 AS r FROM own WHERE k0 NOT IN {_NOTHING} AND s NOT IN {_NOTHING} UNION SELECT sample_id, '~1|' || s || '|' || k1 FROM own WHERE k1 NOT IN {_NOTHING} AND s NOT IN {_NOTHING} UNION SELECT sample_id, '~2|' || s || '|' || k2 FROM own WHERE k2 NOT IN {_NOTHING} AND s NOT IN {_NOTHING} UNION SELECT sample_id, '~9|' || k9 FROM own WHERE k9 NOT IN {_NOTHING}
+  UNION SELECT a, b FROM (SELECT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b FROM duplicate_links WHERE left_id <> right_id GROUP BY 1, 2 HAVING NOT bool_or(coalesce(rejected, false)) AND bool_or(coalesce(level IN ('exact_bytes', 'exact_pixels', 'verified_visual', 'human_confirmed'), false))) WHERE a IN (SELECT sample_id FROM own) AND b IN (SELECT sample_id FROM own)),
+ends AS (SELECT l AS a, r AS b FROM keys UNION SELECT r, l FROM keys),
+walk(v, c) AS (SELECT DISTINCT a, a FROM ends WHERE a NOT LIKE '~%' UNION SELECT e.b, least(w.c, CASE WHEN e.b LIKE '~%' THEN w.c ELSE e.b END) FROM walk w JOIN ends e ON e.a = w.v),
+fam AS (SELECT o.sample_id, coalesce(min(w.c), o.sample_id) AS group_id FROM (SELECT DISTINCT sample_id FROM own) o LEFT JOIN walk w ON w.v = o.sample_id GROUP BY o.sample_id)"""
+
+
+@query(f"WITH RECURSIVE {_FAMILIES} SELECT sample_id, group_id FROM fam")
 def sample_families(spark, d):
     """Every sample with its family: all four keys and the links."""
     return duplicates.all_families(table(spark, d, "samples"), table(spark, d, "duplicate_links"))
@@ -354,9 +388,9 @@ def semantic_neighbours(spark, d):
     return found.select(F.col("query").alias("left"), F.col("other").alias("right"), F.round("similarity", 6).alias("similarity"))
 
 
-@query("SELECT a.vec_id AS left, b.vec_id AS right, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9")
+@query("SELECT a.vec_id AS left, b.vec_id AS right, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.4")
 def semantic_pairs(spark, d):
-    return duplicates.semantic_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", 0.9).select("left", "right", F.round("similarity", 6).alias("similarity"))
+    return duplicates.semantic_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", 0.4).select("left", "right", F.round("similarity", 6).alias("similarity"))
 
 
 _UNIT = "flat AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), n AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM flat GROUP BY 1), u AS (SELECT vec_id, label, i, x / n AS x FROM flat JOIN n USING (vec_id)), m AS (SELECT label, i, avg(x) AS c FROM u GROUP BY 1, 2), l AS (SELECT label, sqrt(sum(c * c)) AS l FROM m GROUP BY 1), cen AS (SELECT label, i, c / l AS c FROM m JOIN l USING (label)), dist AS (SELECT u.vec_id, u.label, cen.label AS other, 1 - sum(u.x * cen.c) AS d FROM u JOIN cen USING (i) GROUP BY 1, 2, 3)"
@@ -537,6 +571,25 @@ def group_allocation(spark, d):
     return splits.allocate(splits.group_table(rows), {"train": 0.8, "val": 0.1, "test": 0.1})
 
 
+@query("SELECT coalesce(source_label, '__unlabeled__') AS label, count(*) AS rows, true AS balanced FROM samples WHERE sample_id IS NOT NULL GROUP BY 1 UNION ALL SELECT NULL, 0, true")
+def allocation_balance(spark, d):
+    """Whether each split of group_allocation has its part of a label (within 1 % of its rows, two groups
+    and a row), and (label null) that no family was split."""
+    samples = table(spark, d, "samples")
+    families = stage(duplicates.all_families(samples, table(spark, d, "duplicate_links")), "families")
+    rows = stage(samples.join(families, "sample_id").select("sample_id", "group_id", F.col("source_label").alias("label")), "rows")
+    shares = {"train": 0.8, "val": 0.1, "test": 0.1}
+    got = stage(splits.allocate(splits.group_table(rows), shares), "allocation")
+    met = rows.join(got, "group_id").select("sample_id", "group_id", F.coalesce("label", F.lit("__unlabeled__")).alias("label"), "split")
+    per = met.groupBy("label", "group_id", "split").agg(F.count("*").alias("n"))
+    sums = per.groupBy("label").agg(F.sum("n").alias("rows"), F.max("n").alias("most"), *(F.sum(F.when(F.col("split") == k, F.col("n")).otherwise(0)).alias(k) for k in shares))
+    fine = F.lit(True)
+    for k, p in shares.items():
+        fine = fine & (F.abs(F.col(k) - p * F.col("rows")) <= 0.01 * F.col("rows") + 1 + 2 * F.col("most"))
+    torn = splits.split_groups(met, "group_id").agg(F.lit(None).cast("string").alias("label"), F.count("*").alias("rows"), (F.count("*") == 0).alias("balanced"))
+    return sums.select("label", "rows", fine.alias("balanced")).unionByName(torn)
+
+
 @query("SELECT sample_id, CASE regexp_extract(lower(filepath), '/(train|test|valid|val|validation)/', 1) WHEN 'validation' THEN 'valid' ELSE regexp_extract(lower(filepath), '/(train|test|valid|val|validation)/', 1) END AS split FROM samples")
 def split_from_path(spark, d):
     return table(spark, d, "samples").select("sample_id", tx.split_of_path(F.col("filepath")).alias("split"))
@@ -739,3 +792,27 @@ def report_rows(spark, d):
 @query("SELECT sample_id, confidence FROM (SELECT DISTINCT sample_id, confidence FROM decisions WHERE sample_id IS NOT NULL AND confidence IS NOT NULL) ORDER BY confidence DESC, sample_id")
 def sorted_decisions(spark, d):
     return table(spark, d, "decisions").filter("sample_id is not null and confidence is not null").select("sample_id", "confidence").distinct().orderBy(F.desc("confidence"), "sample_id")
+
+
+@query("SELECT sample_id, sha256(to_json([coalesce(lower(digest), ''), coalesce(source_dataset, ''), coalesce(filepath, '')])::VARCHAR) AS stable_id FROM (SELECT DISTINCT sample_id, source_dataset, filepath FROM samples WHERE sample_id IS NOT NULL) LEFT JOIN (SELECT sample_id, min(lower(trim(asset_sha256))) AS digest FROM quality_metrics WHERE trim(asset_sha256) <> '' GROUP BY 1) USING (sample_id)")
+def stable_identities(spark, d):
+    """A name of each asset that doesn't depend on when it was stored."""
+    digests = table(spark, d, "quality_metrics").filter(F.trim("asset_sha256") != "").groupBy("sample_id").agg(F.min(F.lower(F.trim("asset_sha256"))).alias("digest"))
+    own = table(spark, d, "samples").filter("sample_id is not null").select("sample_id", "source_dataset", "filepath").distinct().join(digests, "sample_id", "left")
+    return own.select("sample_id", duplicates.stable_identity(F.col("digest"), F.col("source_dataset"), F.col("filepath")).alias("stable_id"))
+
+
+_PATHS = "p AS (SELECT sample_id, list_filter(string_split(filepath, '/'), lambda x: x <> '') AS w FROM samples WHERE filepath IS NOT NULL), a AS (SELECT *, coalesce(list_position(list_transform(w, lambda x: lower(x) IN ('train', 'test', 'valid', 'val', 'validation')), true), 0) AS k FROM p), o AS (SELECT sample_id, CASE WHEN k > 0 AND k + 1 < len(w) THEN w[k + 1] WHEN k = 0 AND len(w) >= 3 THEN w[-2] END AS label FROM a)"
+
+
+@query(f"WITH {_PATHS} SELECT sample_id, CASE WHEN lower(label) NOT IN ('images', 'img', 'data', 'raw', 'labels', 'annotations', 'jpegimages', 'train', 'test', 'valid', 'val', 'validation') THEN label END AS label FROM o")
+def label_from_path(spark, d):
+    return table(spark, d, "samples").filter("filepath is not null").select("sample_id", tx.label_of_path(F.col("filepath")).alias("label"))
+
+
+@query("WITH g AS (SELECT l_orderkey, list_sort(list(DISTINCT replace(lower(l_returnflag), ' ', '_')) FILTER (l_discount + l_tax <= 1 + 1e-9 AND l_tax > 0)) AS labels, count(*) FILTER (l_discount + l_tax <= 1 + 1e-9 AND l_tax > 0) AS good, count(*) AS n FROM lineitem GROUP BY 1) SELECT l_orderkey, coalesce(labels, []) AS labels, CASE WHEN good > 0 THEN ['detection'] ELSE [] END AS tasks, CASE WHEN n > good THEN ['invalid_bbox'] ELSE [] END || CASE WHEN len(coalesce(labels, [])) = 0 THEN ['no_label'] ELSE [] END AS issues FROM g")
+def canonical_annotations(spark, d):
+    """Labels, tasks and faults of rows with boxes and no label of their own."""
+    boxes = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(tx.normal_label(F.col("l_returnflag")).alias("label"), F.array(F.col("l_discount"), F.lit(0.0), F.col("l_tax"), F.lit(0.5)).alias("bounding_box"))).alias("b"))
+    names, tasks, issues = labels.canonical_annotations(F.col("b"), F.lit(None).cast("string"))
+    return boxes.select("l_orderkey", names.alias("labels"), tasks.alias("tasks"), issues.alias("issues"))

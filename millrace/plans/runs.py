@@ -69,11 +69,25 @@ def latest_run(folder: str, name: str = "") -> str | None:
     return str(Path(folder) / max(runs)) if runs else None
 
 
-def preflight(raw: str, out: str, least_free_gb: float = 1.0) -> list[dict]:
-    """pass, warning or fail for what a run needs."""
+def workers(cores: int | None = None) -> int:
+    """Tasks at once on one machine: all cores but two, at least one."""
+    return max(1, (cores or os.cpu_count() or 1) - 2)
+
+
+def session_settings(cores: int | None = None, input_bytes: int = 0, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings of a local session for an input: its master, and shuffle partitions of bounded size."""
+    n = workers(cores)
+    return {"spark.master": f"local[{n}]", "spark.sql.shuffle.partitions": str(max(2 * n, -(-input_bytes // partition_bytes))), "spark.sql.adaptive.enabled": "true"}
+
+
+def preflight(raw: str, out: str, least_free_gb: float = 1.0, cache: str | None = None, accelerator: bool | None = None) -> list[dict]:
+    """pass, warning, fail or skipped for what a run needs."""
     checks = [{"check": "raw", "status": "pass" if os.path.isdir(raw) and any(os.scandir(raw)) else "fail"}]
-    parent = next((p for p in [Path(out), *Path(out).parents] if p.exists()), Path("/"))
-    checks.append({"check": "out", "status": "pass" if os.access(parent, os.W_OK) else "fail"})
-    free = shutil.disk_usage(parent).free / 1e9
+    there = lambda p: next((q for q in [Path(p), *Path(p).parents] if q.exists()), Path("/"))
+    for name, at in (("out", out), ("cache", cache)):
+        checks.append({"check": name, "status": "skipped" if at is None else "pass" if os.access(there(at), os.W_OK) else "fail"})
+    free = shutil.disk_usage(there(out)).free / 1e9
     checks.append({"check": "disk", "status": "pass" if free >= least_free_gb else "warning", "free_gb": round(free, 1)})
+    checks.append({"check": "database", "status": "skipped"})  # there is none: tables are files
+    checks.append({"check": "accelerator", "status": "skipped" if not accelerator else "pass" if os.path.exists("/dev/nvidia0") else "warning"})
     return checks
