@@ -165,15 +165,66 @@ def all_families(samples: DataFrame, links: DataFrame) -> DataFrame:
     return ids.join(parts, "sample_id", "left").select("sample_id", F.coalesce("component", "sample_id").alias("group_id"))
 
 
-def mislabelled(vectors: DataFrame, centre: DataFrame, key: str, label: str, vector: str, margin: float = 0.05) -> DataFrame:
+def mislabelled(vectors: DataFrame, centre: DataFrame, key: str, label: str, vector: str, margin: float = 0.05, block_bytes: int = 64 << 20) -> DataFrame:
     """Vectors whose own class centre is farther than another one by more than ``margin``.
 
-    ``centre`` is centroids(...): as many rows as classes times dimensions. The classes' number is
-    bounded by the label list, so the long form is broadcast and meets vectors by dimension.
+    ``centre`` is centroids(...): (label, i, c). Centres are broadcast as matrices of at most
+    ``block_bytes``, as many as it takes, and vectors meet each as a matrix product where they lie. With
+    one matrix nothing is shuffled; with several, the least distance over all of them counts. Zero
+    vectors, vectors of another length than the centres and those without a label have no distance.
     """
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    flat = vectors.filter(F.col(label).isNotNull()).withColumn("_n", norm).filter("_n > 0").select(key, label, "_n", F.posexplode(vector).alias("i", "x"))
-    dot = flat.join(centre.select(F.col(label).alias("other"), "i", "c"), "i").groupBy(key, label, "other").agg((1 - F.sum(F.col("x").cast("double") / F.col("_n") * F.col("c"))).alias("d"))
-    own = F.min(F.when(F.col("other") == F.col(label), F.col("d")))
-    out = dot.groupBy(key, label).agg(own.alias("own"), F.min(F.when(F.col("other") != F.col(label), F.struct("d", "other"))).alias("o"))
-    return out.filter(F.col("own") > F.col("o.d") + margin).select(key, label, F.col("o.other").alias("nearer"), F.round("own", 6).alias("own_distance"), F.round("o.d", 6).alias("nearer_distance"))
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    spark = vectors.sparkSession
+    kinds = {c: vectors.schema[c].dataType.simpleString() for c in (key, label)}
+    rows = centre.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("i", "c"))).alias("v")).orderBy(label)
+    blocks: list[tuple[list, np.ndarray]] = []
+    names, held, size = [], [], 0
+    for r in rows.toLocalIterator():
+        names.append(r[label])
+        held.append([x["c"] for x in r["v"]])
+        size += 8 * len(held[-1])
+        if size >= block_bytes:
+            blocks.append((names, np.array(held, np.float64)))
+            names, held, size = [], [], 0
+    if held:
+        blocks.append((names, np.array(held, np.float64)))
+    schema = f"key {kinds[key]}, label {kinds[label]}, own double, d double, other {kinds[label]}"
+    empty = spark.createDataFrame([], schema)
+
+    def against(shared) -> DataFrame:  # noqa: ANN001
+        def run(batches):
+            names, centres = shared.value
+            at = {n: i for i, n in enumerate(names)}
+            for batch in batches:
+                lengths = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(lengths == centres.shape[1]))
+                if not batch.num_rows:
+                    continue
+                x = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+                n = np.linalg.norm(x, axis=1)
+                fine = n > 0
+                batch, x = batch.filter(pa.array(fine)), x[fine] / n[fine, None]
+                d = 1 - x @ centres.T
+                mine = np.array([at.get(v, -1) for v in batch.column(1).to_pylist()], dtype=int)
+                i = np.arange(len(x))
+                own = np.where(mine >= 0, d[i, np.maximum(mine, 0)], np.nan)
+                d[i[mine >= 0], mine[mine >= 0]] = np.inf
+                best = d.argmin(axis=1) if d.shape[1] else np.zeros(len(x), int)
+                least = d[i, best]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(own, mask=mine < 0), pa.array(least, mask=~np.isfinite(least)), pa.array(names).cast(batch.column(1).type).take(pa.array(best))],
+                    ["key", "label", "own", "d", "other"],
+                )
+
+        return vectors.filter(F.col(label).isNotNull()).select(key, label, vector).mapInArrow(run, schema)
+
+    found = [against(spark.sparkContext.broadcast(b)) for b in blocks] or [empty]
+    out = found[0]
+    if len(found) > 1:
+        for part in found[1:]:
+            out = out.unionByName(part)
+        out = out.groupBy("key", "label").agg(F.min("own").alias("own"), F.min(F.when(F.col("d").isNotNull(), F.struct("d", "other"))).alias("o")).select("key", "label", "own", "o.d", "o.other")
+    far = out.filter(F.col("own") > F.col("d") + margin)
+    return far.select(F.col("key").alias(key), F.col("label").alias(label), F.col("other").alias("nearer"), F.round("own", 6).alias("own_distance"), F.round("d", 6).alias("nearer_distance"))

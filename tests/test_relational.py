@@ -315,3 +315,15 @@ def test_nan_is_unknown(spark):
     df = spark.createDataFrame([(float("nan"), 2.0), (None, None)], "a double, b double")
     assert [r[0] for r in df.select(rel.first_known(F.col("a"), F.col("b"), default=-1)).collect()] == [2.0, -1.0]
     assert not math.isnan(-1.0)
+
+
+@pytest.mark.parametrize("block_bytes", [64 << 20, 1])
+def test_mislabelled_vectors(spark, block_bytes):
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((4, 8))
+    rows = [(i, int(i % 4), [float(v) for v in centres[i % 4] + 0.05 * rng.standard_normal(8)]) for i in range(80)]
+    rows += [(100, 0, [float(v) for v in centres[3]]), (101, None, [1.0] * 8), (102, 1, [0.0] * 8), (103, 1, None), (104, 1, [1.0])]
+    df = spark.createDataFrame(rows, "id long, label int, v array<double>")
+    got = duplicates.mislabelled(df, agg.centroids(df.filter("size(v) = 8"), "label", "v"), "id", "label", "v", block_bytes=block_bytes).collect()
+    assert [(r.id, r.label, r.nearer) for r in got] == [(100, 0, 3)]
+    assert duplicates.mislabelled(df.limit(0), agg.centroids(df.limit(0), "label", "v"), "id", "label", "v").count() == 0
