@@ -101,6 +101,46 @@ def replace_edges(edges: DataFrame, method: str, new: DataFrame) -> DataFrame:
     return edges.filter(F.col("method").isNull() | (F.col("method") != method)).unionByName(new.filter(F.col("method") == method), allowMissingColumns=True)
 
 
+def with_assets(edges: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Edges with the digests that both ends had when they were found (``left_asset``, ``right_asset``)."""
+    of = metrics.filter("sample_id is not null and trim(asset_sha256) <> ''").groupBy("sample_id").agg(F.min(F.lower(F.trim("asset_sha256"))).alias("asset"))
+    out = edges
+    for side in ("left", "right"):
+        out = out.join(of.select(F.col("sample_id").alias(side), F.col("asset").alias(f"{side}_asset")), side, "left")
+    return out
+
+
+def with_metadata(samples: DataFrame, sources: DataFrame, raw: str) -> DataFrame:
+    """samples(sample_id, filepath) with what their path and their source's record say, and the first
+    decision of each (kept). sources(source_dataset, format, version, license, ...)."""
+    from millrace.functions.text import label_of_path, normal_label, split_of_path
+
+    inner = F.regexp_replace("filepath", "^" + raw.rstrip("/") + "/", "")
+    first = F.split(inner, "/")[0]
+    own = samples.select("*", inner.alias("source_path"), first.alias("source_dataset"), split_of_path(inner).alias("source_split"))
+    known = [c for c in ("format", "version", "license", "homepage", "citation", "sensor", "geography") if c in sources.columns]
+    met = own.join(sources.select("source_dataset", *(F.col(c).alias(f"_{c}") for c in known)).dropDuplicates(["source_dataset"]), "source_dataset", "left")
+    of = lambda c, default: F.coalesce(F.nullif(F.col(f"_{c}").cast("string"), F.lit("")), F.lit(default)) if c in known else F.lit(default)
+    label = F.when(of("format", "unknown") == "tree", F.coalesce(label_of_path(inner), F.lit(""))).otherwise("")
+    fields = {"source_format": of("format", "unknown"), "source_label": label, "normalized_label": normal_label(label), "source_version": of("version", "unknown"), "source_license": of("license", "unknown"), "source_url": of("homepage", ""), "source_citation": of("citation", ""), "source_sensor": of("sensor", "RGB"), "source_geography": of("geography", "")}
+    decision = {"status": F.lit("kept"), "phase": F.lit("ingestion"), "reason": F.lit("accepted_on_ingest"), "confidence": F.lit(1.0), "keep_reason": F.lit("initial_candidate"), "cluster_id": F.lit("")}
+    return met.select(*own.columns, *(v.alias(c) for c, v in (fields | decision).items()))
+
+
+def backfilled(df: DataFrame, nested: str, schema: dict[str, str]) -> DataFrame:
+    """Flat columns declared by ``schema``, filled from those of a nested column where they are missing
+    or null; numbers that are NaN count as missing."""
+    inner = {f.name for f in df.schema[nested].dataType.fields} if nested in df.columns else set()
+    out = df
+    for name, kind in schema.items():
+        flat = F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+        deep = F.col(f"{nested}.{name}").cast(kind) if name in inner else F.lit(None).cast(kind)
+        if kind in ("double", "float"):
+            flat, deep = (F.when(~F.isnan(c), c) for c in (flat, deep))
+        out = out.withColumn(name, F.coalesce(flat, deep))
+    return out
+
+
 def pair_sources(pairs: DataFrame, samples: DataFrame) -> DataFrame:
     """Pairs (left, right) with the source of each end."""
     of = samples.select("sample_id", "source_dataset").dropDuplicates(["sample_id"])

@@ -158,3 +158,35 @@ def crossing_pairs(pairs: DataFrame, splits: DataFrame) -> DataFrame:
     a = splits.select(F.col("sample_id").alias("left"), F.col("split").alias("left_split"))
     b = splits.select(F.col("sample_id").alias("right"), F.col("split").alias("right_split"))
     return pairs.join(a, "left").join(b, "right").filter("left_split <> right_split")
+
+
+SPLIT_TAGS = ("train", "val", "test")
+
+
+def partition(samples: DataFrame, families: DataFrame, proportions: dict[str, float], label: str = "normalized_label") -> DataFrame:
+    """samples with ``split_group_id``, ``assigned_split`` and the split among their tags.
+
+    families(sample_id, group_id) are of all samples, so that removed ones still tie what they tied;
+    only kept samples get a split. A group in two splits would be an error.
+    """
+    tied = stage(samples.join(families.select("sample_id", F.col("group_id").alias("split_group_id")), "sample_id", "left").withColumn("split_group_id", F.coalesce("split_group_id", "sample_id")), "tied")
+    kept = tied.filter("lower(status) = 'kept'").select("sample_id", "split_group_id", label)
+    groups = group_table(kept, "split_group_id", label)
+    got = stage(allocate(groups, proportions), "allocation")
+    assigned = kept.select("sample_id", "split_group_id").distinct().join(got.select(F.col("group_id").alias("split_group_id"), F.col("split").alias("assigned_split")), "split_group_id").select("sample_id", "assigned_split")
+    if not split_groups(assigned.join(tied.select("sample_id", "split_group_id").distinct(), "sample_id").withColumnRenamed("assigned_split", "split"), "split_group_id").isEmpty():
+        raise ValueError("a group lies in several splits")
+    out = tied.drop("assigned_split").join(assigned, "sample_id", "left")
+    tags = F.array_except(F.coalesce("tags", F.array().cast("array<string>")), F.array(*map(F.lit, SPLIT_TAGS)))
+    return out.withColumn("tags", F.array_sort(F.array_compact(F.concat(tags, F.array("assigned_split")))))
+
+
+def reconcile_samples(samples: DataFrame, pairs: DataFrame) -> DataFrame:
+    """samples whose split groups are united by newly confirmed pairs(left, right) of samples: all groups
+    of a component take the first of their splits in the order train, val, test."""
+    of = samples.filter("assigned_split is not null").select("sample_id", "split_group_id").distinct()
+    met = pairs.join(of.select(F.col("sample_id").alias("left"), F.col("split_group_id").alias("a")), "left").join(of.select(F.col("sample_id").alias("right"), F.col("split_group_id").alias("b")), "right")
+    assigned = samples.filter("assigned_split is not null").select(F.col("split_group_id").alias("group_id"), F.col("assigned_split").alias("split")).distinct()
+    new = reconcile(assigned, met.filter("a <> b").select(F.col("a").alias("left"), F.col("b").alias("right")))
+    out = samples.join(new.select(F.col("group_id").alias("split_group_id"), F.col("split").alias("_new")).distinct(), "split_group_id", "left")
+    return out.withColumn("assigned_split", F.when(F.col("assigned_split").isNotNull(), F.coalesce("_new", "assigned_split"))).drop("_new").select(*samples.columns)

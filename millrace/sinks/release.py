@@ -287,6 +287,20 @@ def export(samples: DataFrame, target: str, formats: Sequence[str] = ("manifest"
     return summary
 
 
+def curation_report(samples: DataFrame, title: str = "Curation", pairs: DataFrame | None = None) -> str:
+    """An HTML page: statuses, sources, labels, reasons, class weights, and sources that share duplicates.
+    Only aggregates reach the driver."""
+    from millrace.operators import aggregates as agg
+    from millrace.sinks.export import report_html
+
+    tables = {"Statuses": agg.counts(samples, F.lower("status").alias("status")), "Sources": agg.status_pivot(samples, "source_dataset"), "Share removed": agg.drop_rates(samples, "source_dataset"), "Reasons": agg.top_reasons(samples)}
+    if "normalized_label" in samples.columns:
+        tables |= {"Labels": agg.label_sources(samples, "normalized_label", "source_dataset"), "Class weights": agg.class_weights(samples.filter("lower(status) = 'kept'"), "normalized_label")}
+    if pairs is not None:
+        tables["Sources that share duplicates"] = agg.contamination(rel.pair_sources(pairs, samples))
+    return report_html(title, tables)
+
+
 # releases
 
 #: Labels that decide the condition in the public list.
