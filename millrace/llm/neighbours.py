@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -137,11 +138,24 @@ def _dense(batch: pa.RecordBatch, size: int) -> np.ndarray:
     return x
 
 
-def _edges(a: np.ndarray, b: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float32())], ["cid", "nbr", "sim"])
+GRAPH = "cid bigint, nbr array<bigint>, sim array<float>, new array<boolean>"
+
+
+def _lists(cid: np.ndarray, nbr: np.ndarray, sim: np.ndarray, new: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Edges in the order of cid as GRAPH rows: one row a class costs Spark far less than one an edge."""
+    if not len(cid):
+        return
+    first = np.concatenate([[0], np.flatnonzero(np.diff(cid)) + 1])
+    offsets = pa.array(np.concatenate([first, [len(cid)]]).astype(np.int32))
+    whole = pa.RecordBatch.from_arrays([pa.array(cid[first], pa.int64()), *(pa.ListArray.from_arrays(offsets, pa.array(x, t)) for x, t in ((nbr, pa.int64()), (sim, pa.float32()), (new, pa.bool_())))], ["cid", "nbr", "sim", "new"])
+    for at in range(0, whole.num_rows, 10_000):
+        yield whole.slice(at, 10_000)
 
 
-EDGE = "cid bigint, nbr bigint, sim float"
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """GRAPH rows as edges (cid, nbr, sim, new)."""
+    n = pc.list_value_length(batch.column("nbr")).to_numpy(zero_copy_only=False)
+    return np.repeat(batch.column("cid").to_numpy(), n), *(batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("nbr", "sim", "new"))
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -155,15 +169,14 @@ def window_graph(classes: DataFrame, code: str, k: int, size: int, window: int)
         held: list[pa.RecordBatch] = []
         n = 0
 
-        def compare(part: pa.RecordBatch) -> pa.RecordBatch:
+        def compare(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             ids, x = part.column("cid").to_numpy(), _dense(part, size)
             s = x @ x.T
             np.fill_diagonal(s, -2)
             m = min(k, len(ids) - 1)
-            if m < 1:
-                return _edges(ids[:0], ids[:0], s[:0, 0])
-            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            return _edges(np.repeat(ids, m), ids[top].ravel(), np.take_along_axis(s, top, 1).ravel())
+            if m > 0:
+                top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+                yield from _lists(np.repeat(ids, m), ids[top].ravel(), np.take_along_axis(s, top, 1).ravel(), np.ones(len(ids) * m, bool))
 
         for batch in batches:
             held.append(batch)
@@ -172,42 +185,33 @@ def window_graph(classes: DataFrame, code: str, k: int, size: int, window: int)
                 whole = _joined(held)
                 at = 0
                 while whole.num_rows - at >= 2 * window:
-                    yield compare(whole.slice(at, window))
+                    yield from compare(whole.slice(at, window))
                     at += window
                 held, n = [whole.slice(at)], whole.num_rows - at
         if n:
             whole = _joined(held)
             half = -(-n // 2) if n > window else n
             for at in range(0, n, half):
-                yield compare(whole.slice(at, half))
+                yield from compare(whole.slice(at, half))
 
-    return classes.select("cid", "idx", "val", code).repartitionByRange(code).sortWithinPartitions(code, "cid").drop(code).mapInArrow(run, EDGE)
+    return classes.select("cid", "idx", "val", code).repartitionByRange(code).sortWithinPartitions(code, "cid").drop(code).mapInArrow(run, GRAPH)
 
 
-GRAPH = "cid bigint, nbr array<bigint>, sim array<float>, new array<boolean>"
-
-
-def best(edges: DataFrame, k: int) -> DataFrame:
-    """edges(cid, nbr, sim, new) -> the k best of each class as one row, best first."""
+def best(lists: DataFrame, k: int) -> DataFrame:
+    """GRAPH rows, several a class -> the k best of each class as one row, best first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
         for batch in batches:
-            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("cid", "nbr", "sim", "new")))
-            n += batch.num_rows
+            held.append(tuple(x.copy() for x in _flat(batch)))
+            n += len(held[-1][0])
             if n > 3_000_000:  # what is held stays bounded by the classes of the partition
                 held, n = [_reduced(held, k)], 0
-        if not held:
-            return
-        cid, nbr, sim, new = _reduced(held, k)
-        first = np.concatenate([[0], np.flatnonzero(np.diff(cid)) + 1])
-        offsets = np.concatenate([first, [len(cid)]]).astype(np.int32)
-        whole = pa.RecordBatch.from_arrays([pa.array(cid[first]), *(pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (nbr, sim, new))], ["cid", "nbr", "sim", "new"])
-        for at in range(0, whole.num_rows, 10_000):
-            yield whole.slice(at, 10_000)
+        if held:
+            yield from _lists(*_reduced(held, k))
 
-    return edges.repartition("cid").select("cid", "nbr", "sim", "new").mapInArrow(run, GRAPH)
+    return lists.select("cid", "nbr", "sim", "new").repartition("cid").mapInArrow(run, GRAPH)
 
 
 def _reduced(held: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
@@ -260,9 +264,7 @@ def local_join(circles: DataFrame, size: int, k: int, part: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal out, n
             if out:
-                cid, nbr, sim, _ = _reduced(out, k)
-                for at in range(0, len(cid), 100_000):
-                    yield _edges(cid[at : at + 100_000], nbr[at : at + 100_000], sim[at : at + 100_000])
+                yield from _lists(*_reduced(out, k))
             out, n = [], 0
 
         waiting = 0
@@ -287,11 +289,11 @@ def local_join(circles: DataFrame, size: int, k: int, part: int) -> DataFrame:
             compare(_joined(held))
         yield from flush()
 
-    return circles.mapInArrow(run, EDGE)
+    return circles.mapInArrow(run, GRAPH)
 
 
 def descend(graph: DataFrame, classes: DataFrame, k: int, size: int, sample: int, part: int = 64, hub: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """One round: (candidate edges, the edges of the graph with those that were sampled marked as old)."""
+    """One round: (candidates, the graph with the edges that were sampled marked as old), as GRAPH rows."""
     pairs = F.arrays_zip("nbr", "sim", "new")
     fresh = F.slice(F.filter(pairs, lambda e: e["new"]), 1, sample)
     known = F.slice(F.filter(pairs, lambda e: ~e["new"]), 1, sample)
@@ -306,11 +308,12 @@ def descend(graph: DataFrame, classes: DataFrame, k: int, size: int, sample: int
     vectors = classes.select(F.col("cid").alias("member"), "idx", "val").join(graph.select(F.col("cid").alias("member"), worst.alias("worst")), "member", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
     met = circles.join(vectors, "member").repartition("center", "salt").sortWithinPartitions("center", "salt")
     used = F.transform(fresh, lambda e: e["nbr"])
-    marked = graph.withColumn("used", used).select("cid", "used", F.inline(pairs)).select("cid", "nbr", "sim", (F.col("new") & ~F.array_contains("used", F.col("nbr"))).alias("new"))
+    still = F.transform(F.arrays_zip("nbr", "new"), lambda e: e["new"] & ~F.array_contains("used", e["nbr"]))
+    marked = graph.withColumn("used", used).select("cid", "nbr", "sim", still.alias("new"))
     return local_join(met.select("center", "salt", "member", "new", "own", "worst", "idx", "val"), size, k, part), marked
 
 
-def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 12, window: int = 512, sample: int = 14, rounds: int = 5, seed: int = 7141) -> tuple[DataFrame, DataFrame, DataFrame]:
+def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 24, window: int = 512, sample: int = 14, rounds: int = 2, seed: int = 7141) -> tuple[DataFrame, DataFrame, DataFrame]:
     """vectors(id, v) -> (members(id, cid), classes(cid, idx, val, code0, ...), graph(cid, nbr, sim)), staged."""
     coded = stage(encode(vectors, size, orders, seed), "coded")
     codes = [f"code{o}" for o in range(orders)]
@@ -322,10 +325,10 @@ def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: in
     for c in codes:
         part = window_graph(classes, c, k, size, window)
         found = part if found is None else found.unionByName(part)
-    graph = stage(best(found.withColumn("new", F.lit(True)), k), "graph")
+    graph = stage(best(found, k), "graph")
     for _ in range(rounds):
         better, marked = descend(graph, classes, k, size, sample)
-        following = stage(best(better.withColumn("new", F.lit(True)).unionByName(marked), k), "graph")
+        following = stage(best(better.unionByName(marked), k), "graph")
         drop(graph)
         graph = following
         entries, fresh = graph.agg(F.sum(F.size("nbr")), F.sum(F.size(F.filter("new", lambda x: x)))).first()
@@ -359,8 +362,8 @@ def nearest_pairs(members: DataFrame, graph: DataFrame, k: int = 20, least: floa
 def search(queries: DataFrame, members: DataFrame, classes: DataFrame, graph: DataFrame, k: int = 20, size: int = 512, beam: int | None = None, entries: int = 512, window: int = 512, seed: int = 7141) -> DataFrame:
     """queries(id, v) -> (id, neighbour, cosine): greedy search along the graph.
 
-    Each query starts from the best of the classes next to it in the orders of the graph that need
-    no mean (some ``window`` in each), and of ``entries`` classes picked by hash (a bounded number,
+    Each query starts from the best of the classes next to it in those of the first twelve orders of the
+    graph that need no mean (some ``window`` in each), and of ``entries`` classes picked by hash (a bounded number,
     which is broadcast). In each round the beam of its best classes is widened by their neighbours,
     until all classes of all beams have been widened. A class that left a beam never comes back, so
     the rounds end. The beam grows with the square root of the classes, unless it is given; ``seed``
@@ -374,7 +377,7 @@ def search(queries: DataFrame, members: DataFrame, classes: DataFrame, graph: Da
     beam_of = lambda df: df.withColumn("place", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "cid"))).filter(F.col("place") <= beam).drop("place")
     picked = classes.orderBy(F.xxhash64("cid")).limit(entries).select("cid", "idx", "val")
     starts = _scored(vectors.crossJoin(F.broadcast(picked)), kind, size)
-    for c in codes:
+    for c in codes[:12]:
         if int(c[4:]) % 4:
             starts = starts.unionByName(_beside(asked, classes, c, kind, size, window, beam))
     held = stage(beam_of(starts.groupBy("q", "cid").agg(F.max("sim").alias("sim"))).withColumn("open", F.lit(True)), "beam")
