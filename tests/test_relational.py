@@ -206,7 +206,7 @@ def test_merge_keeps_reasons_for_review(spark):
     current = spark.createDataFrame([("a", "review", "quality", "blur", ["old"]), ("b", "kept", "quality", "ok", []), ("c", "kept", "quality", "ok", None)], schema)
     new = spark.createDataFrame([("a", "kept", "dups", "fine", []), ("b", "removed", "dups", "copy", None)], schema)
     got = {r.sample_id: (r.status, r.review_reasons) for r in decisions.merge(current, new).collect()}
-    assert got == {"a": ("review", ["blur", "old"]), "b": ("removed", []), "c": ("kept", [])}
+    assert got == {"a": ("review", ["blur", "fine", "old"]), "b": ("removed", []), "c": ("kept", [])}
 
 
 P = {"train": 0.8, "val": 0.1, "test": 0.1}
