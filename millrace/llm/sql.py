@@ -116,3 +116,11 @@ held AS (SELECT DISTINCT regexp_extract(filename, '([^/]+?)(\\.[A-Za-z0-9]+)?\\s
   CASE WHEN lower(trim(split)) IN ('val', 'valid', 'validation') THEN 'val' WHEN lower(trim(split)) IN ('test', 'testing', 'test_unannotated') THEN 'test' END AS split FROM labels)
 SELECT split, source_dataset, count(*) AS samples, count(c) AS leaked, round(sum(coalesce(c, 0)) / count(*), 6) AS coverage FROM held LEFT JOIN best USING (e_id) WHERE split IS NOT NULL AND e_id <> '' GROUP BY 1, 2
 """
+
+SQL["p9_found"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all(lower(strip_accents(item_text)), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE item_text IS NOT NULL AND item_id IS NOT NULL),
+dw AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[k:k + 9], ' ') FOR k IN range(1, len(w) - 8)]) AS g FROM d WHERE len(w) >= 10),
+iw AS (SELECT DISTINCT item_id, unnest([array_to_string(w[k:k + 9], ' ') FOR k IN range(1, len(w) - 8)]) AS g FROM i WHERE len(w) >= 10)
+SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (g)
+"""
