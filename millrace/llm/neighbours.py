@@ -6,13 +6,16 @@ Start. Each class gets ``orders`` sort keys in which similar classes are likely
 every fourth order the bits of random hyperplanes, in the others the dimensions that come first in a
 consistent random draw in proportion to their squared values (which suits sparse histograms). Runs
 of ``window`` consecutive classes of an order are compared with each other; that gives the first
-graph of ``k`` neighbours.
+graph of ``k`` neighbours. One order follows another: a class takes its vector and its list along,
+so the disk never holds more than one order's shuffle.
 
 Descent. A round joins neighbours of neighbours: each class is the centre of its nearest
 ``sample`` new and old neighbours and of those that have it as such a neighbour; the vectors of a
 centre's circle meet in one place, and pairs of which one is new are compared. What is better than
 the worst of a member's list enters it. Circles of hubs are split by hash into parts of bounded
-length, each of which meets all of the hub's own neighbours. Neighbours that were not sampled stay
+length, each of which meets all of the hub's own neighbours. Circles meet slice by slice, by hash of
+the centre, and what a slice finds enters the lists before the next one; all start from the round's
+first lists, so slices bound the disk and leave no pair out. Neighbours that were not sampled stay
 new for the next round. Rounds end after ``rounds``, or if fewer than one in a thousand entries
 changed.
 
@@ -26,20 +29,29 @@ vectors give no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.storage import drop, stage
+from millrace import storage
+from millrace.storage import drop
 
 BITS = 60
 
 
+def stage(df: DataFrame, what: str) -> DataFrame:
+    """As ``storage.stage``, but small; its shuffles leave no files behind."""
+    with storage.tidy(df.sparkSession):
+        return storage.stage(df, what, "zstd")
+
+
 def usable(rows: DataFrame, key: str, vector: str, size: int, latest: str | None = None) -> DataFrame:
     """(id, v): one usable vector of each id."""
     v = F.col(vector).cast("array<double>")
@@ -70,15 +82,12 @@ def _draw(x: np.ndarray, seed: int) -> np.ndarray:
     return code
 
 
-def encode(vectors: DataFrame, size: int, orders: int, seed: int) -> DataFrame:
-    """(id, key, idx, val, code0, ...): unit vectors without their zeros, and their places in the orders."""
-    middle = vectors.sparkSession.sparkContext.broadcast(_mean(vectors, size))
+def encode(vectors: DataFrame, size: int) -> DataFrame:
+    """(id, key, idx, val): unit vectors without their zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        planes = {o: _planes(size, seed + o) for o in range(0, orders, 4)}
-        weights = (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)).astype(np.int64)
         for whole in batches:
             for part in range(0, whole.num_rows, 2000):
                 batch = whole.slice(part, 2000)
@@ -89,29 +98,50 @@ def encode(vectors: DataFrame, size: int, orders: int, seed: int) -> DataFrame:
                 x = x.astype(np.float32)
                 row, idx = np.nonzero(x)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(x)))]).astype(np.int32)
-                codes = [((x - middle.value) @ planes[o] > 0) @ weights if o in planes else _draw(x, seed + 2 * o + 1) for o in range(orders)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(keys, pa.binary()), _packed(offsets, idx.astype(np.uint16)), _packed(offsets, x[row, idx]), *(pa.array(c) for c in codes)],
-                    ["id", "key", "idx", "val", *(f"code{o}" for o in range(orders))],
+                    [batch.column("id"), pa.array(keys, pa.binary()), _packed(offsets, idx.astype(np.uint16)), _packed(offsets, x[row, idx])],
+                    ["id", "key", "idx", "val"],
                 )
 
-    kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"id {kind}, key binary, idx binary, val binary" + "".join(f", code{o} bigint" for o in range(orders)))
+    return vectors.mapInArrow(run, f"id {vectors.schema['id'].dataType.simpleString()}, key binary, idx binary, val binary")
+
+
+def _places(order: int, size: int, seed: int, middle: np.ndarray | None) -> Callable[[np.ndarray], np.ndarray]:
+    """What gives unit vectors their places in an order; every fourth one needs the mean."""
+    if order % 4:
+        return lambda x: _draw(x, seed + 2 * order + 1)
+    planes = _planes(size, seed + order)
+    weights = (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)).astype(np.int64)
+    return lambda x: ((x - middle) @ planes > 0) @ weights
+
+
+def coded(rows: DataFrame, size: int, orders: list[int], seed: int, middle: Broadcast | None = None) -> DataFrame:
+    """rows(..., idx, val) with their places in some orders as code0, ..."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = [_places(o, size, seed, middle and middle.value) for o in orders]
+        for whole in batches:
+            for part in range(0, whole.num_rows, 2000):
+                batch = whole.slice(part, 2000)
+                x = _dense(batch, size)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p(x), pa.int64()) for p in places)], [*batch.schema.names, *(f"code{o}" for o in orders)])
+
+    return rows.mapInArrow(run, ", ".join([*(f"{c} {t}" for c, t in rows.dtypes), *(f"code{o} bigint" for o in orders)]))
 
 
-def _mean(vectors: DataFrame, size: int) -> np.ndarray:
+def _mean(encoded: DataFrame, size: int) -> np.ndarray:
     """The mean of all unit vectors; what goes to the driver has ``size`` numbers a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(size), 0
         for batch in batches:
-            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
-            x = x / np.abs(x).max(axis=1, keepdims=True)
-            total += (x / np.linalg.norm(x, axis=1, keepdims=True)).sum(axis=0)
-            n += len(x)
+            if batch.num_rows:
+                total += np.bincount(_unpacked(batch.column("idx"), np.uint16)[0], _unpacked(batch.column("val"), np.float32)[0], size)
+                n += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(total), pa.array([n] * size, pa.int64())], ["i", "s", "n"])
 
-    rows = vectors.select("v").mapInArrow(run, "i int, s double, n bigint").groupBy("i").agg((F.sum("s") / F.greatest(F.sum("n"), F.lit(1))).alias("m")).collect()
+    with storage.tidy(encoded.sparkSession):
+        rows = encoded.select("idx", "val").mapInArrow(run, "i int, s double, n bigint").groupBy("i").agg((F.sum("s") / F.greatest(F.sum("n"), F.lit(1))).alias("m")).collect()
     out = np.zeros(size, np.float32)
     for r in rows:
         out[r.i] = r.m
@@ -162,21 +192,34 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0] if len(batches) > 1 else batches[0]
 
 
-def window_graph(classes: DataFrame, code: str, k: int, size: int, window: int) -> DataFrame:
-    """The best ``k`` within runs of ``window`` consecutive classes in one order."""
+def window_pass(rows: DataFrame, k: int, size: int, window: int, seed: int, then: int, middle: Broadcast) -> DataFrame:
+    """rows(cid, idx, val, nbr, sim, code) -> the same rows: the lists also have the best ``k`` within runs of
+    ``window`` consecutive classes of the order in ``code``, and ``code`` has the places in the order ``then``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         n = 0
+        places = _places(then, size, seed, middle.value)
 
-        def compare(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        def compare(part: pa.RecordBatch) -> pa.RecordBatch:
             ids, x = part.column("cid").to_numpy(), _dense(part, size)
             s = x @ x.T
             np.fill_diagonal(s, -2)
             m = min(k, len(ids) - 1)
-            if m > 0:
-                top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                yield from _lists(np.repeat(ids, m), ids[top].ravel(), np.take_along_axis(s, top, 1).ravel(), np.ones(len(ids) * m, bool))
+            top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m else np.zeros((len(ids), 0), np.int64)
+            many = pc.list_value_length(part.column("nbr")).to_numpy(zero_copy_only=False)
+            here = np.arange(k) < many[:, None]
+            nbr, sim = np.full((len(ids), k), -1, np.int64), np.full((len(ids), k), -np.inf, np.float32)
+            nbr[here], sim[here] = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("nbr", "sim"))
+            found, near = ids[top], np.take_along_axis(s, top, 1)
+            near[(found[:, :, None] == nbr[:, None, :]).any(axis=2)] = -np.inf
+            nbr, sim = np.concatenate([nbr, found], axis=1), np.concatenate([sim, near], axis=1)
+            order = np.lexsort((nbr, -sim), axis=1)[:, :k]
+            nbr, sim = np.take_along_axis(nbr, order, 1), np.take_along_axis(sim, order, 1)
+            kept = sim > -np.inf
+            offsets = pa.array(np.concatenate([[0], np.cumsum(kept.sum(axis=1))]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(c[kept])) for c in (nbr, sim)]
+            return pa.RecordBatch.from_arrays([*(part.column(c) for c in ("cid", "idx", "val")), *lists, pa.array(places(x), pa.int64())], ["cid", "idx", "val", "nbr", "sim", "code"])
 
         for batch in batches:
             held.append(batch)
@@ -185,16 +228,16 @@ def window_graph(classes: DataFrame, code: str, k: int, size: int, window: int)
                 whole = _joined(held)
                 at = 0
                 while whole.num_rows - at >= 2 * window:
-                    yield from compare(whole.slice(at, window))
+                    yield compare(whole.slice(at, window))
                     at += window
                 held, n = [whole.slice(at)], whole.num_rows - at
         if n:
             whole = _joined(held)
             half = -(-n // 2) if n > window else n
             for at in range(0, n, half):
-                yield from compare(whole.slice(at, half))
+                yield compare(whole.slice(at, half))
 
-    return classes.select("cid", "idx", "val", code).repartitionByRange(code).sortWithinPartitions(code, "cid").drop(code).mapInArrow(run, GRAPH)
+    return rows.repartitionByRange("code").sortWithinPartitions("code", "cid").mapInArrow(run, "cid bigint, idx binary, val binary, nbr array<bigint>, sim array<float>, code bigint")
 
 
 def best(lists: DataFrame, k: int) -> DataFrame:
@@ -292,49 +335,65 @@ def local_join(circles: DataFrame, size: int, k: int, part: int) -> DataFrame:
     return circles.mapInArrow(run, GRAPH)
 
 
-def descend(graph: DataFrame, classes: DataFrame, k: int, size: int, sample: int, part: int = 64, hub: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """One round: (candidates, the graph with the edges that were sampled marked as old), as GRAPH rows."""
+def descend(graph: DataFrame, classes: DataFrame, k: int, size: int, sample: int, slices: int, part: int = 64, hub: int = 4096, merge: int = 4) -> DataFrame:
+    """One round: the graph with what circles find and the edges that were sampled marked as old, staged; ``graph``
+    is dropped. What ``merge`` slices find enters the lists at once."""
     pairs = F.arrays_zip("nbr", "sim", "new")
     fresh = F.slice(F.filter(pairs, lambda e: e["new"]), 1, sample)
     known = F.slice(F.filter(pairs, lambda e: ~e["new"]), 1, sample)
-    sampled = graph.select("cid", F.explode(F.concat(fresh, known)).alias("e")).select("cid", F.col("e.nbr").alias("nbr"), F.col("e.new").alias("new"))
-    own = sampled.select(F.col("cid").alias("center"), F.col("nbr").alias("member"), "new", F.lit(True).alias("own"))
-    other = sampled.select(F.col("nbr").alias("center"), F.col("cid").alias("member"), "new", F.lit(False).alias("own"))
-    hubs = other.groupBy("center").count().filter(F.col("count") > hub).select("center", F.ceil(F.col("count") / hub).cast("int").alias("parts"))
+    sampled = stage(graph.select("cid", F.transform(F.concat(fresh, known), lambda e: F.struct(e["nbr"].alias("nbr"), e["new"].alias("new"))).alias("e")), "sampled")
+    used = F.transform(fresh, lambda e: e["nbr"])
+    still = F.transform(F.arrays_zip("nbr", "new"), lambda e: e["new"] & ~F.array_contains("used", e["nbr"]))
+    following, last = graph.withColumn("used", used).select("cid", "nbr", "sim", still.alias("new")), graph
+    edges = sampled.select("cid", F.explode("e").alias("e")).select("cid", "e.nbr", "e.new")
+    hubs = stage(edges.groupBy(F.col("nbr").alias("center")).count().filter(F.col("count") > hub).select("center", F.ceil(F.col("count") / hub).cast("int").alias("parts")), "hubs")
     parts = F.coalesce("parts", F.lit(1))
     salts = F.when(F.col("own"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("member"), parts).cast("int")))
-    circles = own.unionByName(other).join(hubs, "center", "left").select("center", "member", "new", "own", F.explode(salts).alias("salt"))
+    own = edges.select(F.col("cid").alias("center"), F.col("nbr").alias("member"), "new", F.lit(True).alias("own"))
+    other = edges.select(F.col("nbr").alias("center"), F.col("cid").alias("member"), "new", F.lit(False).alias("own"))
     worst = F.when(F.size("sim") >= k, F.element_at("sim", k)).otherwise(F.lit(-2.0)).cast("float")
-    vectors = classes.select(F.col("cid").alias("member"), "idx", "val").join(graph.select(F.col("cid").alias("member"), worst.alias("worst")), "member", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
-    met = circles.join(vectors, "member").repartition("center", "salt").sortWithinPartitions("center", "salt")
-    used = F.transform(fresh, lambda e: e["nbr"])
-    still = F.transform(F.arrays_zip("nbr", "new"), lambda e: e["new"] & ~F.array_contains("used", e["nbr"]))
-    marked = graph.withColumn("used", used).select("cid", "nbr", "sim", still.alias("new"))
-    return local_join(met.select("center", "salt", "member", "new", "own", "worst", "idx", "val"), size, k, part), marked
-
-
-def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 24, window: int = 512, sample: int = 14, rounds: int = 2, seed: int = 7141) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """vectors(id, v) -> (members(id, cid), classes(cid, idx, val, code0, ...), graph(cid, nbr, sim)), staged."""
-    coded = stage(encode(vectors, size, orders, seed), "coded")
-    codes = [f"code{o}" for o in range(orders)]
-    once = coded.groupBy("key").agg(*(F.first(c).alias(c) for c in ("idx", "val", *codes)))
-    classes = stage(once.repartitionByRange("code0", "key").sortWithinPartitions("code0", "key").withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = stage(coded.select("id", "key").join(classes.select("key", "cid"), "key").select("id", "cid"), "members")
-    drop(coded)
-    found = None
-    for c in codes:
-        part = window_graph(classes, c, k, size, window)
-        found = part if found is None else found.unionByName(part)
-    graph = stage(best(found, k), "graph")
+    better: list[DataFrame] = []
+    for at in range(slices):
+        here = F.pmod(F.xxhash64("center"), F.lit(slices)).cast("string") == str(at)  # a number would be part of the code, which then is compiled for each slice
+        circles = own.unionByName(other).filter(here).join(hubs, "center", "left").select("center", "member", "new", "own", F.explode(salts).alias("salt"))
+        vectors = classes.select(F.col("cid").alias("member"), "idx", "val").join(following.select(F.col("cid").alias("member"), worst.alias("worst")), "member", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
+        met = circles.join(vectors, "member").repartition("center", "salt").sortWithinPartitions("center", "salt")
+        better.append(stage(local_join(met.select("center", "salt", "member", "new", "own", "worst", "idx", "val"), size, k, part), "better"))
+        if len(better) == merge or at == slices - 1:
+            following = stage(best(reduce(DataFrame.unionByName, better, following), k), "graph")
+            for x in (last, *better):
+                drop(x)
+            last, better = following, []
+    drop(hubs)
+    drop(sampled)
+    return following
+
+
+def neighbour_graph(vectors: DataFrame, k: int = 20, size: int = 512, orders: int = 24, window: int = 512, sample: int = 14, rounds: int = 2, seed: int = 7141, slices: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """vectors(id, v) -> (members(id, cid), classes(cid, idx, val, code1, ...), graph(cid, nbr, sim)), staged but for
+    the codes that ``search`` uses. ``slices``: of a round, one for each 6 000 classes and at most 20 if not given."""
+    encoded = stage(encode(vectors, size), "encoded")
+    middle = vectors.sparkSession.sparkContext.broadcast(_mean(encoded, size))
+    once = coded(encoded.groupBy("key").agg(F.first("idx").alias("idx"), F.first("val").alias("val")), size, [0], seed, middle)
+    named = stage(once.repartitionByRange("code0", "key").sortWithinPartitions("code0", "key").withColumn("cid", F.monotonically_increasing_id()), "named")
+    members = stage(encoded.select("id", "key").join(named.select("key", "cid"), "key").select("id", "cid"), "members")
+    drop(encoded)
+    last, rows = named, named.select("cid", "idx", "val", F.array().cast("array<bigint>").alias("nbr"), F.array().cast("array<float>").alias("sim"), F.col("code0").alias("code"))
+    for o in range(orders):
+        rows = stage(window_pass(rows, k, size, window, seed, (o + 1) % orders, middle), "rows")
+        drop(last)
+        last = rows
+    classes = stage(rows.select("cid", "idx", "val"), "classes")
+    graph = stage(rows.select("cid", "nbr", "sim", F.transform("nbr", lambda x: F.lit(True)).alias("new")), "graph")
+    drop(last)
+    slices = slices or min(20, max(1, math.ceil(classes.count() / 6_000)))
     for _ in range(rounds):
-        better, marked = descend(graph, classes, k, size, sample)
-        following = stage(best(better.unionByName(marked), k), "graph")
-        drop(graph)
-        graph = following
+        graph = descend(graph, classes, k, size, sample, slices)
         entries, fresh = graph.agg(F.sum(F.size("nbr")), F.sum(F.size(F.filter("new", lambda x: x)))).first()
         if (fresh or 0) < 0.001 * (entries or 1):
             break
-    return members, classes.drop("key"), graph.select("cid", F.inline(F.arrays_zip("nbr", "sim")))
+    codes = [o for o in range(min(orders, 12)) if o % 4]
+    return members, coded(classes, size, codes, seed), graph.select("cid", F.inline(F.arrays_zip("nbr", "sim")))
 
 
 def nearest_pairs(members: DataFrame, graph: DataFrame, k: int = 20, least: float = 0.9) -> DataFrame:
@@ -369,17 +428,17 @@ def search(queries: DataFrame, members: DataFrame, classes: DataFrame, graph: Da
     the rounds end. The beam grows with the square root of the classes, unless it is given; ``seed``
     must be the graph's.
     """
+    classes = stage(classes, "classes")
     beam = max(beam or max(48, math.isqrt(classes.count())), k + 1)
     codes = [c for c in classes.columns if c.startswith("code")]
-    asked = stage(encode(queries, size, max(1, len(codes)), seed).drop("key").withColumnRenamed("id", "q"), "asked")
+    asked = stage(coded(encode(queries, size).drop("key"), size, [int(c[4:]) for c in codes], seed).withColumnRenamed("id", "q"), "asked")
     kind = asked.schema["q"].dataType.simpleString()
     vectors = asked.select("q", F.col("idx").alias("qi"), F.col("val").alias("qv"))
     beam_of = lambda df: df.withColumn("place", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "cid"))).filter(F.col("place") <= beam).drop("place")
     picked = classes.orderBy(F.xxhash64("cid")).limit(entries).select("cid", "idx", "val")
     starts = _scored(vectors.crossJoin(F.broadcast(picked)), kind, size)
-    for c in codes[:12]:
-        if int(c[4:]) % 4:
-            starts = starts.unionByName(_beside(asked, classes, c, kind, size, window, beam))
+    for c in codes:
+        starts = starts.unionByName(_beside(asked, classes, c, kind, size, window, beam))
     held = stage(beam_of(starts.groupBy("q", "cid").agg(F.max("sim").alias("sim"))).withColumn("open", F.lit(True)), "beam")
     both = stage(graph.select("cid", "nbr").unionByName(graph.select(F.col("nbr").alias("cid"), F.col("cid").alias("nbr"))).distinct(), "both")
     while not held.filter("open").isEmpty():

@@ -12,6 +12,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +41,26 @@ def new_path(spark: SparkSession, what: str) -> str:
     return path
 
 
-def stage(df: DataFrame, what: str = "stage") -> DataFrame:
+def stage(df: DataFrame, what: str = "stage", codec: str | None = None) -> DataFrame:
     path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind; else they stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def drop(df: DataFrame | None) -> None:
     """Deletes the files of a staged table that no later plan reads."""
     path = getattr(df, "_millrace_path", None)
