@@ -407,19 +407,18 @@ def candidate_bands(spark, d):
     return duplicates.band_keys(table(spark, d, "descriptors")).groupBy("bucket").agg(F.count("*").alias("members"))
 
 
-_LOOKS = "one AS (SELECT sample_id, arg_max(phashes, (computed_at IS NOT NULL, computed_at)) AS h, arg_max(histogram, (computed_at IS NOT NULL, computed_at)) AS x FROM descriptors WHERE sample_id IS NOT NULL AND len(phashes) = 8 AND len([1 FOR v IN phashes IF v IS NULL]) = 0 AND len(histogram) = 512 AND len([1 FOR v IN histogram IF v IS NULL OR isnan(v) OR isinf(v)]) = 0 GROUP BY 1), c AS (SELECT min(sample_id) AS sample_id, h, x FROM one GROUP BY h, x), l AS MATERIALIZED (SELECT sample_id, h, [v::DOUBLE FOR v IN x]::DOUBLE[512] AS x, len([1 FOR v IN x IF v <> 0]) > 0 AS some FROM c)"
+_LOOKS = "one AS (SELECT sample_id, arg_max(phashes, (computed_at IS NOT NULL, computed_at)) AS h, arg_max(histogram, (computed_at IS NOT NULL, computed_at)) AS x FROM descriptors WHERE sample_id IS NOT NULL AND len(phashes) = 8 AND len([1 FOR v IN phashes IF v IS NULL]) = 0 AND len(histogram) = 512 AND len([1 FOR v IN histogram IF v IS NULL OR isnan(v) OR isinf(v)]) = 0 GROUP BY 1), l AS MATERIALIZED (SELECT sample_id, h, [v::DOUBLE FOR v IN x]::DOUBLE[512] AS x, len([1 FOR v IN x IF v <> 0]) > 0 AS some FROM one)"
 
 
 def _looks(spark, d):
     fine = F.forall("phashes", lambda h: h.isNotNull()) & (F.size("phashes") == 8) & (F.size("histogram") == 512) & F.forall("histogram", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     own = table(spark, d, "descriptors").filter("sample_id is not null").filter(fine)
-    latest = own.groupBy("sample_id").agg(*(F.max_by(c, F.struct(F.col("computed_at").isNotNull(), F.col("computed_at"))).alias(c) for c in ("phashes", "histogram")))
-    return latest.groupBy("phashes", "histogram").agg(F.min("sample_id").alias("sample_id"))  # copies stand for each other
+    return own.groupBy("sample_id").agg(*(F.max_by(c, F.struct(F.col("computed_at").isNotNull(), F.col("computed_at"))).alias(c) for c in ("phashes", "histogram")))
 
 
 @query(f"WITH {_LOOKS}, p AS (SELECT a.sample_id AS query, b.sample_id AS other, list_min([bit_count(xor(a.h[1], v)) FOR v IN b.h])::INTEGER AS distance, CASE WHEN a.some AND b.some THEN array_cosine_similarity(a.x, b.x) ELSE 0 END AS s FROM l a JOIN l b ON a.sample_id <> b.sample_id) SELECT query, other, distance FROM p WHERE distance <= 12 OR s >= 0.92")
 def similar_pictures(spark, d):
-    """All pairs within 12 bits or of colours of at least 0.92."""
+    """All pairs within 12 bits or of colours of at least 0.92, copies among them."""
     return matching.scored(_looks(spark, d), neighbours=None).select("query", "other", "distance")
 
 
