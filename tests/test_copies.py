@@ -9,7 +9,7 @@ import pytest
 from millrace.plans import core_queries
 
 
-@pytest.mark.parametrize("name", ["similar_pictures"])
+@pytest.mark.parametrize("name", ["similar_pictures", "similar_pictures_top"])
 def test_copies_are_in_the_result(spark, tmp_path, name):
     ids = ["a", "b", "c"]
     rows = [(i, list(range(8)), [1.0] + [0.0] * 511, datetime(2025, 1, 1)) for i in ids]
