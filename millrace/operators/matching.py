@@ -1,6 +1,6 @@
 """Pictures that show the same: candidates by hash and colour, verification, and the run over both.
 
-Candidates are exact: every pair within the bounds is looked at, in blocks. Pictures with equal pixels
+Candidates are exact: every pair within the bounds is found (``alike``). Pictures with equal pixels
 (under the eight symmetries) are one family and compared once; a family gives a star, not all pairs.
 Of each picture the ``neighbours`` nearest by hash and the ``neighbours`` most alike in colour go on to
 verification, which is the operator's purpose (a top-k by two signals), not a cut of what is found.
@@ -8,74 +8,41 @@ verification, which is the operator's purpose (a top-k by two signals), not a cu
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import vision
+from millrace.operators import alike
 from millrace.operators.duplicates import CONFIRMED, EXACT
 from millrace.operators.representatives import assign
 from millrace.storage import stage
 
 POLICY = {"distance": 12, "similarity": 0.92, "neighbours": 20, "correlation": 0.97, "error": 0.04}
-SCORED = "query string, other string, distance int, similarity float"
 
 
-def scored(descriptors: DataFrame, distance: int = 12, similarity: float = 0.92, neighbours: int | None = 20, block: int = 1024) -> DataFrame:
-    """SCORED: for each picture the others whose any hash is within ``distance`` bits of its first
+def scored(descriptors: DataFrame, distance: int = 12, similarity: float = 0.92, neighbours: int | None = 20, block: int = 16384) -> DataFrame:
+    """(query, other, distance, similarity): for each picture the others whose any hash is within ``distance`` bits of its first
     hash, or whose colours have at least ``similarity``; the best ``neighbours`` by either signal.
 
-    descriptors(sample_id, phashes, histogram, ...), one row a picture. Each pair of blocks of about
-    ``block`` pictures meets in one task; of a block only the best of each query leave it, so what is
-    shuffled grows with pictures times blocks, never with pairs. Only pictures with eight hashes and a
-    histogram of 512 finite numbers take part.
+    descriptors(sample_id, phashes, histogram, ...), one row a picture. Pictures that look equal are
+    compared once, and all of them are in the result. Of equal similarity (to six decimals) or distance the smaller
+    id comes first. Only pictures with eight hashes and a histogram of 512 finite numbers take part.
     """
     fine = (F.size("phashes") == 8) & F.forall("phashes", lambda h: h.isNotNull()) & (F.size("histogram") == 512) & F.forall("histogram", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     own = descriptors.filter(F.col("sample_id").isNotNull() & fine).select(F.col("sample_id").cast("string").alias("id"), "phashes", F.col("histogram").cast("array<float>").alias("histogram"))
     if "informative" in descriptors.columns:
         own = descriptors.filter("informative").select("sample_id").join(own.withColumnRenamed("id", "sample_id"), "sample_id").withColumnRenamed("sample_id", "id")
-    blocks = max(1, -(-own.count() // block))
-    placed = own.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = placed.select(F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "id", "phashes", "histogram")
-
-    def compare(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        ids, b, first, one = rows.column("id").combine_chunks(), rows.column("b").to_numpy(), rows.column("i")[0].as_py(), rows.column("i")[0] == rows.column("j")[0]
-        h = rows.column("phashes").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, 8)
-        x = rows.column("histogram").combine_chunks().flatten().to_numpy().reshape(-1, 512)
-        length = np.linalg.norm(x, axis=1, keepdims=True)
-        x = np.divide(x, length, out=np.zeros_like(x), where=length > 0)
-        lefts = np.flatnonzero(b == first)
-        rights = lefts if one else np.flatnonzero(b != first)
-        out = []
-        for mine, theirs in ((lefts, rights),) if one else ((lefts, rights), (rights, lefts)):
-            for at in range(0, len(mine), 256):
-                q = mine[at : at + 256]
-                bits = np.full((len(q), len(theirs)), 64, np.uint8)
-                for v in range(8):
-                    np.minimum(bits, np.bitwise_count(h[q, :1] ^ h[None, theirs, v]), out=bits)
-                alike = x[q] @ x[theirs].T
-                keep = (bits <= distance) | (alike >= similarity)
-                if one:
-                    keep &= q[:, None] != theirs[None, :]
-                for k in np.flatnonzero(keep.any(axis=1)):
-                    c = np.flatnonzero(keep[k])
-                    if neighbours is not None and len(c) > neighbours:
-                        near, like = np.lexsort((c, bits[k, c]))[:neighbours], np.lexsort((c, -alike[k, c]))[:neighbours]
-                        # ties at the limit go on, to be settled over all blocks by id
-                        c = c[(bits[k, c] <= bits[k, c][near[-1]]) | (alike[k, c] >= alike[k, c][like[-1]])]
-                    out.append((np.full(len(c), q[k]), theirs[c], bits[k, c].astype(np.int32), alike[k, c]))
-        l, r, d, s = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int32), np.zeros(0, np.float32))
-        return pa.table({"query": ids.take(pa.array(l)), "other": ids.take(pa.array(r)), "distance": pa.array(d), "similarity": pa.array(s)})
-
-    found = met.groupBy("i", "j").applyInArrow(compare, SCORED)
-    if neighbours is None:
-        return found
-    near = F.row_number().over(W.partitionBy("query").orderBy("distance", "other"))
-    like = F.row_number().over(W.partitionBy("query").orderBy(F.desc("similarity"), "other"))
-    return found.withColumn("n", near).withColumn("m", like).filter((F.col("n") <= neighbours) | (F.col("m") <= neighbours)).drop("n", "m")
+    members, pairs = alike.class_pairs(own, distance, similarity, block)
+    others = members
+    if neighbours is not None:  # of a class no more can be among the nearest of a picture, which may be one of them itself
+        others = members.withColumn("place", F.row_number().over(W.partitionBy("cid").orderBy("id"))).filter(F.col("place") <= neighbours + 1)
+    found = pairs.join(members.select(F.col("cid").alias("qc"), F.col("id").alias("query")), "qc").join(others.select(F.col("cid").alias("oc"), F.col("id").alias("other")), "oc").filter("query <> other")
+    if neighbours is not None:
+        near = F.row_number().over(W.partitionBy("query").orderBy("distance", "other"))
+        like = F.row_number().over(W.partitionBy("query").orderBy(F.desc(F.round("similarity", 6)), "other"))
+        found = found.withColumn("n", near).withColumn("m", like).filter((F.col("n") <= neighbours) | (F.col("m") <= neighbours))
+    return found.select("query", "other", "distance", F.col("similarity").cast("float").alias("similarity"))
 
 
 def candidate_pairs(descriptors: DataFrame, distance: int = 12, similarity: float = 0.92, neighbours: int | None = 20, extra: DataFrame | None = None) -> DataFrame:
